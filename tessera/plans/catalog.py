@@ -141,3 +141,44 @@ def column_tests(spark, sf_dir):
         "fct_daily_conversion": marts.fct_daily_conversion(stg),
     }
     return ct.declared_column_tests(models)
+
+
+# --- raw → Silver -----------------------------------------------------------
+
+
+def _landed_raw(spark: SparkSession, sf_dir: str) -> str:
+    """Land FX-RAW (derived from `events`) in a fresh folder of the shared checkpoint dir."""
+    from tessera.session import scratch_path
+    from tessera.sources.fixtures import write_fx_raw
+
+    ensure_conf(spark)
+    root = scratch_path(spark, "fx-raw")
+    write_fx_raw(load_table(spark, sf_dir, "events"), root)
+    return root
+
+
+RAW_GLOB = "*.txt"  # FX-RAW is written by Spark's text writer
+
+
+@register("raw_to_silver")
+def raw_to_silver(spark, sf_dir):
+    from tessera.operators.silver import raw_to_silver as r2s
+
+    return r2s(spark, _landed_raw(spark, sf_dir), glob=RAW_GLOB)
+
+
+@register("raw_ingest_stats")
+def raw_ingest_stats(spark, sf_dir):
+    from tessera.operators.silver import ingest_stats
+
+    return ingest_stats(spark, _landed_raw(spark, sf_dir), glob=RAW_GLOB)
+
+
+@register("dedup_first_seen_lineitem")
+def dedup_first_seen_lineitem(spark, sf_dir):
+    from tessera.operators.dedup import first_seen, parquet_position
+
+    ensure_conf(spark)
+    li = load_table(spark, sf_dir, "lineitem")
+    cols = li.columns
+    return first_seen(parquet_position(li), ["l_orderkey", "l_linenumber"], ["_file", "_row"]).select(*cols)

@@ -83,7 +83,7 @@ def fx_silver(events: DataFrame) -> DataFrame:
     return _fx_columns(_silver_base(events)).select(*SILVER_TABLE_COLUMNS)
 
 
-def _payload_text(b: DataFrame | None = None, raw: bool = False) -> Column:
+def _payload_text(raw: bool = False) -> Column:
     """Compact JSON text of the payload, keys in a fixed order per event type.
 
     With `raw=True` the FX-RAW anomalies are applied (price as text, `" 1e3 "`,
@@ -201,6 +201,7 @@ def _fx_columns(b: DataFrame) -> DataFrame:
         eid.alias("_id"),
         k.alias("_k"),
         cents.alias("_cents"),
+        etype.alias("_type"),
         F.col("_hour"),
         F.col("_user"),
     )
