@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.operators import column_tests as ct
 from tessera.operators import consume, gold, marts, quality
@@ -182,3 +183,148 @@ def dedup_first_seen_lineitem(spark, sf_dir):
     li = load_table(spark, sf_dir, "lineitem")
     cols = li.columns
     return first_seen(parquet_position(li), ["l_orderkey", "l_linenumber"], ["_file", "_row"]).select(*cols)
+
+
+# --- anomaly profile and referential integrity -----------------------------
+
+
+@register("unknown_products")
+def unknown_products(spark, sf_dir):
+    from tessera.operators.profile import unknown_products as up
+    from tessera.sources.fixtures import fx_products
+
+    return up(_silver(spark, sf_dir), fx_products(load_table(spark, sf_dir, "part")))
+
+
+@register("raw_anomaly_profile")
+def raw_anomaly_profile(spark, sf_dir):
+    from tessera.operators.profile import anomaly_profile
+    from tessera.operators.silver import ingest_stats, raw_to_silver as r2s
+
+    root = _landed_raw(spark, sf_dir)
+    silver = r2s(spark, root, glob=RAW_GLOB)
+    return anomaly_profile(silver, ingest_stats(spark, root, glob=RAW_GLOB, silver=silver))
+
+
+@register("schema_version_mix")
+def schema_version_mix(spark, sf_dir):
+    from tessera.operators.profile import schema_version_mix as svm
+
+    return svm(_silver(spark, sf_dir))
+
+
+@register("event_type_mix")
+def event_type_mix(spark, sf_dir):
+    from tessera.operators.profile import event_type_mix as etm
+
+    return etm(_silver(spark, sf_dir))
+
+
+# --- tables: overwrite, alignment, evolution, versions ---------------------
+
+
+def _fresh_namespace(spark: SparkSession) -> str:
+    import uuid
+
+    from tessera.session import scratch_path
+    from tessera.sources.tables import ensure_namespace
+
+    ns = f"tessera_{uuid.uuid4().hex[:10]}"
+    ensure_namespace(spark, ns, location=scratch_path(spark, ns))
+    return ns
+
+
+def _silver_table(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    from tessera.sources.tables import write_partitions
+
+    silver = _silver(spark, sf_dir)
+    table = f"{_fresh_namespace(spark)}.silver_events"
+    write_partitions(silver, table)
+    return table, silver
+
+
+@register("partition_overwrite_rerun")
+def partition_overwrite_rerun(spark, sf_dir):
+    """A5 + L2: overwrite one day twice (idempotent); the other days stay as written."""
+    from tessera.sources.fixtures import event_number
+    from tessera.sources.tables import write_partitions
+
+    table, silver = _silver_table(spark, sf_dir)
+    rerun = silver.where((F.col("dt") == "2024-01-05") & (event_number() % 10 != 0))
+    write_partitions(rerun, table)
+    write_partitions(rerun, table)
+    return spark.table(table)
+
+
+@register("schema_align")
+def schema_align(spark, sf_dir):
+    """B11 + J5 + J6: evolve the table, then rerun a day from a differently shaped input."""
+    from tessera.sources.tables import add_column_if_missing, write_partitions
+
+    table, silver = _silver_table(spark, sf_dir)
+    add_column_if_missing(spark, table, "ingest_source")
+    add_column_if_missing(spark, table, "ingest_source")  # idempotent
+    rerun = (
+        silver.where(F.col("dt") == "2024-01-06")
+        .drop("device_os_version")
+        .withColumn("schema_version", F.col("schema_version").cast("string"))
+        .withColumn("ingest_source", F.lit("rerun"))
+        .withColumn("extra_col", F.lit(1))
+    )
+    write_partitions(rerun, table)
+    return spark.table(table)
+
+
+@register("schema_evolution_nulls")
+def schema_evolution_nulls(spark, sf_dir):
+    """After adding a column, existing rows read NULL in it."""
+    from tessera.sources.tables import add_column_if_missing, null_coverage
+
+    table, _ = _silver_table(spark, sf_dir)
+    add_column_if_missing(spark, table, "ingest_source")
+    return null_coverage(spark.table(table), "ingest_source")
+
+
+@register("null_coverage")
+def null_coverage(spark, sf_dir):
+    """NULL share of `user_id` per day, one aggregate."""
+    from tessera.sources.tables import null_coverage as nc
+
+    return nc(_silver(spark, sf_dir), "user_id")
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> str:
+    from tessera.session import scratch_path
+    from tessera.sources.fixtures import fx_versions
+
+    root = scratch_path(spark, "fx-versions")
+    fx_versions(_silver(spark, sf_dir), root)
+    return root
+
+
+@register("snapshot_log")
+def snapshot_log(spark, sf_dir):
+    from tessera.sources.versioned import snapshots
+
+    return snapshots(spark, _versions(spark, sf_dir))
+
+
+@register("snapshot_history")
+def snapshot_history(spark, sf_dir):
+    from tessera.sources.versioned import history
+
+    return history(spark, _versions(spark, sf_dir))
+
+
+@register("time_travel_as_of")
+def time_travel_as_of(spark, sf_dir):
+    from tessera.sources.versioned import read_as_of
+
+    return read_as_of(spark, _versions(spark, sf_dir), 2)
+
+
+@register("time_travel_compare")
+def time_travel_compare(spark, sf_dir):
+    from tessera.sources.versioned import compare_with_previous
+
+    return compare_with_previous(spark, _versions(spark, sf_dir))

@@ -348,3 +348,28 @@ __all__ = [
     "silver_from_dir",
     "SILVER_COLUMNS",
 ]
+
+
+# FX-VERSIONS commit times (fixed literals, UTC).
+VERSION_COMMIT_TIMES = ["2024-02-01 00:00:00", "2024-02-02 00:00:00", "2024-02-03 00:00:00"]
+VERSION_REWRITES = [("2024-01-05", 10), ("2024-01-06", 7)]
+
+
+def event_number(col: str = "event_id") -> Column:
+    """The integer behind an FX `event_id` ('E123' → 123)."""
+    return F.substring(F.col(col), 2, 64).cast("long")
+
+
+def fx_versions(silver: DataFrame, root: str) -> list[int]:
+    """FX-VERSIONS: snapshot 1 = all rows; then each rewrite `(dt, m)` overwrites
+    day `dt` with its rows where `event_id % m <> 0`."""
+    import datetime as _dt
+
+    from tessera.sources.versioned import commit
+
+    times = [_dt.datetime.fromisoformat(t).replace(tzinfo=_dt.timezone.utc) for t in VERSION_COMMIT_TIMES]
+    ids = [commit(silver, root, "append", times[0])]
+    for (day, m), when in zip(VERSION_REWRITES, times[1:]):
+        keep = silver.where((F.col("dt") == day) & (event_number() % m != 0))
+        ids.append(commit(keep, root, "overwrite", when, dates=[day]))
+    return ids
