@@ -328,3 +328,37 @@ def time_travel_compare(spark, sf_dir):
     from tessera.sources.versioned import compare_with_previous
 
     return compare_with_previous(spark, _versions(spark, sf_dir))
+
+
+# --- streaming ----------------------------------------------------------------
+
+
+@register("silver_stream_available_now")
+def silver_stream_available_now(spark, sf_dir):
+    """M1: drain FX-RAW through the streaming Silver job, read the sink back.
+    `ingest_time` is left out: copies of one event differ only there, and the
+    stream does not define which copy survives."""
+    from tessera.session import scratch_path
+    from tessera.streaming.silver_stream import start_silver_stream
+
+    raw = _landed_raw(spark, sf_dir)
+    sink, ckpt = scratch_path(spark, "silver-stream"), scratch_path(spark, "silver-stream-ckpt")
+    q = start_silver_stream(spark, raw, sink, ckpt, glob=RAW_GLOB)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink).drop("ingest_time")
+
+
+# --- end-to-end -----------------------------------------------------------------
+
+
+@register("e2e_daily_pipeline")
+def e2e_daily_pipeline(spark, sf_dir):
+    """L1: FX-RAW → Silver table → per-day gate → Gold for passing days → overview."""
+    from tessera.plans.pipeline import pipeline_summary, run_daily_pipeline
+
+    raw = _landed_raw(spark, sf_dir)
+    ns = _fresh_namespace(spark)
+    result = run_daily_pipeline(spark, raw, ns, glob=RAW_GLOB)
+    return pipeline_summary(spark, result, raw, glob=RAW_GLOB)
