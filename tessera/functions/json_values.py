@@ -67,6 +67,8 @@ def variant_to_str(v: Column) -> Column:
     return (
         F.when(t == "STRING", F.try_variant_get(v, "$", "string"))
         .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
+        # integers too wide for 64 bits arrive as DECIMAL(p,0): keep their digits
+        .when(t.startswith("DECIMAL") & t.endswith(",0)"), F.try_variant_get(v, "$", "string"))
         .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double").cast("string"))
         .when(_is_number(t), F.try_variant_get(v, "$", "string"))
     )

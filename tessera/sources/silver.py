@@ -7,10 +7,10 @@ explicitly, so stale rows never survive a rerun.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.schemas import SILVER_COLUMNS, SILVER_ROWS_PER_FILE, SILVER_SCHEMA, SILVER_TABLE_COLUMNS
+from tessera.schemas import SILVER_COLUMNS, SILVER_ROWS_PER_FILE, SILVER_SCHEMA, SILVER_TABLE_COLUMNS, SILVER_TABLE_SCHEMA
 from tessera.session import ensure_conf
 
 
@@ -24,6 +24,9 @@ def write_silver_files(
     out = silver.select(*SILVER_TABLE_COLUMNS)
     if dates is not None:
         out = out.where(F.col("dt").isin(list(dates)))
+    # The days this job writes, observed during the write itself (no extra pass).
+    seen = Observation("silver_days_written")
+    out = out.observe(seen, F.collect_set("dt").alias("days"), F.count(F.lit(1)).alias("rows"))
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -33,15 +36,17 @@ def write_silver_files(
         .parquet(root)
     )
     if dates:
-        written = {r["dt"] for r in read_silver_files(spark, root, None).select("dt").distinct().collect()}
+        written = set(seen.get.get("days") or [])
         for day in [d for d in dict.fromkeys(dates) if d not in written]:
+            # The reference deletes a day's stale parts before writing; a day
+            # with no rows now must therefore end up empty.
             spark.createDataFrame([], SILVER_SCHEMA).write.mode("overwrite").parquet(f"{root}/dt={day}")
 
 
 def read_silver_files(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
     """A4: Silver files with the fixed schema and the STRING `dt` from the path."""
     ensure_conf(spark)
-    df = spark.read.schema(SILVER_SCHEMA.add("dt", "string")).parquet(root.rstrip("/"))
+    df = spark.read.schema(SILVER_TABLE_SCHEMA).parquet(root.rstrip("/"))
     if dates is not None:
         df = df.where(F.col("dt").isin(list(dates)))
     return df.select(*SILVER_COLUMNS, "dt")
