@@ -43,11 +43,13 @@ def _is_number(t: Column) -> Column:
     return t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL")
 
 
-def variant_to_int(v: Column, sql_type: str = "bigint") -> Column:
+def variant_to_int(v: Column, sql_type: str = "bigint", t: Column | None = None) -> Column:
     """B3 `to_int`: integers as-is, fractional numbers truncated toward zero,
     numeric text parsed as a float then truncated; booleans, objects, arrays,
-    blanks and unparseable text are NULL.  Out-of-range values are NULL."""
-    t = json_type(v)
+    blanks and unparseable text are NULL.  Out-of-range values are NULL.
+
+    `t` may carry a precomputed `json_type(v)` so the type is derived once."""
+    t = json_type(v) if t is None else t
     text = F.regexp_replace(F.try_variant_get(v, "$", "string"), _EDGE_SPACE, "")
     from_text = F.when(
         text.rlike(FLOAT_TEXT),
@@ -60,10 +62,10 @@ def variant_to_int(v: Column, sql_type: str = "bigint") -> Column:
     )
 
 
-def variant_to_str(v: Column) -> Column:
+def variant_to_str(v: Column, t: Column | None = None) -> Column:
     """B4 `to_str`: strings as-is, numbers as text, booleans as `True`/`False`;
     objects, arrays and JSON null are NULL."""
-    t = json_type(v)
+    t = json_type(v) if t is None else t
     return (
         F.when(t == "STRING", F.try_variant_get(v, "$", "string"))
         .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))

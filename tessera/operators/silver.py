@@ -16,7 +16,7 @@ from tessera.functions.json_values import (
     variant_at,
     variant_to_int,
     variant_to_str,
-)
+)  # noqa: F401
 from tessera.functions.time import parse_iso_utc
 from tessera.functions.metrics import count_when
 from tessera.operators.dedup import first_seen
@@ -50,33 +50,79 @@ def valid_event_id(v) -> F.Column:
     return (json_type(eid) == "STRING") & (F.try_variant_get(eid, "$", "string") != "")
 
 
-def _typed(value, dtype) -> F.Column:
+def _typed(value, dtype, t) -> F.Column:
     sql = _SQL_TYPE.get(repr(dtype))
-    return variant_to_int(value, sql) if sql else variant_to_str(value)
+    return variant_to_int(value, sql, t) if sql else variant_to_str(value, t)
+
+
+def _object_struct(fields: dict[str, list[str] | None]) -> str:
+    """`struct<...>` type string whose leaves are VARIANT (for one-pass object access)."""
+    parts = []
+    for name, sub in fields.items():
+        inner = "variant" if sub is None else "struct<" + ", ".join(f"`{f}`: variant" for f in sub) + ">"
+        parts.append(f"`{name}`: {inner}")
+    return "struct<" + ", ".join(parts) + ">"
+
+
+_GROUPS: dict[str, list[str]] = {}
+for _col, _path in _NESTED.items():
+    _grp, _key = _path[2:].split(".")
+    _GROUPS.setdefault(_grp, []).append(_key)
+TOP_STRUCT = _object_struct(
+    {"event_id": None, "schema_version": None, "event_time": None, "ingest_time": None,
+     **{n: None for n in _TOP}, **_GROUPS, "payload": None}
+)
+PAYLOAD_STRUCT = _object_struct({_PAYLOAD_KEY.get(n, n): None for n in _PAYLOAD_COLUMNS})
 
 
 def extract_silver(parsed: DataFrame) -> DataFrame:
-    """The fixed Silver projection of valid raw objects (+ `dt` and position)."""
+    """The fixed Silver projection of valid raw objects (+ `dt` and position).
+
+    Stacked projections: (1) the object is cast once to a struct of VARIANT
+    leaves (and the payload once more), (2) each value's JSON type is derived
+    once, (3) the typed conversions reuse both.  A step through a non-object
+    (`device: "x"`, `payload: []`) gives NULL leaves (B1), which is also the
+    payload gate (B2) for every payload column.
+    """
     v = F.col("_v")
-    p = payload_object(v)
     types = {n: t for n, t, _ in SILVER_FIELDS}
-    cols = {"event_id": F.try_variant_get(variant_at(v, "$.event_id"), "$", "string")}
-    cols["schema_version"] = variant_to_int(variant_at(v, "$.schema_version"), "int")
+    keep = ["dt", "_file", "_block", "_pos"]
+    # The payload's JSON text, key order kept; NULL unless a non-empty object.
+    pj = F.get_json_object(F.col("line"), "$.payload")
+    stage0 = parsed.where(F.col("_object") & valid_event_id(v)).select(
+        *keep,
+        F.when(pj.startswith("{") & (pj != "{}"), pj).alias("payload_json"),
+        F.try_variant_get(v, "$", TOP_STRUCT).alias("_top"),
+    )
+    leaves = {n: F.col(f"_top.{n}") for n in ["event_id", "schema_version", "event_time", "ingest_time", *_TOP]}
+    leaves.update({n: F.col(f"_top.{path[2:]}") for n, path in _NESTED.items()})
+    stage1 = stage0.select(
+        *keep, "payload_json", *[c.alias(f"_v_{n}") for n, c in leaves.items()],
+        F.try_variant_get(F.col("_top.payload"), "$", PAYLOAD_STRUCT).alias("_payload"),
+    )
+    stage1 = stage1.select(
+        "*", *[F.col(f"_payload.{_PAYLOAD_KEY.get(n, n)}").alias(f"_v_{n}") for n in _PAYLOAD_COLUMNS]
+    ).drop("_payload")
+    names = list(leaves) + _PAYLOAD_COLUMNS
+    stage2 = stage1.select("*", *[json_type(F.col(f"_v_{n}")).alias(f"_t_{n}") for n in names])
+
+    def val(n):
+        return F.col(f"_v_{n}")
+
+    def typ(n):
+        return F.col(f"_t_{n}")
+
+    cols = {"event_id": F.try_variant_get(val("event_id"), "$", "string")}
+    cols["schema_version"] = variant_to_int(val("schema_version"), "int", typ("schema_version"))
     for name in ("event_time", "ingest_time"):
-        raw = variant_at(v, f"$.{name}")
-        cols[name] = F.when(json_type(raw) == "STRING", parse_iso_utc(F.try_variant_get(raw, "$", "string")))
-    for name in _TOP:
-        cols[name] = variant_to_str(variant_at(v, f"$.{name}"))
-    for name, path in _NESTED.items():
-        cols[name] = variant_to_str(variant_at(v, path))
+        cols[name] = F.when(typ(name) == "STRING", parse_iso_utc(F.try_variant_get(val(name), "$", "string")))
+    for name in _TOP + list(_NESTED):
+        cols[name] = variant_to_str(val(name), typ(name))
     for name in _PAYLOAD_COLUMNS:
-        cols[name] = _typed(variant_at(p, f"$.{_PAYLOAD_KEY.get(name, name)}"), types[name])
-    # The payload's JSON text, key order kept; NULL with the payload gate.
-    cols["payload_json"] = F.when(p.isNotNull(), F.get_json_object(F.col("line"), "$.payload"))
+        cols[name] = _typed(val(name), types[name], typ(name))
+    cols["payload_json"] = F.col("payload_json")
     ordered = [cols[n].cast(types[n]).alias(n) for n, _, _ in SILVER_FIELDS]
-    return parsed.where(F.col("_object") & valid_event_id(v)).select(
-        *ordered, "dt", "_file", "_block", "_pos"
-    )
+    return stage2.select(*ordered, *keep)
 
 
 def dedup_silver(rows: DataFrame) -> DataFrame:
