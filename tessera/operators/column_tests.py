@@ -112,3 +112,12 @@ def declared_column_tests(models: dict[str, DataFrame], layers: tuple[str, ...]
         res = run_tests(models[model], model, tests)
         out = res if out is None else out.unionByName(res)
     return out
+
+
+def row_counts(models: dict[str, DataFrame]) -> DataFrame:
+    """`count(*)` of each model (one small aggregate per model)."""
+    out = None
+    for name, df in models.items():
+        res = df.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("rows"))
+        out = res if out is None else out.unionByName(res)
+    return out

@@ -16,15 +16,23 @@ LATE_AFTER_MS = 3_600_000  # O1: ingest at least one hour after the event
 
 
 def unknown_products(silver: DataFrame, products: DataFrame) -> DataFrame:
-    """Events whose `product_id` is not in the catalog, per day."""
+    """Events whose `product_id` is not in the catalog, per day.
+
+    Events are first reduced to `(dt, product_id) → count` (partial aggregation
+    map-side), so the join sees one row per day and product — a product that
+    holds a large share of the events cannot skew it."""
     keys = products.select("product_id").where(F.col("product_id").isNotNull()).distinct()
-    with_product = silver.where(F.col("product_id").isNotNull()).select("dt", "product_id")
-    flagged = with_product.join(keys.withColumn("_known", F.lit(True)), "product_id", "left")
+    per_product = (
+        silver.where(F.col("product_id").isNotNull()).groupBy("dt", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    )
+    flagged = per_product.join(keys.withColumn("_known", F.lit(True)), "product_id", "left")
     return (
         flagged.groupBy("dt")
         .agg(
-            F.count(F.lit(1)).alias("events_with_product"),
-            count_when(F.col("_known").isNull()).alias("unknown_product_events"),
+            F.sum("n").cast("long").alias("events_with_product"),
+            F.sum(F.when(F.col("_known").isNull(), F.col("n")).otherwise(0)).cast("long").alias(
+                "unknown_product_events"
+            ),
         )
         .withColumn("unknown_ratio", F.col("unknown_product_events").cast("double") / F.col("events_with_product"))
     )

@@ -1 +1 @@
-"""Query plans composed from sources and operators (the registered query catalog, pipelines)."""
+"""Query plans composed from sources and operators (the registered query catalog, daily jobs)."""

@@ -38,6 +38,19 @@ def _gold(spark: SparkSession, sf_dir: str):
     return gold.single_pass(_silver(spark, sf_dir))
 
 
+def _silver_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    """FX-SILVER of one day.  `dt` is derived from `ts`, so the day is also
+    expressed as a `ts` range that reaches the Parquet scan (row-group skipping)."""
+    import datetime as _dt
+
+    ensure_conf(spark)
+    start = _dt.datetime.fromisoformat(day)
+    end = start + _dt.timedelta(days=1)
+    events = load_table(spark, sf_dir, "events")
+    events = events.where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
+    return fx_silver(events).where(F.col("dt") == day)
+
+
 @register("gold_daily_event_metrics")
 def gold_daily_event_metrics(spark, sf_dir):
     return _gold(spark, sf_dir)[0]
@@ -86,7 +99,7 @@ def daily_business_overview(spark, sf_dir):
 
 @register("metrics_overview")
 def metrics_overview(spark, sf_dir):
-    ev, rev, _ = _gold(spark, sf_dir)
+    ev, rev, _ = gold.single_pass(_silver_day(spark, sf_dir, REPORT_DATE))
     return consume.metrics_overview(ev, rev, REPORT_DATE)
 
 
@@ -107,7 +120,7 @@ def top_products(spark, sf_dir):
 
 @register("top_products_for_date")
 def top_products_for_date(spark, sf_dir):
-    return consume.top_products(_silver(spark, sf_dir), dt=REPORT_DATE)
+    return consume.top_products(_silver_day(spark, sf_dir, REPORT_DATE), dt=REPORT_DATE)
 
 
 def _bad(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +143,20 @@ def quality_gate(spark, sf_dir):
     return quality.quality_gate(quality.quality_metrics(_bad(spark, sf_dir)))
 
 
+@register("mart_row_counts")
+def mart_row_counts(spark, sf_dir):
+    """Row counts of the staging view and the three marts."""
+    stg = marts.stg_silver_events(_silver(spark, sf_dir))
+    return ct.row_counts(
+        {
+            "stg_silver_events": stg,
+            "fct_daily_events": marts.fct_daily_events(stg),
+            "fct_daily_revenue": marts.fct_daily_revenue(stg),
+            "fct_daily_conversion": marts.fct_daily_conversion(stg),
+        }
+    )
+
+
 @register("column_tests")
 def column_tests(spark, sf_dir):
     bad = _bad(spark, sf_dir)
@@ -353,12 +380,12 @@ def silver_stream_available_now(spark, sf_dir):
 # --- end-to-end -----------------------------------------------------------------
 
 
-@register("e2e_daily_pipeline")
-def e2e_daily_pipeline(spark, sf_dir):
+@register("e2e_daily_medallion")
+def e2e_daily_medallion(spark, sf_dir):
     """L1: FX-RAW → Silver table → per-day gate → Gold for passing days → overview."""
-    from tessera.plans.pipeline import pipeline_summary, run_daily_pipeline
+    from tessera.plans.daily_job import daily_summary, run_daily
 
     raw = _landed_raw(spark, sf_dir)
     ns = _fresh_namespace(spark)
-    result = run_daily_pipeline(spark, raw, ns, glob=RAW_GLOB)
-    return pipeline_summary(spark, result, raw, glob=RAW_GLOB)
+    result = run_daily(spark, raw, ns, glob=RAW_GLOB)
+    return daily_summary(spark, result, raw, glob=RAW_GLOB)

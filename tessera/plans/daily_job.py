@@ -1,4 +1,4 @@
-"""Daily pipeline (L1, L2): raw → Silver table → quality gate → Gold → report.
+"""Daily medallion job (L1, L2): raw → Silver table → quality gate → Gold → report.
 
 A plain function over DataFrames.  Days are gated individually: Gold is built
 only for the days whose quality gate passes (the reference stops the whole run
@@ -21,7 +21,7 @@ from tessera.sources.tables import ensure_namespace, write_partitions
 
 
 @dataclass
-class PipelineResult:
+class DailyRunResult:
     silver_table: str
     gold_namespace: str
     passed_dates: list[str]
@@ -30,14 +30,14 @@ class PipelineResult:
     notes: list[str] = field(default_factory=list)
 
 
-def run_daily_pipeline(
+def run_daily(
     spark: SparkSession,
     raw_root: str,
     namespace: str,
     dates: list[str] | None = None,
     glob: str = "*.jsonl",
     report_path: str | None = None,
-) -> PipelineResult:
+) -> DailyRunResult:
     ensure_conf(spark)
     ensure_namespace(spark, namespace)
     silver_table = f"{namespace}.silver_events"
@@ -53,13 +53,13 @@ def run_daily_pipeline(
     verdicts = quality.quality_gate(metrics).select("dt", "all_passed").collect()
     passed = sorted(r["dt"] for r in verdicts if r["all_passed"])
     failed = sorted(r["dt"] for r in verdicts if not r["all_passed"])
-    result = PipelineResult(silver_table, namespace, passed, failed)
+    result = DailyRunResult(silver_table, namespace, passed, failed)
     if passed:
         result.gold_run = build_gold(spark, spark.table(silver_table), namespace, passed)
     return result
 
 
-def pipeline_summary(spark: SparkSession, result: PipelineResult, raw_root: str, glob: str = "*.jsonl") -> DataFrame:
+def daily_summary(spark: SparkSession, result: DailyRunResult, raw_root: str, glob: str = "*.jsonl") -> DataFrame:
     """Per day: Silver rows, gate verdict and, for gated days, the Gold overview."""
     silver = spark.table(result.silver_table)
     gate = quality.quality_gate(quality.quality_metrics(silver)).select("dt", "row_count", "all_passed")
@@ -72,5 +72,5 @@ def pipeline_summary(spark: SparkSession, result: PipelineResult, raw_root: str,
     return gate.join(overview, "dt", "left")
 
 
-def raw_stats(spark: SparkSession, raw_root: str, result: PipelineResult, glob: str = "*.jsonl") -> DataFrame:
+def raw_stats(spark: SparkSession, raw_root: str, result: DailyRunResult, glob: str = "*.jsonl") -> DataFrame:
     return ingest_stats(spark, raw_root, glob=glob, silver=spark.table(result.silver_table))

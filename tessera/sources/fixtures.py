@@ -279,7 +279,9 @@ def write_fx_raw(events: DataFrame, root: str) -> str:
     """Land FX-RAW as `root/dt=D/batch=N/part-*.txt` JSON-lines files."""
     (
         fx_raw_lines(events)
-        .repartition("dt", "batch")
+        # Cluster by day directory; AQE splits a day that is too large, so a
+        # hot day is written by several tasks (several files) instead of one.
+        .hint("rebalance", "dt", "batch")
         .write.mode("overwrite")
         .partitionBy("dt", "batch")
         .text(root)

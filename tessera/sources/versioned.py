@@ -91,8 +91,8 @@ def read_as_of(spark: SparkSession, root: str, snapshot_id: int | None = None) -
     return data.join(chosen, ["snapshot_id", "dt"], "left_semi").select(*cols)
 
 
-def snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """One row per snapshot with a summary, latest first."""
+def snapshots(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
+    """One row per snapshot with a summary, latest first (optionally the latest `limit`)."""
     log = read_log(spark, root)
     by_dt = Window.partitionBy("dt").orderBy("snapshot_id")
     deltas = log.withColumn("_prev", F.coalesce(F.lag("added_records").over(by_dt), F.lit(0)))
@@ -106,21 +106,23 @@ def snapshots(spark: SparkSession, root: str) -> DataFrame:
     )
     # Running total over the snapshot chain (metadata: one row per commit).
     chain = Window.orderBy("snapshot_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per.withColumn(
+    out = per.withColumn(
         "total_records", F.sum(F.col("added_records") - F.col("deleted_records")).over(chain).cast("long")
     ).orderBy(F.col("committed_at").desc(), F.col("snapshot_id").desc())
+    return out if limit is None else out.limit(int(limit))
 
 
-def history(spark: SparkSession, root: str) -> DataFrame:
-    """`(made_current_at, snapshot_id, parent_id, is_current_ancestor)`, latest first.
+def history(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:
+    """`(made_current_at, snapshot_id, parent_id, is_current_ancestor)`, latest first.
     Commits form a linear chain, so every snapshot is an ancestor of the current one."""
-    return (
+    out = (
         read_log(spark, root)
         .groupBy("snapshot_id")
         .agg(F.first("committed_at").alias("made_current_at"), F.first("parent_id").alias("parent_id"))
         .select("made_current_at", "snapshot_id", "parent_id", F.lit(True).alias("is_current_ancestor"))
         .orderBy(F.col("made_current_at").desc(), F.col("snapshot_id").desc())
     )
+    return out if limit is None else out.limit(int(limit))
 
 
 def latest_two(spark: SparkSession, root: str) -> tuple[int, int]:
