@@ -24,6 +24,8 @@ from tessera.schemas import SILVER_TABLE_COLUMNS
 from tessera.sources.raw import parse_raw_lines
 
 DEDUP_HORIZON = "48 hours"
+STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def raw_line_stream(spark: SparkSession, raw_root: str, glob: str = "*.jsonl", max_files: int | None = None) -> DataFrame:
@@ -57,7 +59,15 @@ def start_silver_stream(
     available_now: bool = True,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream into a Parquet file sink partitioned by `dt`."""
+    """Start the stream into a Parquet file sink partitioned by `dt`.
+
+    Dedup state holds every (dt, event_id) of the horizon — billions of keys at
+    scale — so unless the session already chose a provider, state lives in
+    RocksDB (off-heap, spills to local disk, checkpointed incrementally)
+    rather than in executor heap.  The choice is recorded in the checkpoint.
+    """
+    if not spark.conf.get(STATE_PROVIDER_CONF, None) or "HDFSBacked" in spark.conf.get(STATE_PROVIDER_CONF):
+        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
     stream = silver_stream(raw_line_stream(spark, raw_root, glob, max_files))
     writer = (
         stream.writeStream.format("parquet")
