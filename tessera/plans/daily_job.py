@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.operators import consume, quality
 from tessera.operators.silver import ingest_stats, raw_to_silver
 from tessera.plans.gold_build import GoldRun, build_gold
+from tessera.schemas import SILVER_ROWS_PER_FILE
 from tessera.session import ensure_conf
 from tessera.sources.tables import ensure_namespace, write_partitions
 
@@ -42,7 +43,7 @@ def run_daily(
     ensure_namespace(spark, namespace)
     silver_table = f"{namespace}.silver_events"
     # raw → Silver table (one job: scan, parse, dedup, partition overwrite)
-    write_partitions(raw_to_silver(spark, raw_root, dates, glob), silver_table)
+    write_partitions(raw_to_silver(spark, raw_root, dates, glob), silver_table, rows_per_file=SILVER_ROWS_PER_FILE)
     silver = spark.table(silver_table)
     if dates is not None:
         silver = silver.where(F.col("dt").isin(list(dates)))

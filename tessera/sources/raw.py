@@ -23,8 +23,8 @@ def read_raw_lines(
 ) -> DataFrame:
     """A1: lines of the requested `dt` partitions (all partitions when `dates` is None).
 
-    Columns: `dt`, `line`, `_file`, `_block`, `_pos`.  Only files matching
-    `glob` are read; partition values stay strings.
+    Columns: `dt`, `line`, `_file` (path below the day directory), `_block`,
+    `_pos`.  Only files matching `glob` are read; partition values stay strings.
     """
     root = root.rstrip("/")
     paths = [root] if dates is None else [f"{root}/dt={d}" for d in dict.fromkeys(dates)]
@@ -38,7 +38,9 @@ def read_raw_lines(
     return df.select(
         F.col("dt").cast("string").alias("dt"),
         F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("_file"),
+        # Order among a day's files = order of their paths below `dt=D/` (same
+        # prefix), which is a much shorter sort key to carry through the shuffle.
+        F.regexp_extract(F.col("_metadata.file_path"), r"/dt=[^/]*/(.*)$", 1).alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         # Increasing within a split, in line order; with (_file, _block) it is
         # a total order of the physical input.  Computed at the scan.

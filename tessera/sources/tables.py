@@ -44,10 +44,13 @@ def iceberg_available(spark: SparkSession, catalog: str) -> bool:
     return "iceberg" in impl.lower()
 
 
-def write_partitions(df: DataFrame, table: str, partition_col: str = "dt") -> bool:
+def write_partitions(
+    df: DataFrame, table: str, partition_col: str = "dt", rows_per_file: int | None = None
+) -> bool:
     """Create-if-missing, else align and overwrite the partitions present.
 
-    Returns True when the table was created by this call.
+    `rows_per_file` caps file size (A3's bounded chunks).  Returns True when
+    the table was created by this call.
     """
     spark = df.sparkSession
     ensure_conf(spark)
@@ -60,12 +63,13 @@ def write_partitions(df: DataFrame, table: str, partition_col: str = "dt") -> bo
             return True
         align_to_schema(df, spark.table(table).schema).writeTo(table).overwritePartitions()
         return False
+    opts = {"maxRecordsPerFile": str(int(rows_per_file))} if rows_per_file else {}
     if not spark.catalog.tableExists(table):
-        df.write.format("parquet").partitionBy(partition_col).saveAsTable(table)
+        df.write.options(**opts).format("parquet").partitionBy(partition_col).saveAsTable(table)
         return True
     target = spark.table(table).schema
     # insertInto is positional: align first so evolved / reordered tables stay writable.
-    align_to_schema(df, target).write.insertInto(table, overwrite=True)
+    align_to_schema(df, target).write.options(**opts).insertInto(table, overwrite=True)
     return False
 
 
