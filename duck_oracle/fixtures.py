@@ -35,6 +35,7 @@ fx_b AS (
 
 
 def payload_sql(raw: bool) -> str:
+    """Payload text as json.dumps writes it (separators ", " and ": ")."""
     price = "CAST(_cents AS VARCHAR)"
     brand = "'\"B' || CAST(_k % 10 AS VARCHAR) || '\"'"
     if raw:
@@ -43,26 +44,26 @@ def payload_sql(raw: bool) -> str:
             "ELSE CAST(_cents AS VARCHAR) END"
         )
         brand = (
-            "CASE WHEN _id % 251 = 10 THEN '{\"name\":\"B' || CAST(_k % 10 AS VARCHAR) || '\"}' "
+            "CASE WHEN _id % 251 = 10 THEN '{\"name\": \"B' || CAST(_k % 10 AS VARCHAR) || '\"}' "
             "ELSE '\"B' || CAST(_k % 10 AS VARCHAR) || '\"' END"
         )
     product = (
-        "'{\"product_id\":\"' || CASE WHEN _id % 67 = 0 THEN 'P900' ELSE 'P' END || CAST(_k AS VARCHAR) || '\"'"
-        " || ',\"category_id\":\"C0' || CAST(_k % 8 + 1 AS VARCHAR) || '\"'"
-        f" || ',\"brand\":' || {brand}"
-        f" || ',\"price\":' || {price}"
+        "'{\"product_id\": \"' || CASE WHEN _id % 67 = 0 THEN 'P900' ELSE 'P' END || CAST(_k AS VARCHAR) || '\"'"
+        " || ', \"category_id\": \"C0' || CAST(_k % 8 + 1 AS VARCHAR) || '\"'"
+        f" || ', \"brand\": ' || {brand}"
+        f" || ', \"price\": ' || {price}"
     )
     qty = "CAST((_id % 3 + 1) * CASE WHEN _id % 89 = 0 THEN -1 ELSE 1 END AS VARCHAR)"
     coupon = "CASE WHEN _id % 4 = 0 THEN '\"CP10\"' WHEN _id % 4 = 1 THEN '\"FREESHIP\"' ELSE 'null' END"
     text = f"""CASE _type
-      WHEN 'view' THEN {product} || ',"page":"' || {_pick(PAGES, '_id')} || '","position":' || CAST(_id % 39 + 1 AS VARCHAR) || '}}'
-      WHEN 'add_to_cart' THEN {product} || ',"quantity":' || {qty} || '}}'
-      WHEN 'purchase' THEN {product} || ',"order_id":"O' || CAST(_id AS VARCHAR) || '","quantity":' || {qty}
-           || ',"total_amount":' || CAST(_cents * (_id % 3 + 1) AS VARCHAR)
-           || ',"payment_method":"' || {_pick(PAYMENTS, '_id')} || '","coupon_id":' || {coupon} || '}}'
-      WHEN 'search' THEN '{{"query":"q' || CAST(_k AS VARCHAR) || '","results_count":' || CAST(_k AS VARCHAR) || '}}'
-      WHEN 'refund' THEN '{{"order_id":"O' || CAST(_id AS VARCHAR) || '","refund_amount":' || CAST(_cents AS VARCHAR)
-           || ',"reason_code":"' || {_pick(REASONS, '_id')} || '"}}'
+      WHEN 'view' THEN {product} || ', "page": "' || {_pick(PAGES, '_id')} || '", "position": ' || CAST(_id % 39 + 1 AS VARCHAR) || '}}'
+      WHEN 'add_to_cart' THEN {product} || ', "quantity": ' || {qty} || '}}'
+      WHEN 'purchase' THEN {product} || ', "order_id": "O' || CAST(_id AS VARCHAR) || '", "quantity": ' || {qty}
+           || ', "total_amount": ' || CAST(_cents * (_id % 3 + 1) AS VARCHAR)
+           || ', "payment_method": "' || {_pick(PAYMENTS, '_id')} || '", "coupon_id": ' || {coupon} || '}}'
+      WHEN 'search' THEN '{{"query": "q' || CAST(_k AS VARCHAR) || '", "results_count": ' || CAST(_k AS VARCHAR) || '}}'
+      WHEN 'refund' THEN '{{"order_id": "O' || CAST(_id AS VARCHAR) || '", "refund_amount": ' || CAST(_cents AS VARCHAR)
+           || ', "reason_code": "' || {_pick(REASONS, '_id')} || '"}}'
     END"""
     if raw:
         text = f"CASE WHEN _id % 251 = 7 THEN '{{}}' ELSE {text} END"

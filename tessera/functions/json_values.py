@@ -81,3 +81,19 @@ def payload_object(v: Column) -> Column:
     p = variant_at(v, "$.payload")
     t = json_type(p)
     return F.when(t.startswith("OBJECT<") & (t != "OBJECT<>"), p)
+
+
+# Marker for the separator rewrite; JSON text cannot contain it unescaped.
+_MARK = "\u0001"
+_STRING_OR_SEPARATOR = r'("(?:[^"\\]|\\.)*")|([,:])'
+
+
+def python_json_text(compact: Column) -> Column:
+    """Compact JSON text → the text Python's `json.dumps(obj, ensure_ascii=False)`
+    writes: `", "` and `": "` separators outside string literals.
+
+    Every string literal and separator is tagged with a marker in one pass
+    (literals are consumed whole, so commas/colons inside them are untouched),
+    then tagged separators get their space and the remaining markers go."""
+    tagged = F.regexp_replace(compact, _STRING_OR_SEPARATOR, "$1$2" + _MARK)
+    return F.regexp_replace(F.regexp_replace(tagged, "([,:])" + _MARK, "$1 "), _MARK, "")

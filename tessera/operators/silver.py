@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tessera.functions.json_values import (
     json_type,
     payload_object,
+    python_json_text,
     variant_at,
     variant_to_int,
     variant_to_str,
@@ -87,11 +88,12 @@ def extract_silver(parsed: DataFrame) -> DataFrame:
     v = F.col("_v")
     types = {n: t for n, t, _ in SILVER_FIELDS}
     keep = ["dt", "_file", "_block", "_pos"]
-    # The payload's JSON text, key order kept; NULL unless a non-empty object.
+    # The payload's JSON text as json.dumps writes it (key order kept,
+    # non-ASCII kept); NULL unless the payload is a non-empty object.
     pj = F.get_json_object(F.col("line"), "$.payload")
     stage0 = parsed.where(F.col("_object") & valid_event_id(v)).select(
         *keep,
-        F.when(pj.startswith("{") & (pj != "{}"), pj).alias("payload_json"),
+        F.when(pj.startswith("{") & (pj != "{}"), python_json_text(pj)).alias("payload_json"),
         F.try_variant_get(v, "$", TOP_STRUCT).alias("_top"),
     )
     leaves = {n: F.col(f"_top.{n}") for n in ["event_id", "schema_version", "event_time", "ingest_time", *_TOP]}

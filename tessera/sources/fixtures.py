@@ -83,12 +83,19 @@ def fx_silver(events: DataFrame) -> DataFrame:
     return _fx_columns(_silver_base(events)).select(*SILVER_TABLE_COLUMNS)
 
 
-def _payload_text(raw: bool = False) -> Column:
-    """Compact JSON text of the payload, keys in a fixed order per event type.
+def _payload_text(raw: bool = False, py: bool = True) -> Column:
+    """JSON text of the payload, keys in a fixed order per event type.
 
+    `py=True` writes json.dumps' separators (`", "`, `": "`), as Silver stores
+    it; `py=False` writes compact JSON, as the raw landing lines carry it.
     With `raw=True` the FX-RAW anomalies are applied (price as text, `" 1e3 "`,
     object-valued brand, empty payload)."""
     eid, k, cents, etype = F.col("_id"), F.col("_k"), F.col("_cents"), F.col("_type")
+    comma, colon = (", ", ": ") if py else (",", ":")
+
+    def kv(name: str, value: Column, first: bool = False) -> list[Column]:
+        return [F.lit(("{" if first else comma) + f'"{name}"' + colon), value]
+
     r = eid % RAW_ANOMALY_MOD
     qty = (eid % 3 + 1) * F.when(eid % 89 == 0, -1).otherwise(1)
     product = F.when(eid % 67 == 0, F.concat(F.lit("P900"), _s(k))).otherwise(F.concat(F.lit("P"), _s(k)))
@@ -102,46 +109,47 @@ def _payload_text(raw: bool = False) -> Column:
             .when(eid % 97 == 0, _q(_s(cents)))
             .otherwise(_s(cents))
         )
-        brand_text = F.when(r == RAW_OBJECT_BRAND, F.concat(F.lit('{"name":'), _q(brand), F.lit("}"))).otherwise(
-            _q(brand)
-        )
-    product_part = F.concat(
-        F.lit('{"product_id":'), _q(product),
-        F.lit(',"category_id":'), _q(category),
-        F.lit(',"brand":'), brand_text,
-        F.lit(',"price":'), price_text,
-    )
+        brand_text = F.when(
+            r == RAW_OBJECT_BRAND, F.concat(F.lit('{"name"' + colon), _q(brand), F.lit("}"))
+        ).otherwise(_q(brand))
+    product_part = [
+        *kv("product_id", _q(product), first=True),
+        *kv("category_id", _q(category)),
+        *kv("brand", brand_text),
+        *kv("price", price_text),
+    ]
     coupon = F.when(eid % 4 == 0, F.lit('"CP10"')).when(eid % 4 == 1, F.lit('"FREESHIP"')).otherwise(F.lit("null"))
+    end = F.lit("}")
+    order = _q(F.concat(F.lit("O"), _s(eid)))
     text = (
         F.when(
             etype == "view",
-            F.concat(product_part, F.lit(',"page":'), _q(_pick(PAGES, eid)),
-                     F.lit(',"position":'), _s(eid % 39 + 1), F.lit("}")),
+            F.concat(*product_part, *kv("page", _q(_pick(PAGES, eid))), *kv("position", _s(eid % 39 + 1)), end),
         )
-        .when(etype == "add_to_cart", F.concat(product_part, F.lit(',"quantity":'), _s(qty), F.lit("}")))
+        .when(etype == "add_to_cart", F.concat(*product_part, *kv("quantity", _s(qty)), end))
         .when(
             etype == "purchase",
             F.concat(
-                product_part,
-                F.lit(',"order_id":'), _q(F.concat(F.lit("O"), _s(eid))),
-                F.lit(',"quantity":'), _s(qty),
-                F.lit(',"total_amount":'), _s(cents * (eid % 3 + 1)),
-                F.lit(',"payment_method":'), _q(_pick(PAYMENT_METHODS, eid)),
-                F.lit(',"coupon_id":'), coupon,
-                F.lit("}"),
+                *product_part,
+                *kv("order_id", order),
+                *kv("quantity", _s(qty)),
+                *kv("total_amount", _s(cents * (eid % 3 + 1))),
+                *kv("payment_method", _q(_pick(PAYMENT_METHODS, eid))),
+                *kv("coupon_id", coupon),
+                end,
             ),
         )
         .when(
             etype == "search",
-            F.concat(F.lit('{"query":'), _q(F.concat(F.lit("q"), _s(k))), F.lit(',"results_count":'), _s(k), F.lit("}")),
+            F.concat(*kv("query", _q(F.concat(F.lit("q"), _s(k))), first=True), *kv("results_count", _s(k)), end),
         )
         .when(
             etype == "refund",
             F.concat(
-                F.lit('{"order_id":'), _q(F.concat(F.lit("O"), _s(eid))),
-                F.lit(',"refund_amount":'), _s(cents),
-                F.lit(',"reason_code":'), _q(_pick(REASON_CODES, eid)),
-                F.lit("}"),
+                *kv("order_id", order, first=True),
+                *kv("refund_amount", _s(cents)),
+                *kv("reason_code", _q(_pick(REASON_CODES, eid))),
+                end,
             ),
         )
     )
@@ -257,7 +265,7 @@ def fx_raw_lines(events: DataFrame) -> DataFrame:
             F.lit(',"device":'), device,
             F.lit(',"geo":'), geo,
             F.lit(',"source":'), source,
-            F.lit(',"payload":'), _payload_text(raw=True),
+            F.lit(',"payload":'), _payload_text(raw=True, py=False),
             F.lit("}"),
         )
 

@@ -124,3 +124,14 @@ def test_silver_files_rerun_clears_day(spark, raw_root, tmp_path):
     assert read_silver_files(spark, out).count() == 8
     write_silver_files(df.where(F.lit(False)), out, ["2024-03-01"])  # day now empty → stale rows gone
     assert read_silver_files(spark, out, ["2024-03-01"]).count() == 0
+
+
+def test_payload_json_is_json_dumps_text(silver_rows):
+    """payload_json is byte-equal to json.dumps(payload, ensure_ascii=False)."""
+    assert silver_rows["e5"]["payload_json"] == json.dumps(
+        {"brand": {"x": 1}, "price": " 1e3 ", "quantity": 2.9}, ensure_ascii=False
+    )
+    assert silver_rows["e8"]["payload_json"] == json.dumps({"query": "한글"}, ensure_ascii=False)
+    assert silver_rows["e1"]["payload_json"] == json.dumps(
+        {"product_id": "P1", "price": 100, "quantity": 2, "order_id": "O1", "total_amount": 200}
+    )
