@@ -62,6 +62,44 @@ def variant_to_int(v: Column, sql_type: str = "bigint", t: Column | None = None)
     )
 
 
+def python_float_text(d: Column) -> Column:
+    """Text of a finite double as Python's `repr` writes it.
+
+    Python writes the shortest digit string that reads back as the same
+    double, in fixed notation for decimal exponents -4..15 and as `d.ddde±XX`
+    outside them.  The digits are the first of the 17 candidate precisions
+    (`%.0e` … `%.16e`) that round-trips; then the decimal point or exponent is
+    placed the way Python does.  (Only float values in text columns take this
+    path, so the candidate list is not on a hot path.)
+    """
+    cands = F.array(*[F.format_string(f"%.{p}e", d) for p in range(17)])
+    best = F.element_at(F.filter(cands, lambda s: s.cast("double") == d), 1)
+    sci = r"^(-?)([0-9])(?:\.([0-9]+))?e([+-][0-9]+)$"
+    sign = F.regexp_extract(best, sci, 1)
+    lead = F.regexp_extract(best, sci, 2)
+    digits = F.concat(lead, F.regexp_extract(best, sci, 3))
+    exp = F.regexp_extract(best, sci, 4).cast("int")
+    n = F.length(digits)
+
+    def zeros(k: Column) -> Column:
+        return F.repeat(F.lit("0"), k)
+
+    fixed = (
+        F.when(exp < 0, F.concat(F.lit("0."), zeros(-exp - 1), digits))
+        .when(n <= exp + 1, F.concat(digits, zeros(exp + 1 - n), F.lit(".0")))
+        .otherwise(F.concat(F.substr(digits, F.lit(1), exp + 1), F.lit("."), F.substr(digits, exp + 2)))
+    )
+    exp_text = F.abs(exp).cast("string")
+    scientific = F.concat(
+        lead,
+        F.when(n > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(F.lit("")),
+        F.lit("e"),
+        F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+        F.when(F.abs(exp) < 10, F.concat(F.lit("0"), exp_text)).otherwise(exp_text),
+    )
+    return F.concat(sign, F.when((exp >= -4) & (exp <= 15), fixed).otherwise(scientific))
+
+
 def variant_to_str(v: Column, t: Column | None = None) -> Column:
     """B4 `to_str`: strings as-is, numbers as text, booleans as `True`/`False`;
     objects, arrays and JSON null are NULL."""
@@ -71,7 +109,7 @@ def variant_to_str(v: Column, t: Column | None = None) -> Column:
         .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
         # integers too wide for 64 bits arrive as DECIMAL(p,0): keep their digits
         .when(t.startswith("DECIMAL") & t.endswith(",0)"), F.try_variant_get(v, "$", "string"))
-        .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double").cast("string"))
+        .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), python_float_text(F.try_variant_get(v, "$", "double")))
         .when(_is_number(t), F.try_variant_get(v, "$", "string"))
     )
 

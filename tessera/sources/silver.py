@@ -50,3 +50,28 @@ def read_silver_files(spark: SparkSession, root: str, dates: list[str] | None =
     if dates is not None:
         df = df.where(F.col("dt").isin(list(dates)))
     return df.select(*SILVER_COLUMNS, "dt")
+
+
+def silver_write_summary(spark: SparkSession, root: str, stats: DataFrame, dates: list[str]) -> DataFrame:
+    """A2 run summary per day: `parts` (Parquet files now in `root/dt=D`), `rows`,
+    `raw_lines`, `dedup_skipped`, `json_parse_errors`.
+
+    `parts` comes from listing the written day directories (file metadata on
+    the driver, one listing per requested day); the counters from `stats`."""
+    root = root.rstrip("/")
+    parts = []
+    for day in dict.fromkeys(dates):
+        try:
+            files = [f for f in spark.read.parquet(f"{root}/dt={day}").inputFiles() if f.endswith(".parquet")]
+        except Exception:  # noqa: BLE001 - day directory absent
+            files = []
+        parts.append((day, len(files)))
+    listed = spark.createDataFrame(parts, "dt string, parts int")
+    return listed.join(stats, "dt", "left").select(
+        "dt",
+        "parts",
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.coalesce("raw_lines", F.lit(0)).alias("raw_lines"),
+        F.coalesce("dedup_skipped", F.lit(0)).alias("dedup_skipped"),
+        F.coalesce("json_parse_errors", F.lit(0)).alias("json_parse_errors"),
+    )

@@ -122,6 +122,12 @@ def test_silver_files_rerun_clears_day(spark, raw_root, tmp_path):
     assert read_silver_files(spark, out).count() == 8
     write_silver_files(df, out, ["2024-03-01"])  # rerun: same content
     assert read_silver_files(spark, out).count() == 8
+    from tessera.sources.silver import silver_write_summary
+
+    summary = silver_write_summary(spark, out, ingest_stats(spark, raw_root, ["2024-03-01"]), ["2024-03-01"]).first()
+    assert (summary["rows"], summary["raw_lines"], summary["dedup_skipped"], summary["json_parse_errors"]) == (
+        8, 11, 1, 1)
+    assert summary["parts"] >= 1
     write_silver_files(df.where(F.lit(False)), out, ["2024-03-01"])  # day now empty → stale rows gone
     assert read_silver_files(spark, out, ["2024-03-01"]).count() == 0
 
