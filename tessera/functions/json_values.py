@@ -63,6 +63,15 @@ def variant_to_int(v: Column, sql_type: str = "bigint", t: Column | None = None)
 
 
 def python_float_text(d: Column) -> Column:
+    """Text of a finite double as Python's `repr` writes it (see `_float_text`).
+
+    Evaluated inside a one-element `transform` so that its large expression
+    stays out of the generated code of the hot Silver projection; only JSON
+    floats in text columns reach it."""
+    return F.element_at(F.transform(F.array(d), _float_text), 1)
+
+
+def _float_text(d: Column) -> Column:
     """Text of a finite double as Python's `repr` writes it.
 
     Python writes the shortest digit string that reads back as the same
@@ -100,16 +109,26 @@ def python_float_text(d: Column) -> Column:
     return F.concat(sign, F.when((exp >= -4) & (exp <= 15), fixed).otherwise(scientific))
 
 
-def variant_to_str(v: Column, t: Column | None = None) -> Column:
+def is_float_type(t: Column) -> Column:
+    """JSON type of a non-integral number (DECIMAL with a scale, or DOUBLE)."""
+    return (t.startswith("DECIMAL") & ~t.endswith(",0)")) | t.isin("DOUBLE", "FLOAT")
+
+
+def variant_to_str(v: Column, t: Column | None = None, python_floats: bool = True) -> Column:
     """B4 `to_str`: strings as-is, numbers as text, booleans as `True`/`False`;
-    objects, arrays and JSON null are NULL."""
+    objects, arrays and JSON null are NULL.
+
+    Floats are written as Python's `repr` writes them; with
+    `python_floats=False` they keep Spark's text (for a later, separate fix-up
+    of the few values that need it, see `python_float_text`)."""
     t = json_type(v) if t is None else t
+    as_double = F.try_variant_get(v, "$", "double")
     return (
         F.when(t == "STRING", F.try_variant_get(v, "$", "string"))
         .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
         # integers too wide for 64 bits arrive as DECIMAL(p,0): keep their digits
         .when(t.startswith("DECIMAL") & t.endswith(",0)"), F.try_variant_get(v, "$", "string"))
-        .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), python_float_text(F.try_variant_get(v, "$", "double")))
+        .when(is_float_type(t), python_float_text(as_double) if python_floats else as_double.cast("string"))
         .when(_is_number(t), F.try_variant_get(v, "$", "string"))
     )
 

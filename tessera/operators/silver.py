@@ -18,7 +18,9 @@ from tessera.functions.json_values import (
     variant_to_int,
     variant_to_str,
 )  # noqa: F401
-from tessera.functions.time import parse_iso_utc
+from tessera.functions.json_values import is_float_type
+from tessera.functions.json_values import _float_text as python_float_text_inline
+from tessera.functions.time import non_canonical, parse_iso_fast, parse_iso_general
 from tessera.functions.metrics import count_when
 from tessera.operators.dedup import first_seen
 from tessera.schemas import SILVER_FIELDS, SILVER_TABLE_COLUMNS
@@ -43,6 +45,10 @@ _PAYLOAD_COLUMNS = [
     "payment_method", "coupon_id", "search_query", "results_count", "refund_amount", "reason_code",
 ]
 _SQL_TYPE = {"IntegerType()": "int", "LongType()": "bigint"}
+# Silver text columns fed by JSON values (where a JSON float needs Python text).
+TEXT_COLUMNS = _TOP + list(_NESTED) + [
+    "product_id", "category_id", "brand", "order_id", "payment_method", "coupon_id", "search_query", "reason_code",
+]
 
 
 def valid_event_id(v) -> F.Column:
@@ -53,7 +59,7 @@ def valid_event_id(v) -> F.Column:
 
 def _typed(value, dtype, t) -> F.Column:
     sql = _SQL_TYPE.get(repr(dtype))
-    return variant_to_int(value, sql, t) if sql else variant_to_str(value, t)
+    return variant_to_int(value, sql, t) if sql else variant_to_str(value, t, python_floats=False)
 
 
 def _object_struct(fields: dict[str, list[str] | None]) -> str:
@@ -116,20 +122,54 @@ def extract_silver(parsed: DataFrame) -> DataFrame:
 
     cols = {"event_id": F.try_variant_get(val("event_id"), "$", "string")}
     cols["schema_version"] = variant_to_int(val("schema_version"), "int", typ("schema_version"))
+    side = []
     for name in ("event_time", "ingest_time"):
-        cols[name] = F.when(typ(name) == "STRING", parse_iso_utc(F.try_variant_get(val(name), "$", "string")))
-    for name in _TOP + list(_NESTED):
-        cols[name] = variant_to_str(val(name), typ(name))
-    for name in _PAYLOAD_COLUMNS:
+        text = F.when(typ(name) == "STRING", F.try_variant_get(val(name), "$", "string"))
+        cols[name] = parse_iso_fast(text)
+        side.append(non_canonical(text).alias(f"_raw_{name}"))
+    for name in TEXT_COLUMNS:
         cols[name] = _typed(val(name), types[name], typ(name))
+    for name in _PAYLOAD_COLUMNS:
+        if name not in cols:
+            cols[name] = _typed(val(name), types[name], typ(name))
     cols["payload_json"] = F.col("payload_json")
+    # Bit i set: text column i holds a JSON float (its Python text is fixed later).
+    mask = F.lit(0)
+    for i, name in enumerate(TEXT_COLUMNS):
+        mask = mask + F.when(is_float_type(typ(name)), F.lit(1 << i)).otherwise(F.lit(0))
+    side.append(mask.alias("_float_mask"))
     ordered = [cols[n].cast(types[n]).alias(n) for n, _, _ in SILVER_FIELDS]
-    return stage2.select(*ordered, *keep)
+    return stage2.select(*ordered, *side, *keep)
+
+
+def finish_silver(rows: DataFrame) -> DataFrame:
+    """The rare, expensive conversions, applied in their own stage (after the
+    dedup window, on one row per event): times in non-canonical ISO shapes,
+    and Python float text for JSON floats in text columns.
+
+    The float fix-up is ONE `transform` over the row's text values, evaluated
+    only when the row's float mask is non-zero; other rows pass through."""
+    mask = F.col("_float_mask")
+    texts = F.array(*[F.col(n) for n in TEXT_COLUMNS])
+
+    def fix(x, i):
+        bit_set = (mask / F.pow(F.lit(2), i)).cast("long") % 2 == 1
+        return F.when(bit_set, python_float_text_inline(x.cast("double"))).otherwise(x)
+
+    staged = rows.withColumn("_fixed", F.when(mask != 0, F.transform(texts, fix)))
+    out = {}
+    for name in ("event_time", "ingest_time"):
+        raw = F.col(f"_raw_{name}")
+        out[name] = F.when(raw.isNull(), F.col(name)).otherwise(parse_iso_general(raw))
+    for i, name in enumerate(TEXT_COLUMNS):
+        out[name] = F.when(F.col("_fixed").isNull(), F.col(name)).otherwise(F.element_at("_fixed", i + 1))
+    return staged.select(*[out.get(n, F.col(n)).alias(n) for n in SILVER_TABLE_COLUMNS])
 
 
 def dedup_silver(rows: DataFrame) -> DataFrame:
-    """H1: first-seen row per (dt, event_id) in (file, split, line) order."""
-    return first_seen(rows, ["dt", "event_id"], ["_file", "_block", "_pos"]).select(*SILVER_TABLE_COLUMNS)
+    """H1: first-seen row per (dt, event_id) in (file, split, line) order, then
+    the finishing conversions on the surviving rows."""
+    return finish_silver(first_seen(rows, ["dt", "event_id"], ["_file", "_block", "_pos"]))
 
 
 def raw_to_silver(

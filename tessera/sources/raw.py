@@ -24,7 +24,8 @@ def read_raw_lines(
     """A1: lines of the requested `dt` partitions (all partitions when `dates` is None).
 
     Columns: `dt`, `line`, `_file` (path below the day directory), `_block`,
-    `_pos`.  Only files matching `glob` are read; partition values stay strings.
+    `_pos`, `_v` (the line parsed as VARIANT, NULL when not JSON).  Only files
+    matching `glob` are read; partition values stay strings.
     """
     root = root.rstrip("/")
     paths = [root] if dates is None else [f"{root}/dt={d}" for d in dict.fromkeys(dates)]
@@ -45,20 +46,24 @@ def read_raw_lines(
         # Increasing within a split, in line order; with (_file, _block) it is
         # a total order of the physical input.  Computed at the scan.
         F.monotonically_increasing_id().alias("_pos"),
+        # Parsed here, next to the nondeterministic `_pos`: the optimizer cannot
+        # push later row filters below this projection, so each line is parsed
+        # exactly once instead of once per filter term.
+        parse_json_line(F.col("value")).alias("_v"),
     )
 
 
 def parse_raw_lines(lines: DataFrame) -> DataFrame:
-    """A2: parse each line once into a VARIANT and classify it.
+    """A2: classify each parsed line.
 
     `_blank`  — empty line (skipped, not counted);
     `_bad`    — non-blank line that is not valid JSON (`json_parse_errors`);
     `_object` — a JSON object (counted in `raw_lines`); other JSON values are
                 skipped silently.
     """
-    v = parse_json_line(F.col("line"))
+    v = F.col("_v") if "_v" in lines.columns else parse_json_line(F.col("line"))
     return lines.select(
-        "*",
+        *[c for c in lines.columns if c != "_v"],
         v.alias("_v"),
         (F.col("line") == "").alias("_blank"),
         ((F.col("line") != "") & v.isNull()).alias("_bad"),

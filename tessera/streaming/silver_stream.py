@@ -9,8 +9,9 @@ State is bounded by the watermark: a duplicate that arrives more than the
 horizon after its first copy is no longer recognised (the batch path has no
 such limit).  The horizon covers the documented lateness (≤ 35 h) and
 next-day resends.  Which copy survives inside one micro-batch is not defined,
-unlike the batch path's first-seen rule.  Lines without a parseable
-`event_time` never advance or match the watermark; they are passed through.
+unlike the batch path's first-seen rule.  Lines whose `event_time` is not
+in the canonical ISO shape (or is missing) never advance or match the
+watermark; they are passed through (their time is still parsed).
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.operators.silver import extract_silver
-from tessera.schemas import SILVER_TABLE_COLUMNS
+from tessera.functions.json_values import parse_json_line
+from tessera.operators.silver import extract_silver, finish_silver
 from tessera.sources.raw import parse_raw_lines
 
 DEDUP_HORIZON = "48 hours"
@@ -37,17 +38,21 @@ def raw_line_stream(spark: SparkSession, raw_root: str, glob: str = "*.jsonl", m
         F.col("dt"),
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("_file"),
-        F.lit(0).cast("long").alias("_block"),
+        # Nondeterministic on purpose: keeps later filters above this
+        # projection, so each line is parsed once.
+        F.spark_partition_id().cast("long").alias("_block"),
         F.lit(0).cast("long").alias("_pos"),
+        parse_json_line(F.col("value")).alias("_v"),
     )
 
 
 def silver_stream(lines: DataFrame, horizon: str = DEDUP_HORIZON) -> DataFrame:
-    rows = extract_silver(parse_raw_lines(lines)).select(*SILVER_TABLE_COLUMNS)
+    rows = extract_silver(parse_raw_lines(lines))
+    # Canonical-shape times are final here; they drive the watermark.
     timed = rows.where(F.col("event_time").isNotNull())
     untimed = rows.where(F.col("event_time").isNull())
     deduped = timed.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark(["dt", "event_id"])
-    return deduped.unionByName(untimed)
+    return finish_silver(deduped).unionByName(finish_silver(untimed))
 
 
 def start_silver_stream(

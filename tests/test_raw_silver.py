@@ -141,3 +141,36 @@ def test_payload_json_is_json_dumps_text(silver_rows):
     assert silver_rows["e1"]["payload_json"] == json.dumps(
         {"product_id": "P1", "price": 100, "quantity": 2, "order_id": "O1", "total_amount": 200}
     )
+
+
+def test_rare_shapes_through_the_full_path(spark, tmp_path):
+    """Floats in text columns and non-canonical ISO times take the finishing
+    step after dedup; values must equal Python's str()/fromisoformat()."""
+    import datetime as _dt
+
+    day = tmp_path / "raw" / "dt=2024-03-01"
+    day.mkdir(parents=True)
+    lines = [
+        ev("f1", user_id=1.5e-05, session_id=12345678.9,
+           payload={"brand": 1e23, "product_id": 0.1, "price": 5}),
+        ev("f2", event_time="2024-03-01T10:07+09:00", ingest_time="20240301T100000Z"),
+        ev("f3", event_time="2024-W09-5T10:00:00.5+09:00", ingest_time="2024-03-01 10:00:00,25-05:30"),
+    ]
+    (day / "a.jsonl").write_text("\n".join(lines) + "\n")
+    rows = {r["event_id"]: r for r in raw_to_silver(spark, str(tmp_path / "raw")).collect()}
+    f1 = rows["f1"]
+    assert (f1["user_id"], f1["session_id"], f1["brand"], f1["product_id"]) == (
+        str(1.5e-05), str(12345678.9), str(1e23), str(0.1))
+    assert rows["f2"]["event_time"] == _dt.datetime(2024, 3, 1, 1, 7)
+    assert rows["f2"]["ingest_time"] == _dt.datetime(2024, 3, 1, 10, 0)
+    assert rows["f3"]["event_time"] == _dt.datetime(2024, 3, 1, 1, 0, 0, 500000)
+    assert rows["f3"]["ingest_time"] == _dt.datetime(2024, 3, 1, 15, 30, 0, 250000)
+
+
+def test_space_after_short_fraction_is_rejected(spark):
+    """Python rejects `.5 +09:00` (short fraction, then a space); so do we."""
+    from tessera.functions.time import parse_iso_utc
+
+    df = spark.createDataFrame([("2024-03-01T10:00:00.5 +09:00",), ("2024-03-01T10:00:00.500000 +09:00",)], "s string")
+    got = [r[0] for r in df.select(parse_iso_utc(F.col("s"))).collect()]
+    assert got[0] is None and str(got[1]) == "2024-03-01 01:00:00.500000"
