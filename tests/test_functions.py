@@ -119,3 +119,20 @@ def test_python_float_text_matches_repr(spark, xs):
     df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(xs)], "i int, d double")
     got = {r["i"]: r["s"] for r in df.select("i", python_float_text(F.col("d")).alias("s")).collect()}
     assert [got[i] for i in range(len(xs))] == [repr(float(x)) for x in xs]
+
+
+def iso_corpus():
+    dates = ["2024-03-05", "20240305", "2024-W10-2", "2024-02-30", "2021-W53-1", "2020-W53-7"]
+    seps = ["T", " ", "t", "_"]
+    times = ["10", "10:07", "10:07:08", "10:07:08.1", "10:07:08.123456", "10:07:08.1234567", "100708", "1007",
+             "10:07:08,5", "24:00:00", "10:07:60"]
+    offs = ["Z", "z", "+09:00", "+0900", "+09", "-05:30:15", "-05:30:15.5", "+24:00", "", " +09:00", "UTC"]
+    return [d + s + t + o for d in dates for s in seps for t in times for o in offs]
+
+
+def test_parse_iso_utc_matches_fromisoformat_on_corpus(spark):
+    corpus = iso_corpus()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(corpus)], "i int, s string")
+    got = {r["i"]: r["t"] for r in df.select("i", parse_iso_utc(F.col("s")).alias("t")).collect()}
+    bad = [(t, model_ts(t), got[i]) for i, t in enumerate(corpus) if got[i] != model_ts(t)]
+    assert not bad, bad[:10]
