@@ -38,8 +38,6 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     session_sec = time.time() - t_start
 
-    from pyspark.sql import functions as F
-
     from tessera.operators import consume, marts, quality
     from tessera.operators.dedup import first_seen, parquet_position
     from tessera.operators.silver import ingest_stats, raw_to_silver

@@ -63,15 +63,15 @@ def variant_to_int(v: Column, sql_type: str = "bigint", t: Column | None = None)
 
 
 def python_float_text(d: Column) -> Column:
-    """Text of a finite double as Python's `repr` writes it (see `_float_text`).
+    """Text of a finite double as Python's `repr` writes it (see `python_float_text_expr`).
 
     Evaluated inside a one-element `transform` so that its large expression
     stays out of the generated code of the hot Silver projection; only JSON
     floats in text columns reach it."""
-    return F.element_at(F.transform(F.array(d), _float_text), 1)
+    return F.element_at(F.transform(F.array(d), python_float_text_expr), 1)
 
 
-def _float_text(d: Column) -> Column:
+def python_float_text_expr(d: Column) -> Column:
     """Text of a finite double as Python's `repr` writes it.
 
     Python writes the shortest digit string that reads back as the same

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.json_values import (
     json_type,
-    payload_object,
     python_json_text,
     variant_at,
     variant_to_int,
     variant_to_str,
-)  # noqa: F401
+)
 from tessera.functions.json_values import is_float_type
-from tessera.functions.json_values import _float_text as python_float_text_inline
+from tessera.functions.json_values import python_float_text_expr
 from tessera.functions.time import non_canonical, parse_iso_fast, parse_iso_general
 from tessera.functions.metrics import count_when
 from tessera.operators.dedup import first_seen
@@ -154,7 +153,7 @@ def finish_silver(rows: DataFrame) -> DataFrame:
 
     def fix(x, i):
         bit_set = (mask / F.pow(F.lit(2), i)).cast("long") % 2 == 1
-        return F.when(bit_set, python_float_text_inline(x.cast("double"))).otherwise(x)
+        return F.when(bit_set, python_float_text_expr(x.cast("double"))).otherwise(x)
 
     staged = rows.withColumn("_fixed", F.when(mask != 0, F.transform(texts, fix)))
     out = {}
@@ -192,7 +191,8 @@ def ingest_stats(spark: SparkSession, raw_root: str, dates: list[str] | None = N
     v = F.col("_v")
     obj = F.col("_object")
     valid = obj & valid_event_id(v)
-    price = variant_at(payload_object(v), "$.price")
+    # A non-object or empty payload has no `$.payload.price` (NULL), which is the payload gate.
+    price = variant_at(v, "$.payload.price")
     raw = parsed.groupBy("dt").agg(
         F.count_distinct("_file").alias("files"),
         count_when(obj).alias("raw_lines"),

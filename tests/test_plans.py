@@ -11,6 +11,14 @@ from conftest import SF_SMALL
 ALL = sorted(se.queries())
 
 
+@pytest.fixture(autouse=True)
+def no_cached_relations(spark):
+    """Plans must be inspected as the optimizer builds them from the files, not
+    with another test's cached DataFrame substituted into them."""
+    spark.catalog.clearCache()
+    yield
+
+
 def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
