@@ -81,7 +81,7 @@ TOP_STRUCT = _object_struct(
 PAYLOAD_STRUCT = _object_struct({_PAYLOAD_KEY.get(n, n): None for n in _PAYLOAD_COLUMNS})
 
 
-def extract_silver(parsed: DataFrame) -> DataFrame:
+def extract_silver(parsed: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """The fixed Silver projection of valid raw objects (+ `dt` and position).
 
     Stacked projections: (1) the object is cast once to a struct of VARIANT
@@ -92,7 +92,7 @@ def extract_silver(parsed: DataFrame) -> DataFrame:
     """
     v = F.col("_v")
     types = {n: t for n, t, _ in SILVER_FIELDS}
-    keep = ["dt", "_file", "_block", "_pos"]
+    keep = ["dt", "_file", "_block", "_pos", *(carry or [])]
     # The payload's JSON text as json.dumps writes it (key order kept,
     # non-ASCII kept); NULL unless the payload is a non-empty object.
     pj = F.get_json_object(F.col("line"), "$.payload")

@@ -1,17 +1,19 @@
 """Incremental raw → Silver with Structured Streaming (M1).
 
 `readStream.text` over the landing zone → the same Silver projection as the
-batch path → `withWatermark(event_time, 48h)` + `dropDuplicatesWithinWatermark`
-on (dt, event_id) → an exactly-once Parquet file sink partitioned by `dt`.
-With `availableNow` the query drains what has landed and stops.
+batch path → `withWatermark(arrival, 48h)` + `dropDuplicatesWithinWatermark`
+on (dt, event_id) → the post-dedup finishing step → an exactly-once Parquet
+file sink partitioned by `dt`.  With `availableNow` the query drains what has
+landed and stops.
 
-State is bounded by the watermark: a duplicate that arrives more than the
-horizon after its first copy is no longer recognised (the batch path has no
-such limit).  The horizon covers the documented lateness (≤ 35 h) and
-next-day resends.  Which copy survives inside one micro-batch is not defined,
-unlike the batch path's first-seen rule.  Lines whose `event_time` is not
-in the canonical ISO shape (or is missing) never advance or match the
-watermark; they are passed through (their time is still parsed).
+The watermark runs on ARRIVAL time (the landed file's modification time), not
+on `event_time`: every line has one (even when its `event_time` is missing or
+malformed), resends arrive within the horizon of their first copy, and a
+legitimately late event is never dropped for being late.  State is bounded by
+the horizon: a duplicate arriving more than 48 h after its first copy is no
+longer recognised (the batch path has no such limit).  Which copy survives
+inside one micro-batch is not defined, unlike the batch path's first-seen
+rule; copies differ only in `ingest_time`.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ def raw_line_stream(spark: SparkSession, raw_root: str, glob: str = "*.jsonl", m
         F.col("dt"),
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_modification_time").alias("_arrival"),
         # Nondeterministic on purpose: keeps later filters above this
         # projection, so each line is parsed once.
         F.spark_partition_id().cast("long").alias("_block"),
@@ -47,12 +50,9 @@ def raw_line_stream(spark: SparkSession, raw_root: str, glob: str = "*.jsonl", m
 
 
 def silver_stream(lines: DataFrame, horizon: str = DEDUP_HORIZON) -> DataFrame:
-    rows = extract_silver(parse_raw_lines(lines))
-    # Canonical-shape times are final here; they drive the watermark.
-    timed = rows.where(F.col("event_time").isNotNull())
-    untimed = rows.where(F.col("event_time").isNull())
-    deduped = timed.withWatermark("event_time", horizon).dropDuplicatesWithinWatermark(["dt", "event_id"])
-    return finish_silver(deduped).unionByName(finish_silver(untimed))
+    rows = extract_silver(parse_raw_lines(lines), carry=["_arrival"])
+    deduped = rows.withWatermark("_arrival", horizon).dropDuplicatesWithinWatermark(["dt", "event_id"])
+    return finish_silver(deduped)
 
 
 def start_silver_stream(
