@@ -154,3 +154,33 @@ def test_snapshot_listing_limit(spark, silver, tmp_path):
     fx_versions(silver, root)
     assert [r["snapshot_id"] for r in versioned.snapshots(spark, root, limit=2).collect()] == [3, 2]
     assert [r["snapshot_id"] for r in versioned.history(spark, root, limit=1).collect()] == [3]
+
+
+def test_stream_keeps_late_events_and_dedups_untimed(spark, tmp_path):
+    import json as _json
+    import os
+    import time as _time
+
+    from tessera.streaming.silver_stream import start_silver_stream
+
+    def line(eid, t):
+        return _json.dumps({"event_id": eid, "event_type": "view", "event_time": t,
+                            "ingest_time": "2024-03-10T00:00:00Z", "payload": {"price": 1}})
+
+    day = tmp_path / "raw" / "dt=2024-03-10"
+    day.mkdir(parents=True)
+    (day / "a.jsonl").write_text("\n".join([
+        line("e1", "2024-03-10T00:00:00Z"),
+        line("late", "2024-02-01T00:00:00Z"),      # 38 days behind: must not be dropped
+        line("naive", "2024-03-10T00:00:00"),       # no offset: NULL event_time, still deduped
+    ]) + "\n")
+    (day / "b.jsonl").write_text("\n".join([line("naive", "2024-03-10T00:00:00"), line("e1", "2024-03-10T00:00:00Z")]) + "\n")
+    now = _time.time()
+    os.utime(day / "a.jsonl", (now - 60, now - 60))
+    os.utime(day / "b.jsonl", (now, now))
+    sink, ckpt = str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    q = start_silver_stream(spark, str(tmp_path / "raw"), sink, ckpt, max_files=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    ids = sorted(r["event_id"] for r in spark.read.parquet(sink).collect())
+    assert ids == ["e1", "late", "naive"]
