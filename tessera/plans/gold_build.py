@@ -36,15 +36,16 @@ def build_gold(
     spark: SparkSession,
     silver: DataFrame,
     gold_namespace: str,
-    dates: list[str],
+    dates: list[str] | None,
     mode: str = "single-pass",
 ) -> GoldRun:
-    """Build the Gold tables for `dates` from a Silver DataFrame (typically a table scan)."""
+    """Build the Gold tables for `dates` (every day present when None) from a
+    Silver DataFrame (typically a table scan)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     ensure_conf(spark)
     start = time.time()
-    df = silver.where(F.col("dt").isin(list(dates)))
+    df = silver if dates is None else silver.where(F.col("dt").isin(list(dates)))
     if mode == "with-cache":
         df = df.cache()
     if mode == "single-pass":
@@ -56,7 +57,7 @@ def build_gold(
         counts = df.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()
         rows = {r["dt"]: r["n"] for r in counts}
         outputs = gold.multi_pass(df)
-    missing = [d for d in dates if not rows.get(d)]
+    missing = [d for d in dates if not rows.get(d)] if dates is not None else ([] if rows else ["(any day)"])
     if missing:  # D6: nothing is written
         if mode == "with-cache":
             df.unpersist()
@@ -72,7 +73,7 @@ def build_gold(
             f.result()
     if mode == "with-cache":
         df.unpersist()
-    return GoldRun(mode, list(dates), time.time() - start, int(sum(rows.values())))
+    return GoldRun(mode, sorted(rows) if dates is None else list(dates), time.time() - start, int(sum(rows.values())))
 
 
 def record_run(spark: SparkSession, run: GoldRun, table: str) -> None:
