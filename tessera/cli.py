@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from tessera.operators import gold as gold_ops
 from tessera.operators import quality
 from tessera.operators.consume import validate_date
-from tessera.operators.silver import ingest_stats, raw_to_silver
+from tessera.operators.silver import raw_to_silver_observed
 from tessera.session import build_session
 from tessera.sources import versioned
 from tessera.sources.raw import RawPartitionMissing
-from tessera.sources.silver import read_silver_files, silver_write_summary, write_silver_files
+from tessera.sources.silver import day_parts, read_silver_files, write_silver_files
 from tessera.sources.tables import (
     add_column_if_missing,
     ensure_namespace,
@@ -48,17 +48,19 @@ def _namespace(table: str) -> str:
 
 
 def cmd_raw_to_silver(spark, a) -> int:
+    """One pass over the raw files: counters are observed while Silver is written."""
     try:
-        silver = raw_to_silver(spark, a.raw_root, [a.date], a.glob)
+        silver, counters = raw_to_silver_observed(spark, a.raw_root, [a.date], a.glob)
     except RawPartitionMissing as exc:
         print(f"ERROR: {exc}")
         return MISSING
-    write_silver_files(silver, a.silver_root, [a.date], a.rows_per_file)
-    stats = ingest_stats(spark, a.raw_root, [a.date], a.glob, silver=read_silver_files(spark, a.silver_root, [a.date]))
-    s = silver_write_summary(spark, a.silver_root, stats, [a.date]).first()
+    written = write_silver_files(silver, a.silver_root, [a.date], a.rows_per_file)
+    c = counters.get
+    parts = day_parts(spark, a.silver_root, [a.date])[a.date]
     print(
-        f"OK: wrote silver parquet {a.silver_root}/dt={a.date} parts={s['parts']} rows={s['rows']} "
-        f"(raw_lines={s['raw_lines']}, dedup_skipped={s['dedup_skipped']}, json_parse_errors={s['json_parse_errors']})"
+        f"OK: wrote silver parquet {a.silver_root}/dt={a.date} parts={parts} rows={written['rows']} "
+        f"(raw_lines={c['raw_lines']}, dedup_skipped={c['valid_rows'] - written['rows']}, "
+        f"json_parse_errors={c['json_parse_errors']})"
     )
     return OK
 

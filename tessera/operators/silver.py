@@ -7,7 +7,7 @@ shuffle is the dedup's, on (dt, event_id).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.json_values import (
@@ -179,6 +179,27 @@ def raw_to_silver(
     return dedup_silver(extract_silver(parsed))
 
 
+def raw_to_silver_observed(
+    spark: SparkSession, raw_root: str, dates: list[str] | None = None, glob: str = "*.jsonl"
+) -> tuple[DataFrame, Observation]:
+    """A1 + A2 + B8 + H1 in ONE pass: the Silver rows, plus an Observation that
+    is filled with the raw counters (`raw_lines`, `json_parse_errors`,
+    `invalid_event_id`, `valid_rows`, over all requested days) by whichever
+    action consumes the rows — typically the Silver write."""
+    seen = Observation("raw_ingest_counters")
+    parsed = parse_raw_lines(read_raw_lines(spark, raw_root, dates, glob))
+    v, obj = F.col("_v"), F.col("_object")
+    valid = obj & valid_event_id(v)
+    parsed = parsed.observe(
+        seen,
+        count_when(obj).alias("raw_lines"),
+        count_when(F.col("_bad")).alias("json_parse_errors"),
+        count_when(obj & ~valid).alias("invalid_event_id"),
+        count_when(valid).alias("valid_rows"),
+    )
+    return dedup_silver(extract_silver(parsed)), seen
+
+
 def ingest_stats(spark: SparkSession, raw_root: str, dates: list[str] | None = None, glob: str = "*.jsonl",
                  silver: DataFrame | None = None) -> DataFrame:
     """A2 + H2 per `dt`: files, raw_lines, json_parse_errors, invalid_event_id,

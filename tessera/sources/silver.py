@@ -16,8 +16,10 @@ from tessera.session import ensure_conf
 
 def write_silver_files(
     silver: DataFrame, root: str, dates: list[str] | None = None, rows_per_file: int = SILVER_ROWS_PER_FILE
-) -> None:
-    """A3: `root/dt=D/part-*.parquet` (snappy, ≤ `rows_per_file` rows per file)."""
+) -> dict:
+    """A3: `root/dt=D/part-*.parquet` (snappy, ≤ `rows_per_file` rows per file).
+
+    Returns `{"days": [...], "rows": n}` observed during the write itself."""
     spark = silver.sparkSession
     ensure_conf(spark)
     root = root.rstrip("/")
@@ -41,6 +43,8 @@ def write_silver_files(
             # The reference deletes a day's stale parts before writing; a day
             # with no rows now must therefore end up empty.
             spark.createDataFrame([], SILVER_SCHEMA).write.mode("overwrite").parquet(f"{root}/dt={day}")
+    got = seen.get
+    return {"days": sorted(got.get("days") or []), "rows": int(got.get("rows") or 0)}
 
 
 def read_silver_files(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
@@ -52,21 +56,24 @@ def read_silver_files(spark: SparkSession, root: str, dates: list[str] | None =
     return df.select(*SILVER_COLUMNS, "dt")
 
 
-def silver_write_summary(spark: SparkSession, root: str, stats: DataFrame, dates: list[str]) -> DataFrame:
-    """A2 run summary per day: `parts` (Parquet files now in `root/dt=D`), `rows`,
-    `raw_lines`, `dedup_skipped`, `json_parse_errors`.
-
-    `parts` comes from listing the written day directories (file metadata on
-    the driver, one listing per requested day); the counters from `stats`."""
+def day_parts(spark: SparkSession, root: str, dates: list[str]) -> dict[str, int]:
+    """Parquet files now in `root/dt=D` per requested day (file metadata listed
+    on the driver, one listing per requested day)."""
     root = root.rstrip("/")
-    parts = []
+    parts = {}
     for day in dict.fromkeys(dates):
         try:
             files = [f for f in spark.read.parquet(f"{root}/dt={day}").inputFiles() if f.endswith(".parquet")]
         except Exception:  # noqa: BLE001 - day directory absent
             files = []
-        parts.append((day, len(files)))
-    listed = spark.createDataFrame(parts, "dt string, parts int")
+        parts[day] = len(files)
+    return parts
+
+
+def silver_write_summary(spark: SparkSession, root: str, stats: DataFrame, dates: list[str]) -> DataFrame:
+    """A2 run summary per day: `parts` (Parquet files now in `root/dt=D`), `rows`,
+    `raw_lines`, `dedup_skipped`, `json_parse_errors` (counters from `stats`)."""
+    listed = spark.createDataFrame(list(day_parts(spark, root, dates).items()), "dt string, parts int")
     return listed.join(stats, "dt", "left").select(
         "dt",
         "parts",

@@ -174,3 +174,15 @@ def test_space_after_short_fraction_is_rejected(spark):
     df = spark.createDataFrame([("2024-03-01T10:00:00.5 +09:00",), ("2024-03-01T10:00:00.500000 +09:00",)], "s string")
     got = [r[0] for r in df.select(parse_iso_utc(F.col("s"))).collect()]
     assert got[0] is None and str(got[1]) == "2024-03-01 01:00:00.500000"
+
+
+def test_observed_single_pass_counters(spark, raw_root, tmp_path):
+    """A2 counters observed during the Silver write equal the separate aggregate."""
+    from tessera.operators.silver import raw_to_silver_observed
+
+    silver, counters = raw_to_silver_observed(spark, raw_root, ["2024-03-01"])
+    written = write_silver_files(silver, str(tmp_path / "s"), ["2024-03-01"])
+    c = counters.get
+    assert written == {"days": ["2024-03-01"], "rows": 8}
+    assert (c["raw_lines"], c["json_parse_errors"], c["invalid_event_id"], c["valid_rows"]) == (11, 1, 2, 9)
+    assert c["valid_rows"] - written["rows"] == 1  # dedup_skipped
