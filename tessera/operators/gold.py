@@ -115,14 +115,3 @@ def mode_parity(silver: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def require_rows(silver: DataFrame, dates: list[str]) -> None:
-    """Fail when any requested `dt` has no rows (one aggregate, no full count)."""
-    present = {
-        r["dt"]
-        for r in silver.where(F.col("dt").isin(dates)).groupBy("dt").agg(F.lit(1)).select("dt").collect()
-    }
-    missing = [d for d in dates if d not in present]
-    if missing:
-        raise EmptyPartitionError(f"no rows found for dt={','.join(missing)}")

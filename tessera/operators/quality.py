@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.metrics import count_when
@@ -152,7 +152,3 @@ def gate_passed(metrics: DataFrame) -> bool:
     """Gate verdict for the caller's exit code (one tiny collect: one row per day)."""
     failed = quality_rules(metrics).where(~F.col("passed")).limit(1).count()
     return failed == 0
-
-
-def requested_days(spark: SparkSession, dates: list[str]) -> DataFrame:
-    return spark.createDataFrame([(d,) for d in dict.fromkeys(dates)], "dt string")

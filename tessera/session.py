@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -82,7 +81,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def default_shuffle_partitions() -> int:
-    return int(os.environ.get("TESSERA_SHUFFLE_PARTITIONS", "8"))

@@ -91,3 +91,25 @@ def test_compare_modes(spark, silver):
     a = spark.table("gold_cmp_single_pass.daily_conversion_metrics")
     b = spark.table("gold_cmp_multi_pass.daily_conversion_metrics")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_silver_ids_unique_and_non_empty(silver, events):
+    """G1: Silver `event_id` is distinct within each day and the table has rows."""
+    from tessera.operators.dedup import duplicate_keys
+    from tessera.sources.fixtures import fx_silver_bad
+
+    assert silver.limit(1).count() == 1
+    assert duplicate_keys(silver, ["dt", "event_id"]).count() == 0
+    assert duplicate_keys(fx_silver_bad(events), ["dt", "event_id"]).count() > 0
+
+
+def test_unknown_product_rows(spark, silver):
+    """C3 rows: the events themselves, via the anti-join on catalog keys."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators.profile import unknown_product_rows
+    from tessera.sources.fixtures import fx_products, load_table
+
+    products = fx_products(load_table(spark, "/root/testdata/sf0.001", "part"))
+    rows = unknown_product_rows(silver, products)
+    assert rows.count() == silver.where(F.col("product_id").startswith("P900")).count()
