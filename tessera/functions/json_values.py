@@ -110,8 +110,14 @@ def python_float_text_expr(d: Column) -> Column:
 
 
 def is_float_type(t: Column) -> Column:
-    """JSON type of a non-integral number (DECIMAL with a scale, or DOUBLE)."""
-    return (t.startswith("DECIMAL") & ~t.endswith(",0)")) | t.isin("DOUBLE", "FLOAT")
+    """JSON type of a number written with a fraction or exponent (a float in Python).
+
+    Integer tokens that fit in 64 bits are BIGINT, so DECIMAL(p,0) with p ≤ 18
+    can only come from a token like `1000.0` (the parser drops the zero
+    fraction).  DECIMAL(p≥19,0) is taken as a wide integer."""
+    precision = F.substring_index(F.substring_index(t, ",", 1), "(", -1).cast("int")
+    decimal_is_float = ~t.endswith(",0)") | (precision <= 18)
+    return F.when(t.startswith("DECIMAL("), decimal_is_float).otherwise(t.isin("DOUBLE", "FLOAT"))
 
 
 def variant_to_str(v: Column, t: Column | None = None, python_floats: bool = True) -> Column:
@@ -126,9 +132,8 @@ def variant_to_str(v: Column, t: Column | None = None, python_floats: bool = Tru
     return (
         F.when(t == "STRING", F.try_variant_get(v, "$", "string"))
         .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
-        # integers too wide for 64 bits arrive as DECIMAL(p,0): keep their digits
-        .when(t.startswith("DECIMAL") & t.endswith(",0)"), F.try_variant_get(v, "$", "string"))
         .when(is_float_type(t), python_float_text(as_double) if python_floats else as_double.cast("string"))
+        # integers (BIGINT, or DECIMAL(p≥19,0) when wider than 64 bits) keep their digits
         .when(_is_number(t), F.try_variant_get(v, "$", "string"))
     )
 

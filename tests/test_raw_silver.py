@@ -152,7 +152,8 @@ def test_rare_shapes_through_the_full_path(spark, tmp_path):
     day.mkdir(parents=True)
     lines = [
         ev("f1", user_id=1.5e-05, session_id=12345678.9,
-           payload={"brand": 1e23, "product_id": 0.1, "price": 5}),
+           payload={"brand": 1e23, "product_id": 0.1, "price": 5, "order_id": 1000.0, "coupon_id": 5,
+                    "category_id": 123456789012345678901234567890, "payment_method": 2.50}),
         ev("f2", event_time="2024-03-01T10:07+09:00", ingest_time="20240301T100000Z"),
         ev("f3", event_time="2024-W09-5T10:00:00.5+09:00", ingest_time="2024-03-01 10:00:00,25-05:30"),
     ]
@@ -161,6 +162,8 @@ def test_rare_shapes_through_the_full_path(spark, tmp_path):
     f1 = rows["f1"]
     assert (f1["user_id"], f1["session_id"], f1["brand"], f1["product_id"]) == (
         str(1.5e-05), str(12345678.9), str(1e23), str(0.1))
+    assert (f1["order_id"], f1["coupon_id"], f1["category_id"], f1["payment_method"]) == (
+        "1000.0", "5", "123456789012345678901234567890", "2.5")
     assert rows["f2"]["event_time"] == _dt.datetime(2024, 3, 1, 1, 7)
     assert rows["f2"]["ingest_time"] == _dt.datetime(2024, 3, 1, 10, 0)
     assert rows["f3"]["event_time"] == _dt.datetime(2024, 3, 1, 1, 0, 0, 500000)
