@@ -82,6 +82,8 @@ def cmd_quality(spark, a) -> int:
     print(json.dumps(json.loads(report.first()["report"]), ensure_ascii=False, indent=2))
     if a.report_out:
         quality.write_quality_report(report, a.report_out)
+    if a.results_table:
+        quality.record_quality_results(m, a.results_table, source_table=a.table)
     return OK if quality.gate_passed(m) else FAILED
 
 
@@ -171,7 +173,7 @@ def parser() -> argparse.ArgumentParser:
     add("silver-to-table", cmd_silver_to_table, ("--silver-root", {"required": True}),
         ("--table", {"default": "lakehouse.silver_events"}), date)
     add("quality", cmd_quality, ("--table", {"default": "lakehouse.silver_events"}), date,
-        ("--report-out", {"default": None}))
+        ("--report-out", {"default": None}), ("--results-table", {"default": None}))
     add("gold", cmd_gold, ("--table", {"default": "lakehouse.silver_events"}), ("--gold-namespace", {"default": "gold"}),
         date, ("--mode", {"default": "single-pass", "choices": ["single-pass", "with-cache", "multi-pass"]}),
         ("--metrics-table", {"default": None}))

@@ -37,8 +37,14 @@ def test_quality_exit_code_on_empty_day(spark, silver, tmp_path):
 
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS cli_q LOCATION '{tmp_path / 'wh'}'")
     write_partitions(silver, "cli_q.silver_events")
-    assert cli.main(["quality", "--table", "cli_q.silver_events", "--date", "2024-01-04"]) == 0
-    assert cli.main(["quality", "--table", "cli_q.silver_events", "--date", "2031-01-01"]) == 2
+    assert cli.main(["quality", "--table", "cli_q.silver_events", "--date", "2024-01-04",
+                     "--results-table", "cli_q.quality_results", "--report-out", str(tmp_path / "report")]) == 0
+    assert cli.main(["quality", "--table", "cli_q.silver_events", "--date", "2031-01-01",
+                     "--results-table", "cli_q.quality_results"]) == 2
+    results = spark.table("cli_q.quality_results")
+    assert results.count() == 26  # 13 rules × 2 runs
+    assert results.where("dt = '2031-01-01' AND rule = 'partition_not_empty'").first()["passed"] is False
+    assert len(spark.read.text(str(tmp_path / "report")).collect()) == 1
 
 
 def test_versions_exit_codes(spark, silver, tmp_path):
