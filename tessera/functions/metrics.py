@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def count_when(cond: Column) -> Column:
     """Number of rows where `cond` holds (NULL counts as false); 0 on no rows."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
+    return F.coalesce(F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))), F.lit(0)).cast("long")
 
 
 def sum_when(cond: Column, value: Column) -> Column:

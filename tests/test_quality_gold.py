@@ -113,3 +113,10 @@ def test_unknown_product_rows(spark, silver):
     products = fx_products(load_table(spark, "/root/testdata/sf0.001", "part"))
     rows = unknown_product_rows(silver, products)
     assert rows.count() == silver.where(F.col("product_id").startswith("P900")).count()
+
+
+def test_column_tests_on_empty_model_report_zero(spark):
+    df = spark.createDataFrame([], "event_id string, event_type string")
+    got = {(r["column"], r["test"]): r["failures"] for r in ct.run_tests(
+        df, "empty", [("event_id", "not_null"), ("event_id", "unique"), ("event_type", "accepted_values")]).collect()}
+    assert got == {("event_id", "not_null"): 0, ("event_id", "unique"): 0, ("event_type", "accepted_values"): 0}
