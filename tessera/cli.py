@@ -52,15 +52,15 @@ def cmd_raw_to_silver(spark, a) -> int:
     try:
         silver, counters = raw_to_silver_observed(spark, a.raw_root, [a.date], a.glob)
     except RawPartitionMissing as exc:
-        print(f"ERROR: {exc}")
+        print(f"missing input: {exc}")
         return MISSING
     written = write_silver_files(silver, a.silver_root, [a.date], a.rows_per_file)
     c = counters.get
     parts = day_parts(spark, a.silver_root, [a.date])[a.date]
     print(
-        f"OK: wrote silver parquet {a.silver_root}/dt={a.date} parts={parts} rows={written['rows']} "
-        f"(raw_lines={c['raw_lines']}, dedup_skipped={c['valid_rows'] - written['rows']}, "
-        f"json_parse_errors={c['json_parse_errors']})"
+        f"silver [{a.date}] -> {a.silver_root}: {written['rows']} rows in {parts} files; "
+        f"{c['raw_lines']} raw objects, {c['valid_rows'] - written['rows']} duplicates skipped, "
+        f"{c['json_parse_errors']} unparseable lines"
     )
     return OK
 
@@ -70,9 +70,9 @@ def cmd_silver_to_table(spark, a) -> int:
     df = with_partition(read_silver_files(spark, a.silver_root, [a.date]).drop("dt"), a.date)
     created = write_partitions(df, a.table)
     if created:
-        print(f"INFO: created table {a.table}")
+        print(f"created {a.table}")
     rows = partition_counts(spark, a.table, [a.date]).collect()
-    print(f"OK: wrote table={a.table} dt={a.date} rows={rows[0]['rows'] if rows else 0}")
+    print(f"{a.table} [{a.date}]: {rows[0]['rows'] if rows else 0} rows")
     return OK
 
 
@@ -93,12 +93,11 @@ def cmd_gold(spark, a) -> int:
     try:
         run = build_gold(spark, spark.table(a.table), a.gold_namespace, [a.date], a.mode)
     except gold_ops.EmptyPartitionError as exc:
-        print(f"FAIL: {exc}")
+        print(f"failed: {exc}")
         return FAILED
-    print(f"INFO: execution_time_sec={run.elapsed_sec:.2f}, mode={run.mode}")
+    print(f"gold [{a.date}] {run.mode}: {run.elapsed_sec:.2f} s, {run.total_count} silver rows")
     if a.metrics_table:
         record_run(spark, run, a.metrics_table)
-    print(f"OK: built gold metrics for dt={a.date} mode={a.mode}")
     return OK
 
 
@@ -108,16 +107,16 @@ def cmd_daily(spark, a) -> int:
     try:
         res = run_daily(spark, a.raw_root, a.namespace, a.date, a.glob, a.report_out)
     except RawPartitionMissing as exc:
-        print(f"ERROR: {exc}")
+        print(f"missing input: {exc}")
         return MISSING
-    print(f"OK: gold built for {res.passed_dates}; gate failed for {res.failed_dates}")
+    print(f"gold built: {res.passed_dates or '-'}; gate failed: {res.failed_dates or '-'}")
     return OK if not res.failed_dates else FAILED
 
 
 def cmd_inspect(spark, a) -> int:
-    print("=== snapshots (latest) ===")
+    print("-- snapshots, newest first")
     versioned.snapshots(spark, a.root, a.limit).show(a.limit, truncate=False)
-    print("=== history (latest) ===")
+    print("-- history, newest first")
     versioned.history(spark, a.root, a.limit).show(a.limit, truncate=False)
     return OK
 
@@ -126,13 +125,13 @@ def cmd_time_travel(spark, a) -> int:
     try:
         cmp = versioned.compare_with_previous(spark, a.root, [a.date]).first()
     except versioned.NoSnapshots as exc:
-        print(f"FAIL: {exc}")
+        print(f"failed: {exc}")
         return FAILED
     except versioned.SingleSnapshot as exc:
-        print(f"FAIL: {exc}")
+        print(f"failed: {exc}")
         return MISSING
     cur, prev = (cmp["current_count"], cmp["previous_count"]) if cmp else (0, 0)
-    print(f"OK: time travel counts dt={a.date} current={cur} previous_snapshot={prev}")
+    print(f"{a.date}: {cur} rows now, {prev} rows one snapshot earlier")
     return OK
 
 
@@ -140,17 +139,17 @@ def cmd_schema_evolution(spark, a) -> int:
     try:
         added = add_column_if_missing(spark, a.table, a.new_column)
     except RuntimeError as exc:
-        print(f"FAIL: {exc}")
+        print(f"failed: {exc}")
         return FAILED
-    print(f"INFO: {'added column' if added else 'column already exists'} {a.new_column}")
+    print(f"{a.new_column}: {'added' if added else 'present'}")
     row = read_partition(spark, a.table, a.date).agg(
         F.count(F.lit(1)).alias("total"),
         F.sum(F.when(F.col(a.new_column).isNull(), 1).otherwise(0)).alias("nulls"),
     ).first()
     if not row["total"]:
-        print(f"FAIL: no rows found for dt={a.date}. Cannot verify schema evolution meaningfully.")
+        print(f"{a.date}: partition is empty, nothing to verify")
         return MISSING
-    print(f"OK: schema evolution verified dt={a.date} null_in_new_col={row['nulls']}/{row['total']}")
+    print(f"{a.date}: {row['nulls']} of {row['total']} rows have NULL {a.new_column}")
     return OK
 
 

@@ -132,9 +132,9 @@ def latest_two(spark: SparkSession, root: str) -> tuple[int, int]:
         .orderBy(F.col("committed_at").desc(), F.col("snapshot_id").desc()).limit(2).collect()
     )
     if not rows:
-        raise NoSnapshots("no snapshots found")
+        raise NoSnapshots(f"{root} has no snapshot yet")
     if len(rows) < 2:
-        raise SingleSnapshot("only 1 snapshot exists; run a rerun/overwrite first")
+        raise SingleSnapshot(f"{root} has a single snapshot; nothing to compare with")
     return int(rows[0]["snapshot_id"]), int(rows[1]["snapshot_id"])
 
 
