@@ -1,7 +1,8 @@
 """Raw → Silver.
 
-One lazy plan: text scan → one JSON parse per line → a single projection of
-the 30 typed Silver columns → first-seen dedup per (dt, event_id).  The only
+One lazy plan: text scan → one JSON parse per line → the typed Silver
+projection (whole-stage codegen) → first-seen dedup per (dt, event_id) →
+a finishing step for the rare values that need heavy conversions.  The only
 shuffle is the dedup's, on (dt, event_id).
 """
 
@@ -10,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from tessera.functions.json_values import (
+    is_float_type,
     json_type,
+    python_float_text_expr,
     python_json_text,
     variant_at,
     variant_to_int,
     variant_to_str,
 )
-from tessera.functions.json_values import is_float_type
-from tessera.functions.json_values import python_float_text_expr
 from tessera.functions.time import non_canonical, parse_iso_fast, parse_iso_general
 from tessera.functions.metrics import count_when
 from tessera.operators.dedup import first_seen
@@ -43,7 +46,6 @@ _PAYLOAD_COLUMNS = [
     "product_id", "category_id", "brand", "price", "quantity", "order_id", "total_amount",
     "payment_method", "coupon_id", "search_query", "results_count", "refund_amount", "reason_code",
 ]
-_SQL_TYPE = {"IntegerType()": "int", "LongType()": "bigint"}
 # Silver text columns fed by JSON values (where a JSON float needs Python text).
 TEXT_COLUMNS = _TOP + list(_NESTED) + [
     "product_id", "category_id", "brand", "order_id", "payment_method", "coupon_id", "search_query", "reason_code",
@@ -57,8 +59,11 @@ def valid_event_id(v) -> F.Column:
 
 
 def _typed(value, dtype, t) -> F.Column:
-    sql = _SQL_TYPE.get(repr(dtype))
-    return variant_to_int(value, sql, t) if sql else variant_to_str(value, t, python_floats=False)
+    if isinstance(dtype, T.IntegerType):
+        return variant_to_int(value, "int", t)
+    if isinstance(dtype, T.LongType):
+        return variant_to_int(value, "bigint", t)
+    return variant_to_str(value, t, python_floats=False)
 
 
 def _object_struct(fields: dict[str, list[str] | None]) -> str:
