@@ -147,7 +147,8 @@ def payload_object(v: Column) -> Column:
 
 # Marker for the separator rewrite; JSON text cannot contain it unescaped.
 _MARK = "\u0001"
-_STRING_OR_SEPARATOR = r'("(?:[^"\\]|\\.)*")|([,:])'
+# Possessive quantifiers: a string literal is consumed without backtracking.
+_STRING_OR_SEPARATOR = r'("(?:[^"\\]++|\\.)*+")|([,:])'
 
 
 def python_json_text(compact: Column) -> Column:
