@@ -159,4 +159,12 @@ def python_json_text(compact: Column) -> Column:
     (literals are consumed whole, so commas/colons inside them are untouched),
     then tagged separators get their space and the remaining markers go."""
     tagged = F.regexp_replace(compact, _STRING_OR_SEPARATOR, "$1$2" + _MARK)
-    return F.regexp_replace(F.regexp_replace(tagged, "([,:])" + _MARK, "$1 "), _MARK, "")
+    spaced = F.regexp_replace(F.regexp_replace(tagged, "([,:])" + _MARK, "$1 "), _MARK, "")
+    # Control characters: Python writes `\u001f`, Spark's writer `\u001F`.
+    # Without escaped backslashes in the text every `\` starts an escape, so
+    # the hex digits can be lower-cased safely; other rows pass through.
+    lowered = spaced
+    for h in "ABCDEF":
+        lowered = F.regexp_replace(lowered, r"\\u00([01])" + h, r"\\u00$1" + h.lower())
+    needs = spaced.contains("\\u00") & ~spaced.contains("\\\\")
+    return F.when(needs, lowered).otherwise(spaced)

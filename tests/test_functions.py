@@ -131,3 +131,15 @@ def test_parse_iso_utc_matches_fromisoformat_on_corpus(spark):
     got = {r["i"]: r["t"] for r in df.select("i", parse_iso_utc(F.col("s")).alias("t")).collect()}
     bad = [(t, model_ts(t), got[i]) for i, t in enumerate(corpus) if got[i] != model_ts(t)]
     assert not bad, bad[:10]
+
+
+def test_payload_text_control_characters(spark):
+    """Control characters escape as json.dumps does (lower-case hex)."""
+    import json as _json
+
+    from tessera.functions.json_values import python_json_text
+
+    payloads = [{"k": "tab\there", "e": "\x1f\x0b\x01", "n": "line\nbreak"}, {"plain": "x", "v": [1, {"a": None}]}]
+    df = spark.createDataFrame([(_json.dumps({"payload": p}),) for p in payloads], "line string")
+    got = [r[0] for r in df.select(python_json_text(F.get_json_object("line", "$.payload"))).collect()]
+    assert got == [_json.dumps(p, ensure_ascii=False) for p in payloads]
