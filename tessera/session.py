@@ -15,7 +15,9 @@ SEMANTIC_CONF = {
     # `dt=2024-01-05` must stay a STRING partition value, not a DATE.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # `INSERT OVERWRITE` / `mode("overwrite")` on a partitioned table replaces
-    # only the partitions present in the input.
+    # only the partitions present in the input.  Must be a session setting:
+    # `insertInto` ignores the per-write option (and would replace the whole
+    # table), and toggling it per write would race with concurrent writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A JSON object with a repeated key keeps the last value (as json.loads does).
     "spark.sql.variant.allowDuplicateKeys": "true",
