@@ -184,3 +184,18 @@ def test_stream_keeps_late_events_and_dedups_untimed(spark, tmp_path):
     assert q.exception() is None
     ids = sorted(r["event_id"] for r in spark.read.parquet(sink).collect())
     assert ids == ["e1", "late", "naive"]
+
+
+def test_rerun_keeps_other_days_even_if_session_was_static(spark, silver):
+    """`insertInto` ignores a per-write overwrite mode, so write_partitions must
+    (re)apply the session setting itself; a STATIC session must not wipe days."""
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS t_static")
+    spark.sql("DROP TABLE IF EXISTS t_static.silver_events")
+    write_partitions(silver, "t_static.silver_events")
+    days = silver.select("dt").distinct().count()
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        write_partitions(silver.where(F.col("dt") == "2024-01-05"), "t_static.silver_events")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    assert spark.table("t_static.silver_events").select("dt").distinct().count() == days
