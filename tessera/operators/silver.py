@@ -210,8 +210,10 @@ def ingest_stats(spark: SparkSession, raw_root: str, dates: list[str] | None = N
     """A2 + H2 per `dt`: files, raw_lines, json_parse_errors, invalid_event_id,
     valid_rows, rows (after dedup), dedup_skipped, price_as_text.
 
-    The raw counters are one map-side aggregate over the lines; `rows` comes
-    from the Silver result (pass the written Silver to avoid recomputing it).
+    Everything comes from one aggregate over the lines.  `rows` (Silver rows
+    after first-seen dedup) is the number of distinct valid ids per day, so no
+    full dedup is needed; pass the written Silver instead to count what was
+    actually written.
     """
     parsed = parse_raw_lines(read_raw_lines(spark, raw_root, dates, glob))
     v = F.col("_v")
@@ -226,13 +228,13 @@ def ingest_stats(spark: SparkSession, raw_root: str, dates: list[str] | None = N
         count_when(obj & ~valid).alias("invalid_event_id"),
         count_when(valid).alias("valid_rows"),
         count_when(valid & (json_type(price) == "STRING")).alias("price_as_text"),
+        F.count_distinct(F.when(valid, F.try_variant_get(variant_at(v, "$.event_id"), "$", "string"))).alias("rows"),
     )
-    out = silver if silver is not None else raw_to_silver(spark, raw_root, dates, glob)
-    rows = out.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
+    if silver is not None:
+        written = silver.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
+        raw = raw.drop("rows").join(written, "dt", "left").fillna(0, ["rows"])
     return (
-        raw.join(rows, "dt", "left")
-        .fillna(0, ["rows"])
-        .withColumn("dedup_skipped", F.col("valid_rows") - F.col("rows"))
+        raw.withColumn("dedup_skipped", F.col("valid_rows") - F.col("rows"))
         .select("dt", "files", "raw_lines", "json_parse_errors", "invalid_event_id", "valid_rows", "rows",
                 "dedup_skipped", "price_as_text")
     )
