@@ -4,6 +4,7 @@
     python -m tessera.cli silver-to-table --silver-root S --table T --date D
     python -m tessera.cli quality         --table T --date D [--report-out P]
     python -m tessera.cli gold            --table T --gold-namespace G --date D [--mode single-pass]
+    python -m tessera.cli gold-modes      --table T --date D [--metrics-table M]
     python -m tessera.cli daily           --raw-root R --namespace N --date D [--date D2 ...]
     python -m tessera.cli inspect         --root V [--limit 10]
     python -m tessera.cli time-travel     --root V --date D
@@ -101,6 +102,20 @@ def cmd_gold(spark, a) -> int:
     return OK
 
 
+def cmd_gold_modes(spark, a) -> int:
+    """L3: build one day's Gold with every strategy, record elapsed time and rows."""
+    from tessera.plans.gold_build import compare_modes
+
+    try:
+        runs = compare_modes(spark, spark.table(a.table), a.namespace_prefix, [a.date], a.metrics_table)
+    except gold_ops.EmptyPartitionError as exc:
+        print(f"failed: {exc}")
+        return FAILED
+    for run in runs:
+        print(f"{run.mode:12s} {run.elapsed_sec:7.2f} s  {run.total_count} rows")
+    return OK
+
+
 def cmd_daily(spark, a) -> int:
     from tessera.plans.daily_job import run_daily
 
@@ -176,6 +191,8 @@ def parser() -> argparse.ArgumentParser:
     add("gold", cmd_gold, ("--table", {"default": "lakehouse.silver_events"}), ("--gold-namespace", {"default": "gold"}),
         date, ("--mode", {"default": "single-pass", "choices": ["single-pass", "with-cache", "multi-pass"]}),
         ("--metrics-table", {"default": None}))
+    add("gold-modes", cmd_gold_modes, ("--table", {"default": "lakehouse.silver_events"}), date,
+        ("--namespace-prefix", {"default": "gold_exp"}), ("--metrics-table", {"default": None}))
     add("daily", cmd_daily, ("--raw-root", {"required": True}), ("--namespace", {"default": "lakehouse"}), dates, glob,
         ("--report-out", {"default": None}))
     add("inspect", cmd_inspect, ("--root", {"required": True}), ("--limit", {"type": int, "default": 10}))

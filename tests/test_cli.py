@@ -28,6 +28,10 @@ def test_raw_silver_table_quality_gold(spark, landed, tmp_path, capsys):
     assert cli.main(["gold", "--table", "cli_lh.silver_events", "--gold-namespace", "cli_gold", "--date", day]) == 0
     assert cli.main(["gold", "--table", "cli_lh.silver_events", "--gold-namespace", "cli_gold",
                      "--date", "2031-01-01"]) == 2
+    assert cli.main(["gold-modes", "--table", "cli_lh.silver_events", "--date", day,
+                     "--namespace-prefix", "cli_exp", "--metrics-table", "cli_lh.gold_runs"]) == 0
+    assert sorted(r["mode"] for r in spark.table("cli_lh.gold_runs").collect()) == [
+        "multi-pass", "single-pass", "with-cache"]
     assert cli.main(["schema-evolution", "--table", "cli_lh.silver_events", "--date", day]) == 0
     assert cli.main(["schema-evolution", "--table", "cli_lh.silver_events", "--date", "2031-01-01"]) == 3
 
