@@ -52,6 +52,10 @@ def test_every_query_has_oracle():
     assert set(se.queries()) == set(se.oracle_sql())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(se.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = se.queries()[name](spark, SF_SMALL)
@@ -60,3 +64,6 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, rows) == _canon(ocols, res.fetchall())
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {se.oracle_sql()[name]}").fetchall()}
+    assert spark_types == duck_types
