@@ -63,6 +63,7 @@ def start_silver_stream(
     glob: str = "*.jsonl",
     available_now: bool = True,
     max_files: int | None = None,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start the stream into a Parquet file sink partitioned by `dt`.
 
@@ -80,5 +81,5 @@ def start_silver_stream(
         .partitionBy("dt")
         .option("checkpointLocation", checkpoint)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start(sink_root)
