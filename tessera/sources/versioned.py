@@ -4,6 +4,8 @@ Every commit appends the rows of the partitions it (re)writes under
 `data/snapshot_id=N/dt=D/`, then appends one log row per partition
 `(snapshot_id, parent_id, committed_at, operation, dt, added_records)`.
 The log row is the commit point, so readers never see half-written data.
+Commits assume one writer per table at a time (as the daily jobs run): the
+next snapshot id is read from the log before writing.
 Reading "as of N" takes, per `dt`, the latest snapshot ≤ N that wrote it and
 semi-joins the data on `(snapshot_id, dt)` — both partition columns, so the
 scan is pruned to the chosen partitions.
