@@ -14,12 +14,14 @@ scan is pruned to the chosen partitions.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LOG_SCHEMA = (
-    "snapshot_id long, parent_id long, committed_at timestamp, operation string, dt string, added_records long"
+    "snapshot_id long, parent_id long, committed_at timestamp, operation string, dt string, added_records long, "
+    "attempt string"
 )
 
 
@@ -60,9 +62,17 @@ def commit(
     sid = 1 if latest is None else int(latest) + 1
     when = committed_at or _dt.datetime.now(_dt.timezone.utc)
     when = when.astimezone(_dt.timezone.utc).replace(tzinfo=None)
-    df.withColumn("snapshot_id", F.lit(sid).cast("long")).write.mode("append").partitionBy(
-        "snapshot_id", "dt"
-    ).parquet(_data_path(root))
+    # Each attempt writes under its own directory; only the attempt named by a
+    # log row is ever read, so files of a crashed attempt (data written, log row
+    # not) are never picked up, even though the next commit reuses the id.
+    attempt = uuid.uuid4().hex
+    (
+        df.withColumn("snapshot_id", F.lit(sid).cast("long"))
+        .withColumn("attempt", F.lit(attempt))
+        .write.mode("append")
+        .partitionBy("snapshot_id", "attempt", "dt")
+        .parquet(_data_path(root))
+    )
     counts = df.groupBy("dt").agg(F.count(F.lit(1)).alias("added_records"))
     if dates:
         req = spark.createDataFrame([(d,) for d in dict.fromkeys(dates)], "dt string")
@@ -74,23 +84,27 @@ def commit(
         F.lit(operation).alias("operation"),
         "dt",
         F.col("added_records").cast("long"),
+        F.lit(attempt).alias("attempt"),
     )
     log_rows.coalesce(1).write.mode("append").parquet(_log_path(root))
     return sid
 
 
 def partitions_as_of(log: DataFrame, snapshot_id: int | None = None) -> DataFrame:
-    """`(dt, snapshot_id)`: the snapshot whose rows are current for each day."""
+    """`(dt, snapshot_id, attempt)`: the commit whose rows are current for each day."""
     l = log if snapshot_id is None else log.where(F.col("snapshot_id") <= F.lit(int(snapshot_id)))
-    return l.groupBy("dt").agg(F.max("snapshot_id").alias("snapshot_id"))
+    latest = l.groupBy("dt").agg(F.max(F.struct("snapshot_id", "attempt")).alias("c"))
+    return latest.select("dt", "c.snapshot_id", "c.attempt")
 
 
 def read_as_of(spark: SparkSession, root: str, snapshot_id: int | None = None) -> DataFrame:
     """Table content as of a snapshot (latest when None)."""
-    chosen = partitions_as_of(read_log(spark, root), snapshot_id)
     data = spark.read.parquet(_data_path(root))
-    cols = [c for c in data.columns if c != "snapshot_id"]
-    return data.join(chosen, ["snapshot_id", "dt"], "left_semi").select(*cols)
+    chosen = partitions_as_of(read_log(spark, root), snapshot_id)
+    # Match the partition column's type as read (STRING when inference is off).
+    chosen = chosen.withColumn("snapshot_id", F.col("snapshot_id").cast(data.schema["snapshot_id"].dataType))
+    cols = [c for c in data.columns if c not in ("snapshot_id", "attempt")]
+    return data.join(chosen, ["snapshot_id", "attempt", "dt"], "left_semi").select(*cols)
 
 
 def snapshots(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:

@@ -220,3 +220,21 @@ def test_stream_continuous_mode(spark, events, tmp_path):
     batch = raw_to_silver(spark, raw, glob="*.txt").drop("ingest_time").select(*streamed.columns)
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_crashed_commit_leaves_no_visible_rows(spark, silver, tmp_path):
+    """Data written by an attempt whose log row never landed is never read,
+    even though the next commit reuses its snapshot id."""
+    import datetime as _dt
+
+    root = str(tmp_path / "v")
+    versioned.commit(silver, root, "append", _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc))
+    # Simulate a crash: snapshot 2's data lands, its log row does not.
+    (silver.where(F.col("dt") == "2024-01-05").withColumn("snapshot_id", F.lit(2).cast("long"))
+     .withColumn("attempt", F.lit("crashed")).write.mode("append")
+     .partitionBy("snapshot_id", "attempt", "dt").parquet(f"{root}/data"))
+    assert versioned.read_as_of(spark, root).count() == silver.count()
+    keep = silver.where((F.col("dt") == "2024-01-05") & (event_number() % 2 == 0))
+    assert versioned.commit(keep, root, "overwrite", dates=["2024-01-05"]) == 2
+    now = versioned.read_as_of(spark, root).where(F.col("dt") == "2024-01-05").count()
+    assert now == keep.count()
