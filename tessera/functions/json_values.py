@@ -120,7 +120,9 @@ def is_float_type(t: Column) -> Column:
     return F.when(t.startswith("DECIMAL("), decimal_is_float).otherwise(t.isin("DOUBLE", "FLOAT"))
 
 
-def variant_to_str(v: Column, t: Column | None = None, python_floats: bool = True) -> Column:
+def variant_to_str(
+    v: Column, t: Column | None = None, python_floats: bool = True, is_float: Column | None = None
+) -> Column:
     """B4 `to_str`: strings as-is, numbers as text, booleans as `True`/`False`;
     objects, arrays and JSON null are NULL.
 
@@ -132,7 +134,10 @@ def variant_to_str(v: Column, t: Column | None = None, python_floats: bool = Tru
     return (
         F.when(t == "STRING", F.try_variant_get(v, "$", "string"))
         .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, "$", "string")))
-        .when(is_float_type(t), python_float_text(as_double) if python_floats else as_double.cast("string"))
+        .when(
+            is_float_type(t) if is_float is None else is_float,
+            python_float_text(as_double) if python_floats else as_double.cast("string"),
+        )
         # integers (BIGINT, or DECIMAL(p≥19,0) when wider than 64 bits) keep their digits
         .when(_is_number(t), F.try_variant_get(v, "$", "string"))
     )

@@ -117,6 +117,8 @@ def extract_silver(parsed: DataFrame, carry: list[str] | None = None) -> DataFra
     ).drop("_payload")
     names = list(leaves) + _PAYLOAD_COLUMNS
     stage2 = stage1.select("*", *[json_type(F.col(f"_v_{n}")).alias(f"_t_{n}") for n in names])
+    # Whether each text value is a JSON float, derived once per value.
+    stage2 = stage2.select("*", *[is_float_type(F.col(f"_t_{n}")).alias(f"_f_{n}") for n in TEXT_COLUMNS])
 
     def val(n):
         return F.col(f"_v_{n}")
@@ -132,7 +134,7 @@ def extract_silver(parsed: DataFrame, carry: list[str] | None = None) -> DataFra
         cols[name] = parse_iso_fast(text)
         side.append(non_canonical(text).alias(f"_raw_{name}"))
     for name in TEXT_COLUMNS:
-        cols[name] = _typed(val(name), types[name], typ(name))
+        cols[name] = variant_to_str(val(name), typ(name), python_floats=False, is_float=F.col(f"_f_{name}"))
     for name in _PAYLOAD_COLUMNS:
         if name not in cols:
             cols[name] = _typed(val(name), types[name], typ(name))
@@ -140,7 +142,7 @@ def extract_silver(parsed: DataFrame, carry: list[str] | None = None) -> DataFra
     # Bit i set: text column i holds a JSON float (its Python text is fixed later).
     mask = F.lit(0)
     for i, name in enumerate(TEXT_COLUMNS):
-        mask = mask + F.when(is_float_type(typ(name)), F.lit(1 << i)).otherwise(F.lit(0))
+        mask = mask + F.when(F.col(f"_f_{name}"), F.lit(1 << i)).otherwise(F.lit(0))
     side.append(mask.alias("_float_mask"))
     ordered = [cols[n].cast(types[n]).alias(n) for n, _, _ in SILVER_FIELDS]
     return stage2.select(*ordered, *side, *keep)
