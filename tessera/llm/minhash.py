@@ -29,6 +29,11 @@ from .common import buffers, mix, rows, slices, stored, texts, word_hashes
 from .components import components
 
 WORDS, PERCENT, GROUPS, ROWS = 5, 75, 12, 2
+#: Bits of a set's parity sketch: of how many shingles with a bit's hash there are, odd or even.  Where two
+#: sketches differ, some shingle is in one set alone, so their distance bounds what sets do not share.
+SKETCH = 2048
+#: Documents in a block of a bucket whose pairs are looked through together.
+CELL = 512
 _MIXERS = mix(np.arange(1, 12, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -92,7 +97,10 @@ def _sets(words: int):
         for batch in slices(batches):
             sets, off = shingle_sets(*buffers(batch.column("text")), words)
             lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(sets.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc", "items"])
+            place = np.repeat(np.arange(len(off) - 1), np.diff(off)) * SKETCH + (sets % np.uint64(SKETCH)).astype(np.int64)
+            odd = np.packbits((np.bincount(place, minlength=(len(off) - 1) * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+            words_of = pa.ListArray.from_arrays(pa.array(np.arange(len(off)) * (SKETCH // 64), pa.int32()), pa.array(odd))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, words_of], names=["doc", "items", "odd"])
 
     return run
 
@@ -145,7 +153,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     buckets = stored(shared.join(content.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key"), "key"), "minhash")
     members = buckets.select("doc").distinct().join(classes.groupBy("doc").agg(F.max("n").alias("n"), F.min("n").alias("least")), "doc")
     members = stored(members.select("doc", "n", "least", F.col("doc").alias("component")), "minhash")
-    sets = stored(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets(words), "doc bigint, items array<bigint>"), "minhash")
+    sets = stored(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets(words), "doc bigint, items array<bigint>, odd array<bigint>"), "minhash")
     members, checked, stuck = _link(buckets, members, sets, percent)
     found = classes.join(members.select("doc", "component"), "doc", "left").select("print", F.coalesce("component", "doc").alias("component_id"))
     # Of rows that repeat a doc_id each class may name another smallest id; the id joins them.
@@ -159,34 +167,88 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     return named.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def _bounded(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(doc, most)`` of the documents that can still have a link: how many of its shingles any other of ``open_`` has.
+
+    Two sets have no more in common than the smaller of these numbers; a document
+    whose number is under ``percent`` of its size is linked with none.
+    """
+    items = sets.join(open_.select("doc").distinct(), "doc", "left_semi").select("doc", F.size("items").alias("n"), F.explode("items").alias("x"))
+    shared = items.withColumn("uses", F.count("*").over(Window.partitionBy("x"))).where("uses > 1")
+    most = shared.groupBy("doc", "n").agg(F.count("*").alias("most"))
+    return most.where(f"100 * most >= {percent} * n").select("doc", "most")
+
+
+def _across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of one table bucket and two components that sizes, bounds and sketches allow a link.
+
+    A bucket is cut into blocks of about ``CELL`` documents by a hash, and each two
+    blocks are a cell of their own, so no task holds a large bucket.
+    """
+    cuts = F.ceil(F.col("all") / CELL).cast("int")
+    rows_ = open_.join(sets.select("doc", "odd"), "doc").select("key", "doc", "component", "n", "least", "most", "odd", cuts.alias("cuts"), F.pmod(F.xxhash64("doc", F.lit(3)), cuts).cast("int").alias("block"))
+    rows_ = rows_.select("*", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other"))
+    cell = (F.least("block", "other") * F.col("cuts") + F.greatest("block", "other")).alias("cell")
+    return rows_.select("key", cell, "block", "doc", "component", "n", "least", "most", "odd").groupBy("key", "cell").applyInArrow(_cell(percent), "a bigint, b bigint").distinct()
+
+
+def _cell(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc")
+        block, doc, part, n, least, most = (table.column(c).to_numpy() for c in ("block", "doc", "component", "n", "least", "most"))
+        odd = table.column("odd").combine_chunks().values.to_numpy().reshape(len(doc), -1).view(np.uint64)
+        one = block.min() == block.max()
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(len(doc) - 1):
+            j = np.arange(i + 1, len(doc))
+            j = j[(part[j] != part[i]) & (one | (block[j] != block[i])) & (doc[j] != doc[i])]
+            j = j[(100 * n[j] >= percent * least[i]) & (100 * n[i] >= percent * least[j])]
+            j = j[(100 + percent) * np.minimum(most[j], most[i]) >= percent * (least[j] + least[i])]
+            if len(j):
+                apart = np.bitwise_count(odd[j] ^ odd[i]).sum(1, dtype=np.int64)
+                j = j[(100 + percent) * apart <= (100 - percent) * (n[j] + n[i])]
+                a.append(np.full(len(j), doc[i]))
+                b.append(doc[j])
+        return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
+
+    return run
+
+
 def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, int, int]:
     """``members`` with the component that the confirmed links give; the rounds taken, and rounds that joined nothing."""
     rounds = stuck = 0
+    members = members.withColumn("most", F.col("n"))
     while True:
         held = buckets.join(members, "doc")
         # Of a bucket: its hub, another one each round, and what is left to compare across components.
         rank = F.xxhash64("doc", F.lit(rounds)) if rounds else F.col("doc")
-        sizes = held.groupBy("key", "component").agg(F.count("*").alias("c"), F.min(F.struct(rank.alias("o"), "doc", "component", "n", "least")).alias("hub"))
+        sizes = held.groupBy("key", "component").agg(F.count("*").alias("c"), F.min(F.struct(rank.alias("o"), "doc", "component", "n", "least", "most")).alias("hub"))
         state = (
             sizes.groupBy("key").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count("*").alias("parts"), F.min("hub").alias("hub"))
             .where("parts > 1").select("key", "hub", ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("open"), "all")
         )
-        open_ = stored(held.join(state, "key").select("key", "doc", "component", "n", "least", "hub", "open", "all"), "minhash")
+        open_ = stored(held.join(state, "key").select("key", "doc", "component", "n", "least", "most", "hub", "open", "all"), "minhash")
         work = open_.select("key", "open", "all").distinct().agg(F.sum("open").alias("open"), F.sum("all").alias("all")).first()
+        docs_open = open_.select("doc").distinct().count()
         if not work.open:
             return members, rounds, stuck
-        last = work.open <= 8 * work["all"] or stuck >= 3
+        if rounds in (1, 2):
+            # Documents that can't have a link with any other left need no comparison; twice, as the first time takes others' partners away.
+            able = stored(_bounded(open_, sets, percent), "minhash")
+            buckets = stored(buckets.join(open_.select("key").distinct(), "key", "left_semi").join(able.select("doc"), "doc", "left_semi"), "minhash")
+            members = stored(members.drop("most").join(able, "doc", "left").select("doc", "n", "least", "component", F.coalesce("most", F.lit(0)).alias("most")), "minhash")
+            rounds += 2
+            continue
+        last = work.open <= 8 * work["all"] or stuck > 0
         if last:
-            # Few pairs are left, or hubs join no more: all pairs across components.
-            other = open_.select("key", F.col("doc").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("least").alias("lb"))
-            pairs = open_.select("key", F.col("doc").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("least").alias("la")).join(other, "key").where("a < b AND ca <> cb")
+            pairs = _across(open_, sets, percent)
         else:
             pairs = open_.where("component <> hub.component AND doc <> hub.doc").select(
                 F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b"),
-                F.col("n").alias("na"), F.col("hub.n").alias("nb"), F.col("least").alias("la"), F.col("hub.least").alias("lb"),
+                F.col("n").alias("na"), F.col("hub.n").alias("nb"), F.col("least").alias("la"), F.col("hub.least").alias("lb"), F.col("most").alias("ma"), F.col("hub.most").alias("mb"),
             )
-        # Sizes that can't reach the similarity need no sets.
-        pairs = pairs.where(f"100 * na >= {percent} * lb AND 100 * nb >= {percent} * la")
+            # Sizes and bounds that can't reach the similarity need no sets.
+            pairs = pairs.where(f"100 * na >= {percent} * lb AND 100 * nb >= {percent} * la AND {100 + percent} * least(ma, mb) >= {percent} * (la + lb)")
         if not rounds and not last:
             # First, of each document the hub that most of its tables name.
             pairs = pairs.groupBy("b", "a").agg(F.count("*").alias("times")).groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a"))
@@ -199,13 +261,12 @@ def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
         )
         linked = stored(linked, "minhash")
         rounds += 1
-        if linked.isEmpty():
-            stuck += 1
-        else:
-            stuck = 0
+        merged = linked.count()
+        stuck = 0 if 50 * merged > docs_open else stuck + 1
+        if merged:
             joined = components(linked).select(F.col("node").alias("component"), "component")
             joined = joined.toDF("component", "joined")
-            members = stored(members.join(joined, "component", "left").select("doc", "n", "least", F.coalesce("joined", "component").alias("component")), "minhash")
+            members = stored(members.join(joined, "component", "left").select("doc", "n", "least", "most", F.coalesce("joined", "component").alias("component")), "minhash")
         if last:
             return members, rounds, stuck
 
