@@ -150,7 +150,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     shared = stored(shared, "minhash")
     # Most of the tables group the same documents: one table bucket of each distinct content is enough.
     content = shared.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("doc", F.lit(7)).cast("decimal(38,0)")).alias("t"))
-    buckets = stored(shared.join(content.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key"), "key"), "minhash")
+    buckets = stored(shared.join(content.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"), "minhash")
     members = buckets.select("doc").distinct().join(classes.groupBy("doc").agg(F.max("n").alias("n"), F.min("n").alias("least")), "doc")
     members = stored(members.select("doc", "n", "least", F.col("doc").alias("component")), "minhash")
     sets = stored(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets(words), "doc bigint, items array<bigint>, odd array<bigint>"), "minhash")
@@ -222,24 +222,25 @@ def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
         held = buckets.join(members, "doc")
         # Of a bucket: its hub, another one each round, and what is left to compare across components.
         rank = F.xxhash64("doc", F.lit(rounds)) if rounds else F.col("doc")
-        sizes = held.groupBy("key", "component").agg(F.count("*").alias("c"), F.min(F.struct(rank.alias("o"), "doc", "component", "n", "least", "most")).alias("hub"))
-        state = (
-            sizes.groupBy("key").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count("*").alias("parts"), F.min("hub").alias("hub"))
-            .where("parts > 1").select("key", "hub", ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("open"), "all")
+        hub = F.struct(rank.alias("o"), "doc", "component", "n", "least", "most")
+        whole = Window.partitionBy("key")
+        open_ = (
+            held.withColumns({"all": F.count("*").over(whole), "hub": F.min(hub).over(whole), "lo": F.min("component").over(whole), "hi": F.max("component").over(whole)})
+            .where("lo < hi").select("key", "doc", "component", "n", "least", "most", "hub", "all")
         )
-        open_ = stored(held.join(state, "key").select("key", "doc", "component", "n", "least", "most", "hub", "open", "all"), "minhash")
-        work = open_.select("key", "open", "all").distinct().agg(F.sum("open").alias("open"), F.sum("all").alias("all")).first()
-        docs_open = open_.select("doc").distinct().count()
-        if not work.open:
+        open_ = stored(open_, "minhash")
+        # At most so many pairs are left (a bucket of n has n rows that each tell n).
+        work = open_.agg((F.sum("all") / 2).alias("pairs"), F.count("*").alias("rows"), F.approx_count_distinct("doc").alias("docs")).first()
+        if not work.rows:
             return members, rounds, stuck
-        if rounds in (1, 2):
+        if rounds == 1:
             # Documents that can't have a link with any other left need no comparison; twice, as the first time takes others' partners away.
-            able = stored(_bounded(open_, sets, percent), "minhash")
+            able = stored(_bounded(stored(_bounded(open_, sets, percent), "minhash"), sets, percent), "minhash")
             buckets = stored(buckets.join(open_.select("key").distinct(), "key", "left_semi").join(able.select("doc"), "doc", "left_semi"), "minhash")
             members = stored(members.drop("most").join(able, "doc", "left").select("doc", "n", "least", "component", F.coalesce("most", F.lit(0)).alias("most")), "minhash")
-            rounds += 2
+            rounds += 1
             continue
-        last = work.open <= 8 * work["all"] or stuck > 0
+        last = work.pairs <= 8 * work.rows or stuck > 0
         if last:
             pairs = _across(open_, sets, percent)
         else:
@@ -262,7 +263,7 @@ def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
         linked = stored(linked, "minhash")
         rounds += 1
         merged = linked.count()
-        stuck = 0 if 50 * merged > docs_open else stuck + 1
+        stuck = 0 if 50 * merged > work.docs else stuck + 1
         if merged:
             joined = components(linked).select(F.col("node").alias("component"), "component")
             joined = joined.toDF("component", "joined")
