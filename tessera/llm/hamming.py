@@ -85,7 +85,8 @@ def _search(base: DataFrame, asked: DataFrame, width: int, k: int, places: int |
             .select(F.col("code").alias("qcode"), "segment", "part", F.explode(_masks(places, radius)).alias("mask"))
             .select("qcode", "segment", F.col("part").bitwiseXOR(F.col("mask")).alias("key"))
         )
-        hits = probes.join(index, ["segment", "key"]).select("qcode", "code", _apart("qcode", "code", segments).alias("distance"))
+        # Probes are far more than their source tells the planner, so neither side may be broadcast.
+        hits = probes.hint("merge").join(index, ["segment", "key"]).select("qcode", "code", _apart("qcode", "code", segments).alias("distance"))
         # The k + 1 nearest codes seen bound what can still count; ties stay.  A pair meets in each
         # segment at most once a radius, so the first cut, before the shuffle, leaves room for that.
         hits = _ranked(hits, (k + 1) * segments)

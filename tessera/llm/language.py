@@ -25,9 +25,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import buffers, rows, slices, texts
+from .common import buffers, rows, slices, stored, texts
 
 SAMPLE, ALPHABET, CONTEXTS, HELD_OUT = 1500, 96, 6000, 2
+#: Chosen ids are sent to every task if they are so many at most (they are SAMPLE a language).
+BROADCAST = 100_000
 #: Bits of a text beyond which it is no surer of its language: the score's evidence is scaled to so many bytes.
 SCORE_BYTES = 200
 _LETTER = re.compile(r"[^\W\d_]")
@@ -128,7 +130,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE, alphabet: int = ALPHABET, conte
     labelled = texts(docs, F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL AND doc_id IS NOT NULL").where(~is_held_out())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = labelled.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).select("doc_id", "lang")
-    sampled = labelled.join(chosen.distinct(), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
+    chosen = stored(chosen.distinct(), "language")
+    if chosen.count() <= BROADCAST:
+        chosen = F.broadcast(chosen)
+    sampled = labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
     got: dict[str, list[tuple[int, str]]] = {}
     # At most sample documents of each language come to the driver, where the trees are counted.
     for r in sampled.toLocalIterator():
