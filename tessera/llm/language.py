@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import buffers, rows, slices, stored, texts
 
-SAMPLE, ALPHABET, CONTEXTS, HELD_OUT = 1500, 96, 6000, 2
+SAMPLE, ALPHABET, CONTEXTS, HELD_OUT = 1000, 96, 6000, 2
 #: Chosen ids are sent to every task if they are so many at most (they are SAMPLE a language).
 BROADCAST = 100_000
 #: Bits of a text beyond which it is no surer of its language: the score's evidence is scaled to so many bytes.
@@ -43,6 +43,26 @@ def _symbols(data: np.ndarray, size: int) -> tuple[np.ndarray, int]:
     return symbol, 256 - (size - 1)
 
 
+#: Symbols that are counted at once, so that the driver holds little beside the texts.
+_PART = 1 << 20
+
+
+def _joined(parts: tuple[np.ndarray, ...], size: int, n: int) -> np.ndarray:
+    """One number for the n first symbols of each part beside each other."""
+    out = np.zeros(n, np.int64)
+    for p in parts:
+        out = out * size + p[:n]
+    return out
+
+
+def _counted(parts: tuple[np.ndarray, ...], size: int, n: int) -> np.ndarray:
+    """How often each tuple of symbols comes, over n places."""
+    out = np.zeros(size ** len(parts), np.int64)
+    for at in range(0, n, _PART):
+        out += np.bincount(_joined(tuple(p[at:] for p in parts), size, min(_PART, n - at)), minlength=len(out))
+    return out
+
+
 def _escaped(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     """Method C: bits of each symbol (last axis) from its counts in a context and the bits that the shorter context gives."""
     total = counts.sum(-1, keepdims=True)
@@ -61,9 +81,11 @@ class Trees:
         a = self.alphabet = alphabet
         joined = np.frombuffer(b"".join(texts_of[x] for x in self.langs), np.uint8)
         self.symbol, shared = _symbols(joined, a)
-        codes = {x: self.symbol[np.frombuffer(texts_of[x], np.uint8)] for x in self.langs}
-        grams = {x: ((c[:-3] * a + c[1:-2]) * a + c[2:-1]) for x, c in codes.items()}
-        uses = np.sum([np.bincount(g, minlength=a**3) for g in grams.values()], axis=0) if grams else np.zeros(a**3)
+        del joined
+        codes = {x: self.symbol.astype(np.uint8)[np.frombuffer(texts_of[x], np.uint8)] for x in self.langs}
+        uses = np.zeros(a**3, np.int64)
+        for c in codes.values():
+            uses += _counted((c, c[1:], c[2:]), a, len(c) - 3)
         often = np.argsort(-uses, kind="stable")[:contexts]
         often = often[uses[often] > 0]
         self.row = np.full(a**3, -1, np.int32)
@@ -74,11 +96,15 @@ class Trees:
             c = codes[x]
             uniform = np.full(a, np.log2(256))
             uniform[-1] -= np.log2(shared)  # the bits within the shared symbol come on top
-            zero = _escaped(np.bincount(c, minlength=a), uniform)
-            one = _escaped(np.bincount(c[:-1] * a + c[1:], minlength=a * a).reshape(a, a), zero)
-            two = _escaped(np.bincount((c[:-2] * a + c[1:-1]) * a + c[2:], minlength=a**3).reshape(a, a, a), one[None])
-            row = self.row[grams[x]]
-            counts = np.bincount(row[row >= 0] * a + c[3:][row >= 0], minlength=len(often) * a).reshape(len(often), a)
+            zero = _escaped(_counted((c,), a, len(c)), uniform)
+            one = _escaped(_counted((c, c[1:]), a, len(c) - 1).reshape(a, a), zero)
+            two = _escaped(_counted((c, c[1:], c[2:]), a, len(c) - 2).reshape(a, a, a), one[None])
+            counts = np.zeros(len(often) * a, np.int64)
+            for at in range(0, len(c) - 3, _PART):
+                n = min(_PART, len(c) - 3 - at)
+                row = self.row[_joined((c[at:], c[at + 1 :], c[at + 2 :]), a, n)]
+                counts += np.bincount(row[row >= 0] * np.int64(a) + c[at + 3 : at + 3 + n][row >= 0], minlength=len(counts))
+            counts = counts.reshape(len(often), a)
             self.two[:, :, k] = two.reshape(a * a, a)
             self.three[:, :, k] = _escaped(counts, two.reshape(a * a, a)[often % (a * a)])
             if k == 0:
@@ -134,11 +160,11 @@ def learn(docs: DataFrame, sample: int = SAMPLE, alphabet: int = ALPHABET, conte
     if chosen.count() <= BROADCAST:
         chosen = F.broadcast(chosen)
     sampled = labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
-    got: dict[str, list[tuple[int, str]]] = {}
+    got: dict[str, list[tuple[int, bytes]]] = {}
     # At most sample documents of each language come to the driver, where the trees are counted.
     for r in sampled.toLocalIterator():
-        got.setdefault(r.lang, []).append((r.doc_id, r.text))
-    return Trees({x: b"\n\n\n" + b"\n\n\n".join(t.encode() for _, t in sorted(v)) for x, v in got.items()}, alphabet, contexts)
+        got.setdefault(r.lang, []).append((r.doc_id, r.text.encode()))
+    return Trees({x: b"\n\n\n" + b"\n\n\n".join(t for _, t in sorted(v)) for x, v in got.items()}, alphabet, contexts)
 
 
 def _predict(raw, place: int | None = None):
