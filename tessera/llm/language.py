@@ -79,6 +79,7 @@ class Trees:
     def __init__(self, texts_of: dict[str, bytes], alphabet: int = ALPHABET, contexts: int = CONTEXTS):
         self.langs = sorted(texts_of)
         a = self.alphabet = alphabet
+        self.within = np.float32(0)
         joined = np.frombuffer(b"".join(texts_of[x] for x in self.langs), np.uint8)
         self.symbol, shared = _symbols(joined, a)
         del joined
@@ -160,11 +161,22 @@ def learn(docs: DataFrame, sample: int = SAMPLE, alphabet: int = ALPHABET, conte
     if chosen.count() <= BROADCAST:
         chosen = F.broadcast(chosen)
     sampled = labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
-    got: dict[str, list[tuple[int, bytes]]] = {}
-    # At most sample documents of each language come to the driver, where the trees are counted.
-    for r in sampled.toLocalIterator():
-        got.setdefault(r.lang, []).append((r.doc_id, r.text.encode()))
-    return Trees({x: b"\n\n\n" + b"\n\n\n".join(t for _, t in sorted(v)) for x, v in got.items()}, alphabet, contexts)
+    # At most sample documents of each language meet in one task, which counts the trees; the driver sees only these.
+    fitted = sampled.repartition(1).mapInArrow(_fit(alphabet, contexts), "trees binary").collect()
+    return Trees.restore(fitted[0].trees) if fitted else Trees({}, alphabet, 0)
+
+
+def _fit(alphabet: int, contexts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[str, list[tuple[int, bytes]]] = {}
+        for batch in batches:
+            for i, lang, text in zip(*(batch.column(c) for c in ("doc_id", "lang", "text")), strict=True):
+                got.setdefault(lang.as_py(), []).append((i.as_py(), text.as_buffer().to_pybytes()))
+        trees = Trees({x: b"\n\n\n" + b"\n\n\n".join(t for _, t in sorted(v)) for x, v in got.items()}, alphabet, contexts)
+        if got:
+            yield pa.RecordBatch.from_arrays([pa.array([trees.dump()], pa.binary())], names=["trees"])
+
+    return run
 
 
 def _predict(raw, place: int | None = None):

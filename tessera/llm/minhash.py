@@ -159,7 +159,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # Of rows that repeat a doc_id each class may name another smallest id; the id joins them.
     ids = signed.where("doc_id IS NOT NULL")
     repeated = ids.groupBy("doc_id").agg(F.count_distinct("print").alias("n"), F.count("print").alias("c")).where("n > 1")
-    named = signed.join(found, "print", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    named = signed.join(found, "print", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     if not repeated.isEmpty():
         ties = named.where("doc_id IS NOT NULL").join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
         more = components(ties).select(F.col("node").alias("component_id"), F.col("component").alias("joined"))

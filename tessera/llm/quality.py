@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import buffers, load, lower_hashes, rows, slices, stored, texts, word_spans
 
-SAMPLE, BUCKETS, SIGNIFICANT, LEAST, STEPS = 20_000, 1 << 20, 4.0, 4, 300
+SAMPLE, BUCKETS, SIGNIFICANT, LEAST, STEPS = 5_000, 1 << 20, 4.0, 4, 300
 #: The probability from which a document counts as toxic: missing one costs more than dropping one.
 TOXIC = 0.3
 LABELS = ("quality", "toxic")

@@ -3,7 +3,7 @@
 A file holds whole documents:
 
     magic "TIDB", version, then little-endian unsigned 32-bit: vocabulary size, documents n, blocks b, crc32 of the index
-    index: n doc ids (signed 64), n null marks (bytes), n token counts (64), b block sizes in ids, b payload sizes, b crc32 of a block's ids (32 each)
+    index: n doc ids (signed 64), n null marks (bytes), n token counts (64), b block sizes in ids, b payload sizes, b crc32 of a block's ids and its payload (32 each)
     payloads, end to end
 
 Files are the rows of a table in shared storage, ``(part, seq, n_tokens, file)``, in
@@ -42,7 +42,7 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, vocab:
         [
             np.array([x or 0 for x in doc_ids], "<i8").tobytes(), np.array([x is None for x in doc_ids], np.uint8).tobytes(), counts.astype("<u8").tobytes(),
             np.array([len(b) for b in blocks], "<u4").tobytes(), np.array([len(p) for p in payloads], "<u4").tobytes(),
-            np.array([zlib.crc32(b.astype("<u4").tobytes()) for b in blocks], "<u4").tobytes(),
+            np.array([zlib.crc32(p, zlib.crc32(b.astype("<u4").tobytes())) for b, p in zip(blocks, payloads, strict=True)], "<u4").tobytes(),
         ]
     )
     return b"".join([_HEAD.pack(b"TIDB", 1, vocab, len(doc_ids), len(blocks), zlib.crc32(index)), index, *payloads])
@@ -58,9 +58,10 @@ def unpack(file: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     if magic != b"TIDB" or version != 1 or zlib.crc32(file[_HEAD.size : at]) != crc:
         raise ValueError("not a token file, or its index is damaged")
     ends = at + np.r_[0, np.cumsum(cut[4].astype(np.int64))]
-    blocks = coder.decode_blocks([file[x:y] for x, y in itertools.pairwise(ends.tolist())], cut[3].tolist(), vocab)
+    payloads = [file[x:y] for x, y in itertools.pairwise(ends.tolist())]
+    blocks = coder.decode_blocks(payloads, cut[3].tolist(), vocab)
     for k, ids in enumerate(blocks):
-        if zlib.crc32(ids.astype("<u4").tobytes()) != cut[5][k]:
+        if zlib.crc32(payloads[k], zlib.crc32(ids.astype("<u4").tobytes())) != cut[5][k]:
             raise ValueError(f"block {k} is damaged")
     ids = np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)
     return [None if null else int(x) for x, null in zip(cut[0], cut[1], strict=True)], cut[2].astype(np.int64), ids
