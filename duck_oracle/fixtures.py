@@ -53,7 +53,7 @@ def payload_sql(raw: bool) -> str:
             "ELSE '\"B' || CAST(_k % 10 AS VARCHAR) || '\"' END"
         )
     product = (
-        "'{\"product_id\": \"' || CASE WHEN _id % 67 = 0 THEN 'P900' ELSE 'P' END || CAST(_k AS VARCHAR) || '\"'"
+        "'{\"product_id\": \"' || CASE WHEN _id % 67 = 0 THEN 'PX' ELSE 'P' END || CAST(_k AS VARCHAR) || '\"'"
         " || ', \"category_id\": \"C0' || CAST(_k % 8 + 1 AS VARCHAR) || '\"'"
         f" || ', \"brand\": ' || {brand}"
         f" || ', \"price\": ' || {price}"
@@ -96,7 +96,7 @@ def _columns() -> str:
   {_pick(REFERRERS, '_id')} AS source_referrer,
   {_pick(CAMPAIGNS, '_id')} AS source_utm_campaign,
   {_pick(MEDIUMS, '_id')} AS source_utm_medium,
-  CASE WHEN {hp} THEN CASE WHEN _id % 67 = 0 THEN 'P900' ELSE 'P' END || CAST(_k AS VARCHAR) END AS product_id,
+  CASE WHEN {hp} THEN CASE WHEN _id % 67 = 0 THEN 'PX' ELSE 'P' END || CAST(_k AS VARCHAR) END AS product_id,
   CASE WHEN {hp} THEN 'C0' || CAST(_k % 8 + 1 AS VARCHAR) END AS category_id,
   CASE WHEN {hp} THEN 'B' || CAST(_k % 10 AS VARCHAR) END AS brand,
   CASE WHEN {hp} THEN _cents END AS price,
@@ -149,5 +149,5 @@ PRODUCTS = f"""products AS (
          p_brand AS brand,
          {_pick(SHIPPING, 'p_partkey')} AS shipping_class,
          p_partkey % 10 = 0 AS is_fragile
-  FROM part WHERE p_partkey BETWEEN 0 AND 99
+  FROM part WHERE p_partkey IS NOT NULL
 )"""

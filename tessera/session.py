@@ -65,7 +65,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared, reliable folder the cluster names in ``spark.checkpoint.dir``.
 
     A cluster sets it; only when it is unset (local runs, tests) do we choose
-    one ourselves.
+    one ourselves, and only for a local master.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +74,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
+    elif not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
     return sc.getCheckpointDir()

@@ -98,7 +98,7 @@ def _payload_text(raw: bool = False, py: bool = True) -> Column:
 
     r = eid % RAW_ANOMALY_MOD
     qty = (eid % 3 + 1) * F.when(eid % 89 == 0, -1).otherwise(1)
-    product = F.when(eid % 67 == 0, F.concat(F.lit("P900"), _s(k))).otherwise(F.concat(F.lit("P"), _s(k)))
+    product = F.when(eid % 67 == 0, F.concat(F.lit("PX"), _s(k))).otherwise(F.concat(F.lit("P"), _s(k)))
     category = F.concat(F.lit("C0"), _s(k % 8 + 1))
     brand = F.concat(F.lit("B"), _s(k % 10))
     price_text = _s(cents)
@@ -189,7 +189,7 @@ def _fx_columns(b: DataFrame) -> DataFrame:
         _pick(UTM_MEDIUMS, eid).alias("source_utm_medium"),
         F.when(
             has_product,
-            F.when(eid % 67 == 0, F.concat(F.lit("P900"), _s(k))).otherwise(F.concat(F.lit("P"), _s(k))),
+            F.when(eid % 67 == 0, F.concat(F.lit("PX"), _s(k))).otherwise(F.concat(F.lit("P"), _s(k))),
         ).alias("product_id"),
         F.when(has_product, F.concat(F.lit("C0"), _s(k % 8 + 1))).alias("category_id"),
         F.when(has_product, F.concat(F.lit("B"), _s(k % 10))).alias("brand"),
@@ -298,9 +298,9 @@ def write_fx_raw(events: DataFrame, root: str) -> str:
 
 
 def fx_products(part: DataFrame) -> DataFrame:
-    """FX-PRODUCTS: the product dimension for keys 0-99 of `part`."""
+    """FX-PRODUCTS: the product dimension, all keys of `part`."""
     key = F.col("p_partkey")
-    return part.where(key.between(0, 99)).select(
+    return part.where(key.isNotNull()).select(
         F.concat(F.lit("P"), _s(key)).alias("product_id"),
         F.concat(F.lit("C0"), _s(key % 8 + 1)).alias("category_id"),
         F.round(F.col("p_retailprice") * 100).cast("long").alias("base_price"),

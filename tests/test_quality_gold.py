@@ -112,7 +112,7 @@ def test_unknown_product_rows(spark, silver):
 
     products = fx_products(load_table(spark, "/root/testdata/sf0.001", "part"))
     rows = unknown_product_rows(silver, products)
-    assert rows.count() == silver.where(F.col("product_id").startswith("P900")).count()
+    assert rows.count() == silver.where(F.col("product_id").startswith("PX")).count()
 
 
 def test_column_tests_on_empty_model_report_zero(spark):

@@ -38,7 +38,7 @@ def test_quality_duplicates_with_hot_key(spark, silver):
 
 def test_unknown_products_with_hot_product(spark, silver):
     skewed = silver.withColumn(
-        "product_id", F.when(event_number() % 3 == 0, F.lit("P900999")).otherwise(F.col("product_id"))
+        "product_id", F.when(event_number() % 3 == 0, F.lit("PX999")).otherwise(F.col("product_id"))
     )
     res = unknown_products(skewed, fx_products(load_table(spark, SF_SMALL, "part")))
     got = res.agg(F.sum("unknown_product_events")).first()[0]
