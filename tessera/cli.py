@@ -28,7 +28,7 @@ from tessera.operators import gold as gold_ops
 from tessera.operators import quality
 from tessera.operators.consume import validate_date
 from tessera.operators.silver import raw_to_silver_observed
-from tessera.session import build_session
+from tessera.session import build_session, checkpoint_dir
 from tessera.sources import versioned
 from tessera.sources.raw import RawPartitionMissing
 from tessera.sources.silver import day_parts, read_silver_files, write_silver_files
@@ -78,7 +78,8 @@ def cmd_silver_to_table(spark, a) -> int:
 
 
 def cmd_quality(spark, a) -> int:
-    m = quality.quality_metrics(spark.table(a.table), [a.date])
+    checkpoint_dir(spark)
+    m = quality.quality_metrics(spark.table(a.table), [a.date]).checkpoint()
     report = quality.quality_report(m, a.table)
     print(json.dumps(json.loads(report.first()["report"]), ensure_ascii=False, indent=2))
     if a.report_out:

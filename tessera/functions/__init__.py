@@ -1,10 +1,8 @@
 """Column expressions (all JVM-side built-ins; no Python UDFs)."""
 
 from tessera.functions.json_values import (  # noqa: F401
-    is_json_object,
     json_type,
     parse_json_line,
-    payload_object,
     variant_at,
     variant_to_int,
     variant_to_str,

@@ -20,8 +20,16 @@ _EDGE_SPACE = r"^(?U)\s+|(?U)\s+$"
 
 
 def parse_json_line(line: Column) -> Column:
-    """Parse one text line as JSON; NULL when the text is not valid JSON."""
-    return F.try_parse_json(line)
+    """Parse one text line as JSON; NULL unless the whole line is one JSON value in valid UTF-8.
+
+    The parser stops after the first value and takes damaged bytes for U+FFFD.
+    So the line is parsed as the first element of an array that the line's own
+    hash closes: text after the value either breaks the array or moves the hash.
+    """
+    mark = F.xxhash64(line).cast("string")
+    both = F.try_parse_json(F.when(F.is_valid_utf8(line), F.concat(F.lit("["), line, F.lit(","), mark, F.lit("]"))))
+    whole = F.try_variant_get(both, "$[1]", "string") == mark
+    return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
 
 
 def variant_at(v: Column, path: str) -> Column:
@@ -35,10 +43,6 @@ def json_type(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def is_json_object(v: Column) -> Column:
-    return F.coalesce(json_type(v).startswith("OBJECT<"), F.lit(False))
-
-
 def _is_number(t: Column) -> Column:
     return t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | t.startswith("DECIMAL")
 
@@ -120,6 +124,11 @@ def is_float_type(t: Column) -> Column:
     return F.when(t.startswith("DECIMAL("), decimal_is_float).otherwise(t.isin("DOUBLE", "FLOAT"))
 
 
+def maybe_float_type(t: Column) -> Column:
+    """JSON types that a float may have; an integer of more than 64 bits has them too."""
+    return F.coalesce(t.startswith("DECIMAL(") | t.isin("DOUBLE", "FLOAT"), F.lit(False))
+
+
 def variant_to_str(
     v: Column, t: Column | None = None, python_floats: bool = True, is_float: Column | None = None
 ) -> Column:
@@ -143,13 +152,6 @@ def variant_to_str(
     )
 
 
-def payload_object(v: Column) -> Column:
-    """B2 payload gate: the payload when it is a non-empty object, else NULL."""
-    p = variant_at(v, "$.payload")
-    t = json_type(p)
-    return F.when(t.startswith("OBJECT<") & (t != "OBJECT<>"), p)
-
-
 # Marker for the separator rewrite; JSON text cannot contain it unescaped.
 _MARK = "\u0001"
 # Possessive quantifiers: a string literal is consumed without backtracking.

@@ -51,8 +51,7 @@ def quality_metrics(silver: DataFrame, dates: list[str] | None = None) -> DataFr
     if dates is not None:
         spark = silver.sparkSession
         requested = spark.createDataFrame([(d,) for d in dict.fromkeys(dates)], "dt string")
-        # The requested-day list is a parameter (bounded by the caller), so it is the build side.
-        m = F.broadcast(requested).join(m, "dt", "left").fillna(0)
+        m = requested.join(m, "dt", "left").fillna(0)
     total = _c("total_count")
     # NULL counts as one distinct value.
     effective_distinct = _c("distinct_event_id_count") + F.when(_c("null_event_id_count") > 0, 1).otherwise(0)

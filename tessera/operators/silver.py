@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.json_values import (
-    is_float_type,
+    maybe_float_type,
     json_type,
     python_float_text_expr,
     python_json_text,
@@ -66,6 +66,13 @@ def _typed(value, dtype, t) -> F.Column:
     return variant_to_str(value, t, python_floats=False)
 
 
+def _line_path(name: str) -> str:
+    """JSON path of a text column in the raw line."""
+    if name in _NESTED:
+        return _NESTED[name]
+    return f"$.{name}" if name in _TOP else f"$.payload.{_PAYLOAD_KEY.get(name, name)}"
+
+
 def _object_struct(fields: dict[str, list[str] | None]) -> str:
     """`struct<...>` type string whose leaves are VARIANT (for one-pass object access)."""
     parts = []
@@ -103,13 +110,14 @@ def extract_silver(parsed: DataFrame, carry: list[str] | None = None) -> DataFra
     pj = F.get_json_object(F.col("line"), "$.payload")
     stage0 = parsed.where(F.col("_object") & valid_event_id(v)).select(
         *keep,
+        "line",
         F.when(pj.startswith("{") & (pj != "{}"), python_json_text(pj)).alias("payload_json"),
         F.try_variant_get(v, "$", TOP_STRUCT).alias("_top"),
     )
     leaves = {n: F.col(f"_top.{n}") for n in ["event_id", "schema_version", "event_time", "ingest_time", *_TOP]}
     leaves.update({n: F.col(f"_top.{path[2:]}") for n, path in _NESTED.items()})
     stage1 = stage0.select(
-        *keep, "payload_json", *[c.alias(f"_v_{n}") for n, c in leaves.items()],
+        *keep, "line", "payload_json", *[c.alias(f"_v_{n}") for n, c in leaves.items()],
         F.try_variant_get(F.col("_top.payload"), "$", PAYLOAD_STRUCT).alias("_payload"),
     )
     stage1 = stage1.select(
@@ -117,8 +125,8 @@ def extract_silver(parsed: DataFrame, carry: list[str] | None = None) -> DataFra
     ).drop("_payload")
     names = list(leaves) + _PAYLOAD_COLUMNS
     stage2 = stage1.select("*", *[json_type(F.col(f"_v_{n}")).alias(f"_t_{n}") for n in names])
-    # Whether each text value is a JSON float, derived once per value.
-    stage2 = stage2.select("*", *[is_float_type(F.col(f"_t_{n}")).alias(f"_f_{n}") for n in TEXT_COLUMNS])
+    # Whether each text value may be a JSON float, derived once per value.
+    stage2 = stage2.select("*", *[maybe_float_type(F.col(f"_t_{n}")).alias(f"_f_{n}") for n in TEXT_COLUMNS])
 
     def val(n):
         return F.col(f"_v_{n}")
@@ -139,11 +147,15 @@ def extract_silver(parsed: DataFrame, carry: list[str] | None = None) -> DataFra
         if name not in cols:
             cols[name] = _typed(val(name), types[name], typ(name))
     cols["payload_json"] = F.col("payload_json")
-    # Bit i set: text column i holds a JSON float (its Python text is fixed later).
+    # Bit i set: text column i may hold a JSON float (its Python text is fixed later).
     mask = F.lit(0)
     for i, name in enumerate(TEXT_COLUMNS):
         mask = mask + F.when(F.col(f"_f_{name}"), F.lit(1 << i)).otherwise(F.lit(0))
     side.append(mask.alias("_float_mask"))
+    # Integers wider than 64 bits share their VARIANT types with floats; the line's
+    # own tokens tell them apart, and only a line with that many digits has any.
+    tokens = F.array(*[F.get_json_object(F.col("line"), _line_path(n)) for n in TEXT_COLUMNS])
+    side.append(F.when((mask != 0) & F.col("line").rlike("[0-9]{19}"), tokens).alias("_tokens"))
     ordered = [cols[n].cast(types[n]).alias(n) for n, _, _ in SILVER_FIELDS]
     return stage2.select(*ordered, *side, *keep)
 
@@ -160,7 +172,9 @@ def finish_silver(rows: DataFrame) -> DataFrame:
 
     def fix(x, i):
         bit_set = (mask / F.pow(F.lit(2), i)).cast("long") % 2 == 1
-        return F.when(bit_set, python_float_text_expr(x.cast("double"))).otherwise(x)
+        token = F.get(F.col("_tokens"), i)
+        text = F.when(token.rlike("^-?[0-9]+$"), token).otherwise(python_float_text_expr(x.cast("double")))
+        return F.when(bit_set, text).otherwise(x)
 
     staged = rows.withColumn("_fixed", F.when(mask != 0, F.transform(texts, fix)))
     out = {}

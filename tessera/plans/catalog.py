@@ -231,9 +231,13 @@ def dedup_first_seen_lineitem(spark, sf_dir):
 @register("unknown_products")
 def unknown_products(spark, sf_dir):
     from tessera.operators.profile import unknown_products as up
-    from tessera.sources.fixtures import fx_products
+    from tessera.session import scratch_path
+    from tessera.sources.fixtures import write_fx_products
+    from tessera.sources.products import read_products
 
-    return up(_silver(spark, sf_dir), fx_products(load_table(spark, sf_dir, "part")))
+    ensure_conf(spark)
+    landed = write_fx_products(load_table(spark, sf_dir, "part"), scratch_path(spark, "fx-products"))
+    return up(_silver(spark, sf_dir), read_products(spark, landed))
 
 
 @register("raw_anomaly_profile")
@@ -243,7 +247,7 @@ def raw_anomaly_profile(spark, sf_dir):
 
     root = _landed_raw(spark, sf_dir)
     silver = r2s(spark, root, glob=RAW_GLOB)
-    return anomaly_profile(silver, ingest_stats(spark, root, glob=RAW_GLOB, silver=silver))
+    return anomaly_profile(silver, ingest_stats(spark, root, glob=RAW_GLOB))
 
 
 @register("schema_version_mix")
@@ -401,4 +405,138 @@ def e2e_daily_medallion(spark, sf_dir):
     raw = _landed_raw(spark, sf_dir)
     ns = _fresh_namespace(spark)
     result = run_daily(spark, raw, ns, glob=RAW_GLOB)
-    return daily_summary(spark, result, raw, glob=RAW_GLOB)
+    return daily_summary(spark, result)
+
+
+@register("daily_rerun_emptied_day")
+def daily_rerun_emptied_day(spark, sf_dir):
+    """L2: a day's raw files are replaced by lines without a valid row; its rerun empties the day and fails its gate."""
+    from tessera.plans.daily_job import daily_summary, run_daily
+
+    raw = _landed_raw(spark, sf_dir)
+    ns = _fresh_namespace(spark)
+    run_daily(spark, raw, ns, glob=RAW_GLOB)
+    for batch in (0, 1):
+        spark.range(1).select(F.lit("not json").alias("value")).write.mode("overwrite").text(f"{raw}/dt=2024-01-04/batch={batch}")
+    return daily_summary(spark, run_daily(spark, raw, ns, ["2024-01-04", "2024-01-05"], glob=RAW_GLOB))
+
+
+# --- files, loads, reports and runs --------------------------------------------
+
+
+@register("silver_files_rerun")
+def silver_files_rerun(spark, sf_dir):
+    """A3 + A4: Silver files of all days; a rerun of two days empties one and replaces the other."""
+    from tessera.session import scratch_path
+    from tessera.sources.fixtures import event_number
+    from tessera.sources.silver import read_silver_files, write_silver_files
+
+    silver, root = _silver(spark, sf_dir), scratch_path(spark, "silver-files")
+    write_silver_files(silver, root)
+    rerun = silver.where((F.col("dt") == "2024-01-06") & (event_number() % 10 != 0))
+    write_silver_files(rerun, root, ["2024-01-05", "2024-01-06"])
+    return read_silver_files(spark, root)
+
+
+@register("partition_counts")
+def partition_counts(spark, sf_dir):
+    """A9 + B10: rows per day after one day was loaded anew under a literal `dt`."""
+    from tessera.sources.fixtures import event_number
+    from tessera.sources.tables import partition_counts as counts, with_partition, write_partitions
+
+    table, silver = _silver_table(spark, sf_dir)
+    day = silver.where((F.col("dt") == "2024-01-06") & (event_number() % 10 != 0)).drop("dt")
+    write_partitions(with_partition(day, "2024-01-06"), table)
+    return counts(spark, table)
+
+
+@register("silver_duplicate_ids")
+def silver_duplicate_ids(spark, sf_dir):
+    """G1: event ids that occur more than once."""
+    from tessera.operators.dedup import duplicate_keys
+
+    return duplicate_keys(_bad(spark, sf_dir), ["event_id"])
+
+
+@register("quality_requested_days")
+def quality_requested_days(spark, sf_dir):
+    """The rules of a broken, a clean, a late and an absent day."""
+    days = ["2024-01-03", "2024-01-04", "2024-01-05", "2023-12-31"]
+    return quality.quality_rules(quality.quality_metrics(_bad(spark, sf_dir), days))
+
+
+@register("quality_report_documents")
+def quality_report_documents(spark, sf_dir):
+    """The report documents, written as JSON text and read back."""
+    import datetime as _dt
+
+    from tessera.session import scratch_path
+
+    path = scratch_path(spark, "quality-report")
+    when = _dt.datetime(2024, 2, 1, tzinfo=_dt.timezone.utc)
+    quality.write_quality_report(quality.quality_report(quality.quality_metrics(_bad(spark, sf_dir)), "silver_events", when), path)
+    rules = "rules array<struct<rule: string, passed: boolean, actual: double, expected: string, severity: string>>"
+    doc = spark.read.schema(f"table string, date string, checked_at string, row_count long, all_passed boolean, {rules}").json(path)
+    failed = F.transform(F.filter("rules", lambda r: ~r["passed"]), lambda r: r["rule"])
+    return doc.select(
+        "table", "date", "checked_at", "row_count", "all_passed", F.size("rules").alias("rules"),
+        F.array_join(F.array_sort(failed), ",").alias("failed"),
+    )
+
+
+@register("gold_empty_day")
+def gold_empty_day(spark, sf_dir):
+    """A build that includes a day without rows raises and writes nothing."""
+    from tessera.plans.gold_build import build_gold
+
+    silver, ns = _silver(spark, sf_dir), _fresh_namespace(spark)
+    build_gold(spark, silver, ns, ["2024-01-05"])
+    try:
+        build_gold(spark, silver, ns, ["2024-01-06", "2030-01-01"])
+    except gold.EmptyPartitionError:
+        return spark.table(f"{ns}.daily_event_metrics")
+    raise AssertionError("a day without rows was built")
+
+
+@register("gold_mode_runs")
+def gold_mode_runs(spark, sf_dir):
+    """The run table of the three strategies, without the elapsed time."""
+    from tessera.plans.gold_build import compare_modes
+
+    ns = _fresh_namespace(spark)
+    compare_modes(spark, _silver(spark, sf_dir), ns, ["2024-01-05", "2024-01-06"], f"{ns}.gold_runs")
+    return spark.table(f"{ns}.gold_runs").select("mode", "date", "total_count")
+
+
+@register("landed_line_counts")
+def landed_line_counts(spark, sf_dir):
+    """A13 + A14: lines of a source and of its landed copy by day."""
+    from tessera.session import scratch_path
+    from tessera.sources.raw import landed_line_counts as counts, write_jsonl
+
+    silver = _silver(spark, sf_dir)
+    source, landed = scratch_path(spark, "source"), scratch_path(spark, "landed")
+    write_jsonl(silver, source)
+    write_jsonl(silver, landed, ["dt"])
+    return counts(spark, source, landed)
+
+
+@register("snapshot_log_latest")
+def snapshot_log_latest(spark, sf_dir):
+    """the two latest snapshots."""
+    from tessera.sources.versioned import snapshots
+
+    return snapshots(spark, _versions(spark, sf_dir), limit=2)
+
+
+@register("time_travel_evolved")
+def time_travel_evolved(spark, sf_dir):
+    """A later commit adds a column; it is NULL in the rows of earlier ones."""
+    import datetime as _dt
+
+    from tessera.sources.versioned import commit, read_as_of
+
+    root = _versions(spark, sf_dir)
+    day = _silver(spark, sf_dir).where(F.col("dt") == "2024-01-07").withColumn("ingest_source", F.lit("rerun"))
+    commit(day, root, "overwrite", _dt.datetime(2024, 2, 4, tzinfo=_dt.timezone.utc))
+    return read_as_of(spark, root)

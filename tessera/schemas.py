@@ -103,13 +103,3 @@ GOLD_CONVERSION_COLUMNS = [
     "cart_to_purchase_rate",
     "view_to_purchase_rate",
 ]
-
-QUALITY_RULE_SCHEMA = T.StructType(
-    [
-        T.StructField("rule", _S),
-        T.StructField("passed", T.BooleanType()),
-        T.StructField("actual", T.DoubleType()),
-        T.StructField("expected", _S),
-        T.StructField("severity", _S),
-    ]
-)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql.utils import AnalysisException
 
 # Settings the results depend on.  They are runtime SQL confs, so they can be
 # applied to any session handed to us (the driver's, a notebook's, a test's).
@@ -61,6 +62,11 @@ def build_session(
     return ensure_conf(spark)
 
 
+def path_missing(exc: Exception) -> bool:
+    """Whether a read failed because nothing lies at its path (and for no other reason)."""
+    return isinstance(exc, AnalysisException) and exc.getCondition() == "PATH_NOT_FOUND"
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared, reliable folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -9,4 +9,4 @@ from tessera.schemas import PRODUCT_SCHEMA
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
     """A10: `[{"product_id": ..., ...}, ...]` → typed rows (no schema inference)."""
-    return spark.read.option("multiLine", True).schema(PRODUCT_SCHEMA).json(path)
+    return spark.read.option("multiLine", True).schema(PRODUCT_SCHEMA).json(path).select(*PRODUCT_SCHEMA.names)

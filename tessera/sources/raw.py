@@ -12,12 +12,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tessera.functions.json_values import parse_json_line
+from tessera.session import path_missing
 
 
 class RawPartitionMissing(FileNotFoundError):
     """A1: no raw file for a requested partition (the reference's exit code 3)."""
 
 
+def landed_days(spark: SparkSession, root: str, dates: list[str] | None = None, glob: str = "*.jsonl") -> list[str]:
+    """The requested days (all when None) that hold a raw file, in order.
+
+    The files are listed, not read; what reaches the driver is one row per day.
+    """
+    root = root.rstrip("/")
+    paths = [root] if dates is None else [f"{root}/dt={d}" for d in dict.fromkeys(dates)]
+    reader = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", glob)
+    try:
+        files = reader.load(paths)
+        if "dt" not in files.columns:
+            return []
+        return sorted(r["dt"] for r in files.select(F.col("dt").cast("string").alias("dt")).distinct().collect())
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+        raise RawPartitionMissing(f"no raw partition under {paths}: {exc}") from exc
+
+
 def read_raw_lines(
     spark: SparkSession, root: str, dates: list[str] | None = None, glob: str = "*.jsonl"
 ) -> DataFrame:
@@ -25,7 +45,8 @@ def read_raw_lines(
 
     Columns: `dt`, `line`, `_file` (path below the day directory), `_block`,
     `_pos`, `_v` (the line parsed as VARIANT, NULL when not JSON).  Only files
-    matching `glob` are read; partition values stay strings.
+    matching `glob` are read; partition values stay strings.  Every requested
+    day must hold such a file.
     """
     root = root.rstrip("/")
     paths = [root] if dates is None else [f"{root}/dt={d}" for d in dict.fromkeys(dates)]
@@ -33,17 +54,22 @@ def read_raw_lines(
     try:
         df = reader.text(paths)
     except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
         raise RawPartitionMissing(f"no raw partition under {paths}: {exc}") from exc
-    # Exit-3 check for requested days (their file lists are small); a read of
-    # the whole landing zone skips it rather than listing every path on the driver.
-    if dates is not None and not df.inputFiles():
-        raise RawPartitionMissing(f"no raw files matching {glob!r} under {paths}")
+    if dates is not None:
+        missing = sorted(set(dates) - set(landed_days(spark, root, dates, glob)))
+        if missing:
+            raise RawPartitionMissing(f"no raw files matching {glob!r} for dt={','.join(missing)} under {root}")
+    path = F.col("_metadata.file_path")
+    # The path comes URI-encoded; names sort by their own characters.
+    path = F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
     return df.select(
         F.col("dt").cast("string").alias("dt"),
         F.col("value").alias("line"),
         # Order among a day's files = order of their paths below `dt=D/` (same
         # prefix), which is a much shorter sort key to carry through the shuffle.
-        F.regexp_extract(F.col("_metadata.file_path"), r"/dt=[^/]*/(.*)$", 1).alias("_file"),
+        F.regexp_extract(path, r"/dt=[^/]*/(.*)$", 1).alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         # Increasing within a split, in line order; with (_file, _block) it is
         # a total order of the physical input.  Computed at the scan.
@@ -59,7 +85,7 @@ def parse_raw_lines(lines: DataFrame) -> DataFrame:
     """A2: classify each parsed line.
 
     `_blank`  — empty line (skipped, not counted);
-    `_bad`    — non-blank line that is not valid JSON (`json_parse_errors`);
+    `_bad`    — non-blank line that is not one valid JSON value (`json_parse_errors`);
     `_object` — a JSON object (counted in `raw_lines`); other JSON values are
                 skipped silently.
     """
@@ -78,7 +104,8 @@ def write_jsonl(df: DataFrame, path: str, partition_by: list[str] | None = None)
     """One JSON object per line (non-ASCII kept)."""
     cols = [c for c in df.columns if c not in (partition_by or [])]
     out = df.select(*(partition_by or []), F.to_json(F.struct(*cols)).alias("value"))
-    writer = out.write.mode("overwrite")
+    # All of `path` is replaced, whatever overwrite mode the session has.
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.text(path)

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tessera.schemas import SILVER_COLUMNS, SILVER_ROWS_PER_FILE, SILVER_SCHEMA, SILVER_TABLE_COLUMNS, SILVER_TABLE_SCHEMA
-from tessera.session import ensure_conf
+from tessera.session import ensure_conf, path_missing
 
 
 def write_silver_files(
@@ -28,7 +29,8 @@ def write_silver_files(
         out = out.where(F.col("dt").isin(list(dates)))
     # The days this job writes, observed during the write itself (no extra pass).
     seen = Observation("silver_days_written")
-    out = out.observe(seen, F.collect_set("dt").alias("days"), F.count(F.lit(1)).alias("rows"))
+    # Observed above the shuffle: an empty shuffle's own plan is dropped, and its metrics with it.
+    out = out.hint("rebalance", "dt").observe(seen, F.collect_set("dt").alias("days"), F.count(F.lit(1)).alias("rows"))
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -64,8 +66,10 @@ def day_parts(spark: SparkSession, root: str, dates: list[str]) -> dict[str, int
     for day in dict.fromkeys(dates):
         try:
             files = [f for f in spark.read.parquet(f"{root}/dt={day}").inputFiles() if f.endswith(".parquet")]
-        except Exception:  # noqa: BLE001 - day directory absent
-            files = []
+        except AnalysisException as exc:
+            if not (path_missing(exc) or exc.getCondition() == "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            files = []  # no such day, or one without files
         parts[day] = len(files)
     return parts
 

@@ -8,7 +8,7 @@ of the same day replaces that day and leaves the others untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,15 +45,24 @@ def iceberg_available(spark: SparkSession, catalog: str) -> bool:
 
 
 def write_partitions(
-    df: DataFrame, table: str, partition_col: str = "dt", rows_per_file: int | None = None
+    df: DataFrame, table: str, partition_col: str = "dt", rows_per_file: int | None = None,
+    seen: Observation | None = None,
 ) -> bool:
     """Create-if-missing, else align and overwrite the partitions present.
 
-    `rows_per_file` caps file size (A3's bounded chunks).  Returns True when
-    the table was created by this call.
+    Rows are gathered by partition before the write (one that is too large is
+    split among tasks), so a day does not get a file from every task.
+    `rows_per_file` caps file size (A3's bounded chunks); `seen` is filled with
+    the partitions written (`days`).  Returns True when the table was created by this call.
     """
     spark = df.sparkSession
     ensure_conf(spark)
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        rows = rows.hint("rebalance", partition_col)
+        # Observed above the shuffle: an empty shuffle's own plan is dropped, and its metrics with it.
+        return rows if seen is None else rows.observe(seen, F.collect_set(partition_col).alias("days"))
+
     catalog = table.split(".")[0] if table.count(".") >= 2 else None
     if catalog and iceberg_available(spark, catalog):  # pragma: no cover - needs the Iceberg runtime
         if not spark.catalog.tableExists(table):
@@ -65,14 +74,29 @@ def write_partitions(
         return False
     opts = {"maxRecordsPerFile": str(int(rows_per_file))} if rows_per_file else {}
     if not spark.catalog.tableExists(table):
-        df.write.options(**opts).format("parquet").partitionBy(partition_col).saveAsTable(table)
+        gathered(df).write.options(**opts).format("parquet").partitionBy(partition_col).saveAsTable(table)
         return True
     target = spark.table(table).schema
     # insertInto is positional: align first so evolved / reordered tables stay writable.
-    align_to_schema(df, target).write.options(**opts).insertInto(table, overwrite=True)
+    gathered(align_to_schema(df, target)).write.options(**opts).insertInto(table, overwrite=True)
     return False
 
 
+def clear_partitions(spark: SparkSession, table: str, days: list[str], partition_col: str = "dt") -> None:
+    """Empty the named partitions: dynamic overwrite leaves a day alone for which the input has no rows."""
+    catalog = table.split(".")[0] if table.count(".") >= 2 else None
+    iceberg = catalog and iceberg_available(spark, catalog)
+    nulls = ", ".join(
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in spark.table(table).schema if f.name != partition_col
+    )
+    for day in dict.fromkeys(days):
+        value = "'" + day.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        if iceberg:  # pragma: no cover - needs the Iceberg runtime
+            spark.sql(f"DELETE FROM {table} WHERE {partition_col} = {value}")
+        else:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col} = {value}) SELECT {nulls} WHERE false")
+
+
 def read_partition(spark: SparkSession, table: str, dt: str) -> DataFrame:
     """A table scan restricted to one partition (pruned at planning time)."""
     return spark.table(table).where(F.col("dt") == F.lit(dt))

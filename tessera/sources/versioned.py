@@ -1,27 +1,33 @@
 """Versioned partitioned table: append-only data plus a snapshot log.
 
 Every commit appends the rows of the partitions it (re)writes under
-`data/snapshot_id=N/dt=D/`, then appends one log row per partition
-`(snapshot_id, parent_id, committed_at, operation, dt, added_records)`.
+`data/snapshot_id=N/attempt=A/dt=D/`, then appends one log row per partition
+`(snapshot_id, parent_id, committed_at, operation, dt, added_records, attempt,
+columns)`, where `columns` is the commit's schema.
 The log row is the commit point, so readers never see half-written data.
 Commits assume one writer per table at a time (as the daily jobs run): the
 next snapshot id is read from the log before writing.
-Reading "as of N" takes, per `dt`, the latest snapshot ≤ N that wrote it and
-semi-joins the data on `(snapshot_id, dt)` — both partition columns, so the
-scan is pruned to the chosen partitions.
+Reading "as of N" takes, per `dt`, the latest snapshot ≤ N that wrote it, and
+reads the directories of those commits only, filtered on `(attempt, dt)` — both
+partition columns, so the scan is pruned to the chosen partitions.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
+
+from tessera.session import path_missing
 
 LOG_SCHEMA = (
     "snapshot_id long, parent_id long, committed_at timestamp, operation string, dt string, added_records long, "
-    "attempt string"
+    "attempt string, columns string"
 )
 
 
@@ -41,10 +47,17 @@ def _data_path(root: str) -> str:
     return f"{root.rstrip('/')}/data"
 
 
+def _attempt_path(root: str, snapshot_id: int, attempt: str) -> str:
+    return f"{_data_path(root)}/snapshot_id={snapshot_id}/attempt={attempt}"
+
+
 def read_log(spark: SparkSession, root: str) -> DataFrame:
+    """The log; empty while nothing was committed.  Any other read error is raised."""
     try:
         return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
-    except Exception:  # noqa: BLE001 - no log yet
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
@@ -66,14 +79,10 @@ def commit(
     # log row is ever read, so files of a crashed attempt (data written, log row
     # not) are never picked up, even though the next commit reuses the id.
     attempt = uuid.uuid4().hex
-    (
-        df.withColumn("snapshot_id", F.lit(sid).cast("long"))
-        .withColumn("attempt", F.lit(attempt))
-        .write.mode("append")
-        .partitionBy("snapshot_id", "attempt", "dt")
-        .parquet(_data_path(root))
-    )
-    counts = df.groupBy("dt").agg(F.count(F.lit(1)).alias("added_records"))
+    path = _attempt_path(root, sid, attempt)
+    df.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(path)
+    # The log counts what was written; the input is evaluated once.
+    counts = spark.read.schema(df.schema).parquet(path).groupBy("dt").agg(F.count(F.lit(1)).alias("added_records"))
     if dates:
         req = spark.createDataFrame([(d,) for d in dict.fromkeys(dates)], "dt string")
         counts = req.join(counts, "dt", "full").fillna(0, ["added_records"])
@@ -85,26 +94,53 @@ def commit(
         "dt",
         F.col("added_records").cast("long"),
         F.lit(attempt).alias("attempt"),
+        F.lit(df.drop("dt").schema.json()).alias("columns"),
     )
     log_rows.coalesce(1).write.mode("append").parquet(_log_path(root))
     return sid
 
 
 def partitions_as_of(log: DataFrame, snapshot_id: int | None = None) -> DataFrame:
-    """`(dt, snapshot_id, attempt)`: the commit whose rows are current for each day."""
+    """`(dt, snapshot_id, attempt, rows)`: the commit whose rows are current for each day."""
     l = log if snapshot_id is None else log.where(F.col("snapshot_id") <= F.lit(int(snapshot_id)))
-    latest = l.groupBy("dt").agg(F.max(F.struct("snapshot_id", "attempt")).alias("c"))
-    return latest.select("dt", "c.snapshot_id", "c.attempt")
+    latest = l.groupBy("dt").agg(F.max(F.struct("snapshot_id", "attempt", "added_records")).alias("c"))
+    return latest.select("dt", "c.snapshot_id", "c.attempt", F.col("c.added_records").alias("rows"))
+
+
+def _columns_as_of(log: DataFrame, snapshot_id: int | None) -> T.StructType:
+    """Every column that a commit up to the snapshot had, as its latest commit types it (and `dt`)."""
+    l = log if snapshot_id is None else log.where(F.col("snapshot_id") <= F.lit(int(snapshot_id)))
+    fields: dict[str, T.StructField] = {}
+    for r in l.select("snapshot_id", "columns").distinct().orderBy("snapshot_id").collect():
+        for f in T.StructType.fromJson(json.loads(r["columns"])):
+            fields[f.name] = T.StructField(f.name, f.dataType)
+    return T.StructType([*fields.values(), T.StructField("dt", T.StringType())])
 
 
 def read_as_of(spark: SparkSession, root: str, snapshot_id: int | None = None) -> DataFrame:
-    """Table content as of a snapshot (latest when None)."""
-    data = spark.read.parquet(_data_path(root))
-    chosen = partitions_as_of(read_log(spark, root), snapshot_id)
-    # Match the partition column's type as read (STRING when inference is off).
-    chosen = chosen.withColumn("snapshot_id", F.col("snapshot_id").cast(data.schema["snapshot_id"].dataType))
-    cols = [c for c in data.columns if c not in ("snapshot_id", "attempt")]
-    return data.join(chosen, ["snapshot_id", "attempt", "dt"], "left_semi").select(*cols)
+    """Table content as of a snapshot (latest when None).
+
+    A column that a later commit added is NULL in the rows of earlier ones; a
+    read as of an earlier snapshot does not have it.  Only directories of
+    commits that are still current for some day are listed.
+    """
+    log = read_log(spark, root)
+    schema = _columns_as_of(log, snapshot_id)
+    chosen = partitions_as_of(log, snapshot_id)
+    live: dict[tuple[int, str], list[str | None]] = {}
+    for r in chosen.where(F.col("rows") > 0).orderBy("snapshot_id", "dt").collect():  # one row per day
+        live.setdefault((r["snapshot_id"], r["attempt"]), []).append(r["dt"])
+    if not live:
+        return spark.createDataFrame([], schema)
+    own = T.StructType([*schema, T.StructField("snapshot_id", T.LongType()), T.StructField("attempt", T.StringType())])
+    data = spark.read.schema(own).option("basePath", _data_path(root)).parquet(*[_attempt_path(root, *k) for k in live])
+    current = F.lit(False)
+    for (_, attempt), days in live.items():
+        among = F.col("dt").isin([d for d in days if d is not None])
+        if None in days:
+            among = F.coalesce(among, F.lit(True))
+        current = current | ((F.col("attempt") == attempt) & among)
+    return data.where(current).select(*schema.names)
 
 
 def snapshots(spark: SparkSession, root: str, limit: int | None = None) -> DataFrame:

@@ -6,10 +6,9 @@ on (dt, event_id) → the post-dedup finishing step → an exactly-once Parquet
 file sink partitioned by `dt`.  With `availableNow` the query drains what has
 landed and stops.
 
-The watermark runs on ARRIVAL time (the landed file's modification time), not
-on `event_time`: every line has one (even when its `event_time` is missing or
-malformed), resends arrive within the horizon of their first copy, and a
-legitimately late event is never dropped for being late.  State is bounded by
+The watermark runs on ARRIVAL time, the batch's own processing time: it never
+goes back, so no row is behind the watermark and none is dropped, whatever
+its `event_time` or its file's modification time.  State is bounded by
 the horizon: a duplicate arriving more than 48 h after its first copy is no
 longer recognised (the batch path has no such limit).  Which copy survives
 inside one micro-batch is not defined, unlike the batch path's first-seen
@@ -40,7 +39,7 @@ def raw_line_stream(spark: SparkSession, raw_root: str, glob: str = "*.jsonl", m
         F.col("dt"),
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_arrival"),
+        F.current_timestamp().alias("_arrival"),
         # Nondeterministic on purpose: keeps later filters above this
         # projection, so each line is parsed once.
         F.spark_partition_id().cast("long").alias("_block"),

@@ -189,3 +189,46 @@ def test_observed_single_pass_counters(spark, raw_root, tmp_path):
     assert written == {"days": ["2024-03-01"], "rows": 8}
     assert (c["raw_lines"], c["json_parse_errors"], c["invalid_event_id"], c["valid_rows"]) == (11, 1, 2, 9)
     assert c["valid_rows"] - written["rows"] == 1  # dedup_skipped
+
+
+def _land(root, day, lines, name="a.jsonl"):
+    os.makedirs(os.path.join(root, f"dt={day}"), exist_ok=True)
+    path = os.path.join(root, f"dt={day}", name)
+    with open(path, "wb") as f:
+        f.write(b"".join(x + b"\n" for x in lines))
+    return path
+
+
+def test_lines_that_are_not_one_json_value(spark, tmp_path):
+    """Text after the value, two values, bytes that are no UTF-8 and brackets that would close a wrapper are all bad."""
+    root = str(tmp_path / "raw")
+    bad = [b'{"event_id":"x"} garbage', b'{"event_id":"x"}{"event_id":"y"}', b'{"event_id":"x"},{"event_id":"y"}',
+           b'{"event_id":"x\xff"}', b'{"event_id":"x"}],[', b'{"event_id":"x"},1]', b"not json"]
+    _land(root, "2024-03-01", [b'  {"event_id":"ok"} ', *bad])
+    got = ingest_stats(spark, root, ["2024-03-01"]).first()
+    assert (got["json_parse_errors"], got["raw_lines"], got["rows"]) == (len(bad), 1, 1)
+
+
+def test_each_requested_day_needs_a_file(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    _land(root, "2024-03-01", [b'{"event_id":"a"}'])
+    _land(root, "2024-03-02", [b'{"event_id":"b"}'], name="b.csv")
+    with pytest.raises(RawPartitionMissing, match="2024-03-02"):
+        raw_to_silver(spark, root, ["2024-03-01", "2024-03-02"])
+    assert raw_to_silver(spark, root, ["2024-03-01"]).count() == 1
+
+
+def test_long_integers_keep_their_digits(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    wide = {"a": "7" * 19, "b": "1234567890" * 4, "c": "-" + "9" * 45, "d": "1e20", "e": "100000000000000000000.0", "f": "12"}
+    _land(root, "2024-03-01", [f'{{"event_id":"{k}","user_id":{v}}}'.encode() for k, v in wide.items()])
+    got = {r["event_id"]: r["user_id"] for r in raw_to_silver(spark, root).collect()}
+    assert got == {k: str(json.loads(v)) for k, v in wide.items()}
+
+
+def test_file_names_sort_as_written(spark, tmp_path):
+    """First seen goes by the names themselves, not by their URI form ('!' < '%20' as text, but ' ' < '!')."""
+    root = str(tmp_path / "raw")
+    _land(root, "2024-03-01", [b'{"event_id":"a","user_id":"second"}'], name="x!.jsonl")
+    _land(root, "2024-03-01", [b'{"event_id":"a","user_id":"first"}'], name="x .jsonl")
+    assert raw_to_silver(spark, root).first()["user_id"] == "first"
