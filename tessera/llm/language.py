@@ -152,8 +152,8 @@ def is_held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == HELD_OUT
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE, alphabet: int = ALPHABET, contexts: int = CONTEXTS) -> Trees:
-    """Trees from at most ``sample`` labelled documents a language that are not held out, those of the smallest hashes."""
+def learn(docs: DataFrame, sample: int = SAMPLE, alphabet: int = ALPHABET, contexts: int = CONTEXTS) -> bytes:
+    """Trees (as ``Trees.dump`` gives them) from at most ``sample`` labelled documents a language that are not held out, those of the smallest hashes."""
     labelled = texts(docs, F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL AND doc_id IS NOT NULL").where(~is_held_out())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = labelled.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).select("doc_id", "lang")
@@ -163,7 +163,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, alphabet: int = ALPHABET, conte
     sampled = labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
     # At most sample documents of each language meet in one task, which counts the trees; the driver sees only these.
     fitted = sampled.repartition(1).mapInArrow(_fit(alphabet, contexts), "trees binary").collect()
-    return Trees.restore(fitted[0].trees) if fitted else Trees({}, alphabet, 0)
+    return bytes(fitted[0].trees) if fitted else Trees({}, alphabet, 0).dump()
 
 
 def _fit(alphabet: int, contexts: int):
@@ -209,14 +209,14 @@ def _predict(raw, place: int | None = None):
     return run
 
 
-def predict(docs: DataFrame, trees: Trees) -> DataFrame:
+def predict(docs: DataFrame, trees: bytes) -> DataFrame:
     """A row per row of ``docs``: ``doc_id, lang_pred, score, bits_per_byte``.
 
     Only the text is an input.  Null texts and texts without a letter are
     ``und`` with score 0, as is every text if nothing was learnt; ties go to the
     first language by name.  A text of any length is scored whole.
     """
-    raw = docs.sparkSession.sparkContext.broadcast(trees.dump())
+    raw = docs.sparkSession.sparkContext.broadcast(trees)
     return texts(docs).mapInArrow(_predict(raw), "doc_id bigint, lang_pred string, score double, bits_per_byte double")
 
 
@@ -228,7 +228,7 @@ def identify(docs: DataFrame, **options) -> DataFrame:
 
 def known_language(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the texts that are in no language (``und``: null, or no letter); a null ``lang`` becomes the predicted one, all else stays."""
-    raw = docs.sparkSession.sparkContext.broadcast(learn(docs, **options).dump())
+    raw = docs.sparkSession.sparkContext.broadcast(learn(docs, **options))
     held = rows(docs).select("row")
     place = [c.lower() for c in docs.columns].index("text")
     # The row goes through Arrow once; only the prediction is put beside it.
