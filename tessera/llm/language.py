@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import buffers, rows, slices, stored, texts
 
 SAMPLE, ALPHABET, CONTEXTS, HELD_OUT = 1000, 96, 6000, 2
+#: Parts of a language whose smallest hashes are found apart from each other.
+PARTS = 16
 #: Chosen ids are sent to every task if they are so many at most (they are SAMPLE a language).
 BROADCAST = 100_000
 #: Bits of a text beyond which it is no surer of its language: the score's evidence is scaled to so many bytes.
@@ -155,8 +157,12 @@ def is_held_out() -> F.Column:
 def learn(docs: DataFrame, sample: int = SAMPLE, alphabet: int = ALPHABET, contexts: int = CONTEXTS) -> bytes:
     """Trees (as ``Trees.dump`` gives them) from at most ``sample`` labelled documents a language that are not held out, those of the smallest hashes."""
     labelled = texts(docs, F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL AND doc_id IS NOT NULL").where(~is_held_out())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).select("doc_id", "lang")
+    # First within parts of a language, so that however many tasks name a hot one, at most PARTS * sample ids of it meet.
+    chosen = labelled.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(PARTS)).alias("part"))
+    for group in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = chosen.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).drop("nth")
+    chosen = chosen.select("doc_id", "lang")
     chosen = stored(chosen.distinct(), "language")
     if chosen.count() <= BROADCAST:
         chosen = F.broadcast(chosen)
