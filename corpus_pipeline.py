@@ -17,8 +17,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks go from the texts, and documents of which nothing is left."""
-    return lines.without_repeats(docs)
+    """Repeated runs of two or more lines go from the texts, and documents of which nothing is left."""
+    return lines.without_repeated_runs(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,11 @@ elsewhere, after its bytes were compared.
 
 Only 64-bit hashes of chunks meet in the global grouping, pre-aggregated a task;
 the texts of chunks move only where a hash occurs twice.
+
+Many of those chunks have one line, so repeated runs that are cut there stay; the
+oracle fixes these chunks, and with them the query's results.  The pipeline
+takes ``without_repeated_runs``, which knows no chunks: each two lines beside each
+other are looked up, so every line of every repeated run of two or more goes.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import computed, rows, with_text
+from .common import computed, rows, stored, with_text
 
 WINDOW, MODULUS, LEAST = 2, 3, 2
 _FACTOR = 31
@@ -94,6 +99,65 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     return out.select(*with_text(docs, F.col("text")))
 
 
+def _keyed(docs: DataFrame, key) -> DataFrame:
+    """``docs`` (with ``text``), ``version`` (a hash of the text, as rows may share a doc_id), ``lines`` and their ``keys``."""
+    split = computed(docs, version=F.xxhash64("text"), lines=F.split("text", "\n"))
+    return computed(split, keys=F.transform("lines", lambda x: key(x)))
+
+
+def _both(at: str):
+    """The lines of the pairs that start at the places in the array ``at``."""
+    return F.array_union(at, F.transform(at, lambda i: i + 1))
+
+
+def repeated_lines(docs: DataFrame, key=F.xxhash64) -> DataFrame:
+    """``(doc_id, version, gone)``: the numbers of the lines to remove of each text.
+
+    These are the lines of each pair of neighbours, not both blank, that stands at an
+    earlier place too (smaller doc_id, then line), and so all lines of a repeated
+    run.  Pairs are matched by the ``key`` of their lines, and the bytes of matched
+    lines are compared; if two lines share a key, the lines are their own keys.
+    """
+    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    solid = lambda i: F.get("lines", i).rlike(r"\S")
+    count = F.size("lines")
+    at = F.filter(F.sequence(F.lit(0), count - 1), lambda i: (i + 1 < F.size("lines")) & (solid(i) | solid(i + 1)))
+    pair = lambda i: F.struct(i.alias("at"), F.get("keys", i).alias("a"), F.get("keys", i + 1).alias("b"))
+    spots = _keyed(docs, key).select("doc_id", "version", "lines", "keys", at.alias("starts"))
+    spots = spots.select("doc_id", "version", F.inline(F.transform("starts", pair)))
+    where = F.struct("doc_id", "at", "version")
+    firsts = spots.groupBy("a", "b").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").select("a", "b", "first")
+    twice = stored(spots.join(firsts, ["a", "b"]).select("doc_id", "version", "at", (where > F.col("first")).alias("later")), "lines")
+    if key is not _itself:
+        asked = twice.groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts")).select("doc_id", "version", _both("starts").alias("asked"))
+        line = lambda i: F.struct(F.get("keys", i).alias("key"), F.get("lines", i).alias("line"))
+        texts = _keyed(docs, key).join(asked, ["doc_id", "version"]).select(F.inline(F.transform("asked", line))).distinct()
+        if texts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").count():
+            return repeated_lines(docs, _itself)
+    return twice.where("later").groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts")).select("doc_id", "version", _both("starts").alias("gone"))
+
+
+def _itself(line):
+    return line
+
+
+def without_repeated_runs(docs: DataFrame, key=F.xxhash64) -> DataFrame:
+    """``docs`` with all lines of repeated runs of two or more lines removed; a document of which nothing is left goes.
+
+    Each removed line stands at an earlier place that stays.  A null text and a row
+    without ``doc_id`` stay as they are.  Rows that repeat a ``doc_id`` with one text
+    are one document.  Other columns stay.
+    """
+    gone = repeated_lines(rows(docs), key).select(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version"), "gone")
+    held = computed(rows(docs), version=F.xxhash64("text"))
+    joined = held.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("version") == F.col("gone_version")), "left")
+    lines = computed(joined.select("row", "text", "gone"), lines=F.when(F.col("gone").isNotNull(), F.split("text", "\n")))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    new = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
+    out = computed(lines, new=F.when(F.col("gone").isNull(), F.col("text")).otherwise(new))
+    return out.where("gone IS NULL OR new <> ''").select(*with_text(docs, F.col("new")))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op1: every document's lines against all others'."""
     out = dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -104,6 +104,45 @@ def test_line_dedup_edges(spark, edge):
     assert sorted(r.doc_id for r in lines.without_repeats(twice, modulus=10**9).collect()) == [1, 3]
 
 
+def runs_removed(rows):
+    """What is left of each text, brute force: every line of a pair of lines that stood before goes."""
+    seen, out = set(), {}
+    for i, t in sorted({r for r in rows if r[0] is not None and r[1] is not None}):
+        part = t.split("\n")
+        gone = set()
+        for k in range(len(part) - 1):
+            pair = (part[k], part[k + 1])
+            if re.search(r"\S", "".join(pair)):
+                gone |= {k, k + 1} if pair in seen else set()
+                seen.add(pair)
+        left = "\n".join(x for k, x in enumerate(part) if k not in gone)
+        if left or not gone:
+            out[i] = left
+    return out
+
+
+@pytest.mark.parametrize("key", [lines.F.xxhash64, lambda x: lines.F.length(x).cast("bigint")], ids=["hash", "clashing"])
+def test_repeated_runs_go_whole(spark, key):
+    rnd = random.Random(7)
+    runs = [[f"run {r} line {k}" for k in range(2 + r % 3)] for r in range(30)]
+    rows = [(i, "\n".join([f"own {i} a", *runs[i % 30], f"own {i} b", *rnd.choice(runs), f"own {i} c"])) for i in range(20, 120)]
+    rows += [*TEXTS, *documents(), (200, "a\na\na\na"), (201, "\n \n\n \n"), (202, "\n \n\n \n"), (203, "one\n"), (204, "two\n\none\n")]
+    rows = [(k if i is not None else None, t) for k, (i, t) in enumerate(rows)]
+    rows.append(rows[0])
+    want = runs_removed(rows)
+    got = lines.without_repeated_runs(spark.createDataFrame(rows, "doc_id bigint, text string"), key).collect()
+    assert {r.doc_id: r.text for r in got if r.doc_id is not None and r.text is not None} == want
+    assert len(got) == len(want) + 1 + sum(i is None or t is None for i, t in rows)
+    left = "\n".join(text for i, text in want.items() if i < 100)
+    assert all(left.count(x) <= 1 for run in runs for x in run)
+
+
+def test_repeated_runs_of_rows_that_share_an_id(spark):
+    rows = [(1, "a\nb\nc"), (2, "x\na\nb"), (2, "p\nq\nr"), (3, "p\nq\ns")]
+    got = lines.without_repeated_runs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "a\nb\nc"), (2, "p\nq\nr"), (2, "x"), (3, "s")]
+
+
 def test_suffix_dedup(spark):
     rows = [*TEXTS[:8], *TEXTS[11:16], *documents()[50:120]]
     rows = [(k if i is not None else None, t) for k, (i, t) in enumerate(rows)] + [(None, BASE)]
