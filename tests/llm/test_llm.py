@@ -247,6 +247,20 @@ def test_pii_base_and_disguised():
     assert pii.find("") == ({k: [] for k in pii.KINDS}, {k: [] for k in pii.KINDS})
 
 
+def test_quality_learns_words_that_are_rare_in_a_quarter_of_the_labels(spark):
+    rnd = random.Random(2)
+    words = ["".join(rnd.choice("bcdfghklmnprstvz") for _ in range(9)) for _ in range(300)]
+    rows = [(i, f"plain text number n{i % 97} of {rnd.randrange(10**6)} words {words[i // 5 % 300] if i % 5 == 0 else 'here'}") for i in range(12_000)]
+    rows += [(20_000 + k, f"plain text number n{k % 97} of {rnd.randrange(10**6)} words {w}") for k, w in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(12_000)], "doc_id bigint, quality int, toxic int")
+    model = quality.learn(docs, labels)["toxic"]
+    held = [t for i, t in rows if i >= 20_000]
+    shape, found = quality.features(np.frombuffer("".join(held).encode(), np.uint8), np.r_[0, np.cumsum([len(t) for t in held])])
+    odds = model.evidence(shape, found, model.table()) + model.prior
+    assert np.mean(1 / (1 + np.exp(-odds)) >= quality.TOXIC) > 0.95
+
+
 def test_quality(spark):
     rows = [(i, ("good plain words here " if i % 2 else "BAD!! JUNK!! ") * 8 + ("moron" if i % 10 == 0 else ""), "en", f"s{i % 3}") for i in range(200)]
     rows += [(900, None, None, None), (None, "good plain words", "en", "s1")]
