@@ -96,14 +96,19 @@ _ALIKE = dict(zip("АВСЕНІЈКМОРЅТХУ" + "асеһіјорѕхуѵԁ
 _INVISIBLE = "­​‌‍⁠﻿"
 _ODD = re.compile(r"[­Ͱ-ԯ٠-٩۰-۹०-९​-‍‐-―․⁠①-⑨﹒﹫﻿！-～\U0001d400-\U0001d7ff]")
 _SPELLED = {w: str(k) for k, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
-_DIGIT_WORDS = re.compile(r"(?<!\w)(?:(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)(?:[ ,-]{1,2}|(?!\w))){4,}", re.I)
-_WORD = re.compile(r"\w+")
+_NAMED = "(?<![^\\W\\d])(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)(?![^\\W\\d])"
+_DOTS = r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+|\."
+# Digits and spelled ones, with what may stand between them.
+_CHAIN = re.compile(rf"(?:[0-9]++|{_NAMED})(?:(?:{_DOTS}|[ ,().-]{{0,3}})(?:[0-9]++|{_NAMED}))*+", re.I)
+_CHAINED = re.compile(rf"({_NAMED})|{_DOTS}|[0-9]", re.I)
+_GLUE = re.compile(r"[ ,-]{1,2}")
 _PLUS = re.compile(r"(?<!\w)plus[ ]+(?=[0-9])", re.I)
 _AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*", re.I)
 _DOT = re.compile(r"\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*", re.I)
-# Bare words count only together: name at host dot tld.
-_BARE = re.compile(r"(?<![\w.%+-])([A-Za-z0-9._%+-]{1,64})( at )([A-Za-z0-9-]{1,63}(?:(?: dot |\.)[A-Za-z0-9-]{1,63}){0,5}?)( dot )([A-Za-z]{2,24})(?![\w-])", re.I)
-_HINT = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]| dot |(?<!\w)(?:zero|one|two|three|four|five|six|seven|eight|nine|oh)(?!\w)", re.I)
+# Bare words count between characters of a name or host; a bare "at" before a host of which a label begins with two letters (not "at 5.30").
+_BARE_DOT = re.compile(r"(?<=[A-Za-z0-9_%+-])\s+dot\s+(?=[A-Za-z0-9_%+-])", re.I)
+_BARE_AT = re.compile(r"(?<=[A-Za-z0-9._%+-])\s+at\s+(?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2})", re.I)
+_HINT = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\sdot\s|\sat\s+[A-Za-z0-9-]++\.|" + _NAMED, re.I)
 
 
 class Traced:
@@ -139,26 +144,26 @@ def _glyphs(t: Traced) -> None:
 
 
 def _digits(t: Traced) -> None:
+    """Spelled digits become digits where digits or dots stand among them, or four or more of them."""
     changes = []
-    for m in _DIGIT_WORDS.finditer(t.text):
-        end = last = m.start()
-        for w in _WORD.finditer(m[0].rstrip(" ,-")):
-            start, end = m.start() + w.start(), m.start() + w.end()
-            changes.append((start if start == m.start() else last, end, _SPELLED[w[0].lower()]))
-            last = end
+    for m in _CHAIN.finditer(t.text):
+        parts = list(_CHAINED.finditer(t.text, m.start(), m.end()))
+        spelled = [p for p in parts if p[1]]
+        if not spelled or len(spelled) == len(parts) < 4:
+            continue
+        last = None
+        for p in spelled:
+            glued = last is not None and _GLUE.fullmatch(t.text, last, p.start())
+            changes.append((last if glued else p.start(), p.end(), _SPELLED[p[0].lower()]))
+            last = p.end()
     t.rewrite(changes)
     t.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(t.text)])
 
 
 def _ats(t: Traced) -> None:
-    t.rewrite([(m.start(), m.end(), "@") for m in _AT.finditer(t.text)])
-    t.rewrite([(m.start(), m.end(), ".") for m in _DOT.finditer(t.text)])
-    changes = []
-    for m in _BARE.finditer(t.text):
-        changes.append((*m.span(2), "@"))
-        changes += [(m.start(3) + d.start(), m.start(3) + d.end(), ".") for d in re.finditer(" dot ", m[3], re.I)]
-        changes.append((*m.span(4), "."))
-    t.rewrite(changes)
+    """Each form by itself, so that any mix of bare, bracketed and plain ones is undone; the detectors decide."""
+    for form, plain in ((_AT, "@"), (_DOT, "."), (_BARE_DOT, "."), (_BARE_AT, "@")):
+        t.rewrite([(m.start(), m.end(), plain) for m in form.finditer(t.text)])
 
 
 def deobfuscated(text: str) -> Traced | None:

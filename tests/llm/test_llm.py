@@ -247,6 +247,26 @@ def test_pii_base_and_disguised():
     assert pii.find("") == ({k: [] for k in pii.KINDS}, {k: [] for k in pii.KINDS})
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "part"),
+    [(f"write to {x} now", "email", x) for x in (
+        "jane [at] example dot com", "jane at example [dot] com", "jane@example dot com", "jane dot doe at example dot com", "jane  at  example  dot  com",
+        "jane.doe (at) example.co dot uk", "jane at example.com", "a" * 80 + " at " + "dot ".join(f"h{k} " for k in range(9)) + "dot " + "t" * 30,
+    )]
+    + [(f"from {x} on", "ip", x) for x in ("10 dot 0 dot 0 dot 1", "one zero dot zero dot zero dot one", "192.168.one.two", "10 [dot] 0 dot 0.one")]
+    + [(f"call {x} now", "phone", x) for x in ("+49 151 two three four 5678", "+49 one five one 2345678")]
+    + [("card 4111 1111 1111 one one one one, ok", "card", "4111 1111 1111 one one one one")],
+)
+def test_pii_mixed_disguises(text, kind, part):
+    base, every = pii.find(text)
+    assert part in [text[a:b] for a, b in every[kind]] and not base[kind]
+
+
+def test_pii_plain_words_are_no_disguise():
+    for text in ("we met at 5.30 on day one. Two came", "the dot at the end", "pick one or two", "look at one. It is at home"):
+        assert not any(pii.find(text)[1].values()), text
+
+
 def test_quality_learns_words_that_are_rare_in_a_quarter_of_the_labels(spark):
     rnd = random.Random(2)
     words = ["".join(rnd.choice("bcdfghklmnprstvz") for _ in range(9)) for _ in range(300)]
