@@ -270,7 +270,7 @@ def test_pii_plain_words_are_no_disguise():
 def test_quality_learns_words_that_are_rare_in_a_quarter_of_the_labels(spark):
     rnd = random.Random(2)
     words = ["".join(rnd.choice("bcdfghklmnprstvz") for _ in range(9)) for _ in range(300)]
-    rows = [(i, f"plain text number n{i % 97} of {rnd.randrange(10**6)} words {words[i // 5 % 300] if i % 5 == 0 else 'here'}") for i in range(12_000)]
+    rows = [(i, f"plain text number n{i % 97} of {rnd.randrange(10**6)} words {words[i // 5 % 300] if i % 5 == 0 else ''.join(rnd.choice('bcdfghklmnprstvz') for _ in range(9))}") for i in range(12_000)]
     rows += [(20_000 + k, f"plain text number n{k % 97} of {rnd.randrange(10**6)} words {w}") for k, w in enumerate(words)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(12_000)], "doc_id bigint, quality int, toxic int")
