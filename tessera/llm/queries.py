@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, hamming, language, lines, minhash, mixing, pii, quality, suffixes, token_files
+from . import bpe, decontaminate, hamming, language, lines, minhash, mixing, pii, quality, runs, suffixes, token_files
 
 QUERIES = {
     "op1_line_dedup": lines.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe": bpe.query,
     "op9_pii": pii.query,
     "op10_language_id": language.query,
+    "op11_periodic_runs": runs.query,
     "op13_source_mixing": mixing.query,
 }
 

@@ -40,7 +40,7 @@ from .common import buffers, load, mix, slices, texts, word_spans
 LEAST = 12
 #: Pairs that are extended at once.
 _CHUNK = 1 << 19
-#: Words that a pair must share on one side of it, if the run has a period of at least this many.
+#: Equal words looked for beside a pair of a long period before it is extended.
 _SIDE = 4
 
 
@@ -165,10 +165,11 @@ def _grid(length: int, longest: int, least: int) -> Iterator[tuple[np.ndarray |
     for p in range(1, min(most, cut) + 1):
         step = max(p, least - p)
         yield step, p, slice(0, max(0, length - p), step), slice(p, length, step)
-    for k in range((length - 1) // (cut + 1)):
+    # Row 0 starts at the first separator, which equals nothing.
+    for k in range(1, (length - 1) // (cut + 1)):
         end = min(most, (length - 1) // (k + 1))
         if end > cut:
-            yield -k, cut + 1, slice(k * (cut + 1), k * end + 1, max(k, 1)), slice((k + 1) * (cut + 1), (k + 1) * end + 1, k + 1)
+            yield -k, cut + 1, slice(k * (cut + 1), k * end + 1, k), slice((k + 1) * (cut + 1), (k + 1) * end + 1, k + 1)
 
 
 def find_runs(words: np.ndarray, at: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,7 +224,7 @@ def find_runs(words: np.ndarray, at: np.ndarray, least: int = LEAST) -> tuple[np
     held, count = [], 0
     for first, period, left, right in _grid(len(seq), longest, least):
         x, y = seq[left], seq[right]
-        hit = np.flatnonzero(x == y) if len(x) == len(y) else np.flatnonzero(x == y[: len(x)])
+        hit = np.flatnonzero(x == y)
         if not len(hit):
             continue
         if first > 0:
@@ -232,8 +233,8 @@ def find_runs(words: np.ndarray, at: np.ndarray, least: int = LEAST) -> tuple[np
             p = period + hit
             a = -first * p
         ok = (owner[a] >= 0) & (owner[a] == owner[a + p])
-        if period >= least - _SIDE:
-            # Of at least 2 * _SIDE - 1 equal words around the pair, _SIDE lie on one side of it, the pair's own included.
+        if period >= 2 * _SIDE - 2:
+            # Of that many equal words around the pair, _SIDE lie from it on, or _SIDE - 1 before it.
             fore, back = ok.copy(), ok.copy()
             for k in range(1, _SIDE):
                 fore &= seq[np.minimum(a + k, len(seq) - 1)] == seq[np.minimum(a + p + k, len(seq) - 1)]
