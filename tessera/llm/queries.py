@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, hamming, language, lines, minhash, mixing, pii, quality, runs, suffixes, token_files
+from . import bpe, decontaminate, hamming, language, lines, minhash, mixing, negatives, pii, quality, runs, suffixes, token_files
 
 QUERIES = {
     "op1_line_dedup": lines.query,
@@ -16,7 +16,13 @@ QUERIES = {
     "op9_pii": pii.query,
     "op10_language_id": language.query,
     "op11_periodic_runs": runs.query,
+    "op12_hard_negatives": negatives.query,
     "op13_source_mixing": mixing.query,
 }
 
-ORACLES = {"op1_line_dedup": lines.ORACLE, "op3_hamming_top_k": hamming.ORACLE, "op13_source_mixing": mixing.ORACLE}
+ORACLES = {
+    "op1_line_dedup": lines.ORACLE,
+    "op3_hamming_top_k": hamming.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
+    "op13_source_mixing": mixing.ORACLE,
+}
