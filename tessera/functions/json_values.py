@@ -19,6 +19,11 @@ FLOAT_TEXT = rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS
 _EDGE_SPACE = r"^(?U)\s+|(?U)\s+$"
 
 
+def bound(value: Column, fn) -> Column:
+    """`fn(value)` with `value` evaluated once, and the expression of `fn` kept out of the generated code."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def parse_json_line(line: Column) -> Column:
     """Parse one text line as JSON; NULL unless the whole line is one JSON value in valid UTF-8.
 
@@ -26,9 +31,18 @@ def parse_json_line(line: Column) -> Column:
     So the line is parsed as the first element of an array that the line's own
     hash closes: text after the value either breaks the array or moves the hash.
     """
+    return whole_value(line, both_values(line))
+
+
+def both_values(line: Column) -> Column:
+    """The line and its own hash, parsed as an array; NULL if that is no JSON."""
     mark = F.xxhash64(line).cast("string")
-    both = F.try_parse_json(F.when(F.is_valid_utf8(line), F.concat(F.lit("["), line, F.lit(","), mark, F.lit("]"))))
-    whole = F.try_variant_get(both, "$[1]", "string") == mark
+    return F.try_parse_json(F.when(F.is_valid_utf8(line), F.concat(F.lit("["), line, F.lit(","), mark, F.lit("]"))))
+
+
+def whole_value(line: Column, both: Column) -> Column:
+    """The line's value out of `both_values(line)`; NULL unless it is all there was."""
+    whole = F.try_variant_get(both, "$[1]", "string") == F.xxhash64(line).cast("string")
     return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
 
 

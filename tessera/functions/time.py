@@ -23,8 +23,12 @@ _H, _MI, _S, _FRAC = 7, 8, 9, 10
 _ZULU, _SIGN, _OH, _OM, _OS, _OFRAC = 11, 12, 13, 14, 15, 16
 
 
-# The common shape, which Spark's own timestamp cast reads exactly.
-CANONICAL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})$"
+# The common shapes, which Spark's own timestamp cast reads exactly: any fraction (it
+# keeps 6 digits) and offsets below its limit of 18 hours, with or without a colon.
+CANONICAL = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?"
+    r"(Z|[+-](?:0[0-9]|1[0-7]):?[0-5][0-9])$"
+)
 
 
 def _groups(text: Column) -> Column:

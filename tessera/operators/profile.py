@@ -7,10 +7,11 @@ size is under the broadcast threshold and sort-merges otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.metrics import count_when
+from tessera.operators.silver import first_copies
 
 LATE_AFTER_MS = 3_600_000  # O1: ingest at least one hour after the event
 
@@ -44,13 +45,17 @@ def unknown_product_rows(silver: DataFrame, products: DataFrame) -> DataFrame:
     return silver.where(F.col("product_id").isNotNull()).join(keys, "product_id", "left_anti")
 
 
-def silver_profile(silver: DataFrame) -> DataFrame:
-    """O1, O3, O5 per day from Silver."""
+#: Silver columns that the profile looks at.
+PROFILED = ["event_type", "event_time", "ingest_time", "user_id", "session_id", "product_id", "quantity"]
+
+
+def _silver_measures() -> list[Column]:
+    """What is counted over a day's Silver rows."""
     et, it = F.col("event_time"), F.col("ingest_time")
     both = et.isNotNull() & it.isNotNull()
     delay = F.unix_millis(it) - F.unix_millis(et)
     needs_product = F.col("event_type").isin("view", "add_to_cart", "purchase")
-    return silver.groupBy("dt").agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         count_when(both).alias("timed_rows"),
         count_when(both & (delay >= LATE_AFTER_MS)).alias("late_rows"),
@@ -60,18 +65,21 @@ def silver_profile(silver: DataFrame) -> DataFrame:
         count_when(needs_product).alias("product_events"),
         count_when(needs_product & F.col("product_id").isNull()).alias("null_product_id"),
         count_when(F.col("quantity") < 0).alias("negative_quantity"),
-    )
+    ]
 
 
-def anomaly_profile(silver: DataFrame, stats: DataFrame) -> DataFrame:
-    """O1-O5 per day: Silver measures joined with the raw ingest counters."""
-    p = silver_profile(silver)
-    s = stats.select("dt", "raw_lines", "valid_rows", "dedup_skipped", "price_as_text")
+def silver_profile(silver: DataFrame) -> DataFrame:
+    """O1, O3, O5 per day from Silver."""
+    return silver.groupBy("dt").agg(*_silver_measures())
+
+
+def _rates(days: DataFrame) -> DataFrame:
+    """O1-O5 out of a day's measures and raw counters."""
 
     def ratio(num: str, den: str):
         return F.when(F.col(den) > 0, F.col(num).cast("double") / F.col(den))
 
-    return p.join(s, "dt", "left").select(
+    return days.select(
         "dt",
         "rows",
         ratio("late_rows", "timed_rows").alias("late_rate"),
@@ -85,6 +93,26 @@ def anomaly_profile(silver: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
+def anomaly_profile(silver: DataFrame, stats: DataFrame) -> DataFrame:
+    """O1-O5 per day: Silver measures joined with the raw ingest counters."""
+    return _rates(silver_profile(silver).join(stats.select("dt", "valid_rows", "dedup_skipped", "price_as_text"), "dt", "left"))
+
+
+def raw_anomaly_profile(parsed: DataFrame) -> DataFrame:
+    """O1-O5 per day from the raw lines, read and parsed once.
+
+    The first-seen copy of each id carries the number of its copies and of those whose
+    price is text, so the Silver measures and the raw counters come from the same rows.
+    """
+    days = first_copies(parsed, PROFILED).groupBy("dt").agg(
+        *_silver_measures(),
+        F.sum("copies").alias("valid_rows"),
+        F.sum(F.col("copies") - 1).alias("dedup_skipped"),
+        F.sum("price_texts").alias("price_as_text"),
+    )
+    return _rates(days)
+
+
 def schema_version_mix(silver: DataFrame) -> DataFrame:
     """Events per (dt, schema_version), share of the day, rows carrying `os_version`."""
     per = silver.groupBy("dt", "schema_version").agg(

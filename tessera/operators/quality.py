@@ -1,13 +1,16 @@
-"""Partition quality gate.
+"""Partition quality gate (D7-D9, I1-I14), driven by a table of rules.
 
-All thirteen rule metrics come from ONE `groupBy("dt")` aggregate; rules are
-then evaluated column-wise and unpivoted to one row per (dt, rule) with
-`inline(array(struct ...))` — no collect, any number of days.
+A rule names what it measures over a day's rows: a condition that a bad row
+meets, or a column whose values must differ.  All rules of the table are
+compiled into ONE `groupBy("dt")` aggregate with a measure per rule, and then
+into one array of verdicts per day, unpivoted with `inline` — no collect, any
+number of days.  A new rule is one more line of the table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,112 +19,106 @@ from tessera.functions.metrics import count_when
 from tessera.schemas import EVENT_TYPES, ISO_SECONDS_UTC, RULE_SEVERITY, SCHEMA_VERSIONS, TIME_ORDER_MAX_RATIO
 
 
-def _c(name: str) -> Column:
-    return F.col(name)
+@dataclass(frozen=True)
+class Rule:
+    """`kind` says what is measured and what passes:
 
+    - `filled`: the number of rows, which must be positive;
+    - `none`: rows that meet `bad`, of which there must be none;
+    - `unique`: rows too many for the column `bad` to be unique, NULL being one value (D8); there must be none;
+    - `share`: the share of rows that meet `bad`, at most `bound`; 1.0 of an empty day (D9).
+    """
 
-def quality_metrics(silver: DataFrame, dates: list[str] | None = None) -> DataFrame:
-    """Per-`dt` rule metrics in a single aggregate.
+    name: str
+    kind: str
+    bad: str = ""
+    bound: float = 0.0
+
+    def measure(self) -> Column:
+        if self.kind == "unique":
+            value = F.col(self.bad)
+            return rows_counted() - F.count_distinct(value) - F.coalesce(F.max(F.when(value.isNull(), 1).otherwise(0)), F.lit(0))
+        bad = count_when(F.expr(self.bad)) if self.bad else None
+        return {"filled": rows_counted, "none": lambda: bad, "share": lambda: bad.cast("double") / rows_counted()}[self.kind]()
+
+    def of_empty_day(self) -> float | int:
+        return 1.0 if self.kind == "share" else 0
+
+    def verdict(self) -> Column:
+        """The rule's row of the report, from the column that holds its measure."""
+        actual = F.col(self.name)
+        passed, expected = (actual > 0, "> 0") if self.kind == "filled" else (actual <= self.bound, f"<= {self.bound}" if self.kind == "share" else "0")
+        return F.struct(
+            F.lit(self.name).alias("rule"),
+            passed.alias("passed"),
+            actual.cast("double").alias("actual"),
+            F.lit(expected).alias("expected"),
+            F.lit(RULE_SEVERITY).alias("severity"),
+        )
 
-    With `dates`, every requested day is reported, including days without
-    rows (they get zero counts so `partition_not_empty` fails).
-    """
-    df = silver if dates is None else silver.where(_c("dt").isin(list(dates)))
-    et, it = _c("event_time"), _c("ingest_time")
-    m = df.groupBy("dt").agg(
-        F.count(F.lit(1)).alias("total_count"),
-        F.count_distinct("event_id").alias("distinct_event_id_count"),
-        count_when(_c("event_id").isNull()).alias("null_event_id_count"),
-        count_when(~_c("event_type").isin(EVENT_TYPES) | _c("event_type").isNull()).alias("invalid_event_type_count"),
-        count_when(~_c("schema_version").isin(SCHEMA_VERSIONS) | _c("schema_version").isNull()).alias(
-            "invalid_schema_version_count"
-        ),
-        count_when(et.isNull()).alias("null_event_time_count"),
-        count_when(it.isNull()).alias("null_ingest_time_count"),
-        count_when(et.isNotNull() & it.isNotNull() & (et > it)).alias("invalid_time_order_count"),
-        count_when(_c("price") < 0).alias("negative_price_count"),
-        count_when(_c("total_amount") < 0).alias("negative_total_amount_count"),
-        count_when(_c("refund_amount") < 0).alias("negative_refund_amount_count"),
-        count_when((_c("event_type") == "purchase") & _c("order_id").isNull()).alias("purchase_missing_order_id_count"),
-        count_when((_c("event_type") == "search") & _c("search_query").isNull()).alias("search_missing_query_count"),
-        count_when((_c("event_type") == "refund") & _c("refund_amount").isNull()).alias(
-            "refund_missing_amount_count"
-        ),
-    )
-    if dates is not None:
-        spark = silver.sparkSession
-        requested = spark.createDataFrame([(d,) for d in dict.fromkeys(dates)], "dt string")
-        m = requested.join(m, "dt", "left").fillna(0)
-    total = _c("total_count")
-    # NULL counts as one distinct value.
-    effective_distinct = _c("distinct_event_id_count") + F.when(_c("null_event_id_count") > 0, 1).otherwise(0)
-    return m.withColumn("duplicate_event_id_count", total - effective_distinct).withColumn(
-        "invalid_time_order_ratio",
-        # Empty partition → ratio 1.0
-        F.when(total > 0, _c("invalid_time_order_count").cast("double") / total).otherwise(F.lit(1.0)),
-    )
 
+def rows_counted() -> Column:
+    return F.count(F.lit(1))
 
-# (rule, metric column, comparison) in report order.
-_ZERO_RULES = [
-    ("event_id_unique", "duplicate_event_id_count"),
-    ("event_type_allowed", "invalid_event_type_count"),
-    ("schema_version_allowed", "invalid_schema_version_count"),
-    ("event_time_not_null", "null_event_time_count"),
-    ("ingest_time_not_null", "null_ingest_time_count"),
-]
-_ZERO_RULES_2 = [
-    ("price_non_negative", "negative_price_count"),
-    ("total_amount_non_negative", "negative_total_amount_count"),
-    ("refund_amount_non_negative", "negative_refund_amount_count"),
-    ("purchase_requires_order_id", "purchase_missing_order_id_count"),
-    ("search_requires_query", "search_missing_query_count"),
-    ("refund_requires_amount", "refund_missing_amount_count"),
+
+def _listed(column: str, values: list) -> str:
+    """A bad row: `column` holds none of `values`."""
+    among = ", ".join(repr(v) for v in values)
+    return f"{column} IS NULL OR {column} NOT IN ({among})"
+
+
+#: I1-I13, in report order.
+RULES = [
+    Rule("partition_not_empty", "filled"),
+    Rule("event_id_unique", "unique", "event_id"),
+    Rule("event_type_allowed", "none", _listed("event_type", EVENT_TYPES)),
+    Rule("schema_version_allowed", "none", _listed("schema_version", SCHEMA_VERSIONS)),
+    Rule("event_time_not_null", "none", "event_time IS NULL"),
+    Rule("ingest_time_not_null", "none", "ingest_time IS NULL"),
+    Rule("event_time_lte_ingest_time_ratio", "share", "event_time > ingest_time", TIME_ORDER_MAX_RATIO),
+    Rule("price_non_negative", "none", "price < 0"),
+    Rule("total_amount_non_negative", "none", "total_amount < 0"),
+    Rule("refund_amount_non_negative", "none", "refund_amount < 0"),
+    Rule("purchase_requires_order_id", "none", "event_type = 'purchase' AND order_id IS NULL"),
+    Rule("search_requires_query", "none", "event_type = 'search' AND search_query IS NULL"),
+    Rule("refund_requires_amount", "none", "event_type = 'refund' AND refund_amount IS NULL"),
 ]
 
 
-def _rule(name: str, passed: Column, actual: Column, expected: str) -> Column:
-    return F.struct(
-        F.lit(name).alias("rule"),
-        passed.alias("passed"),
-        actual.cast("double").alias("actual"),
-        F.lit(expected).alias("expected"),
-        F.lit(RULE_SEVERITY).alias("severity"),
-    )
+def quality_metrics(silver: DataFrame, dates: list[str] | None = None, rules: list[Rule] = RULES) -> DataFrame:
+    """Per `dt` the number of rows (`row_count`) and the measure of every rule, under its name, in one aggregate.
 
+    With `dates`, every requested day is reported, also one without rows.
+    """
+    df = silver if dates is None else silver.where(F.col("dt").isin(list(dates)))
+    m = df.groupBy("dt").agg(rows_counted().alias("row_count"), *[r.measure().alias(r.name) for r in rules])
+    if dates is None:
+        return m
+    requested = silver.sparkSession.createDataFrame([(d,) for d in dict.fromkeys(dates)], "dt string")
+    return requested.join(m, "dt", "left").fillna({"row_count": 0, **{r.name: r.of_empty_day() for r in rules}})
 
-def _rules_array(metrics: DataFrame) -> Column:
-    rules = [_rule("partition_not_empty", _c("total_count") > 0, _c("total_count"), "> 0")]
-    rules += [_rule(n, _c(m) == 0, _c(m), "0") for n, m in _ZERO_RULES]
-    rules.append(
-        _rule(
-            "event_time_lte_ingest_time_ratio",
-            _c("invalid_time_order_ratio") <= F.lit(TIME_ORDER_MAX_RATIO),
-            _c("invalid_time_order_ratio"),
-            f"<= {TIME_ORDER_MAX_RATIO}",
-        )
-    )
-    rules += [_rule(n, _c(m) == 0, _c(m), "0") for n, m in _ZERO_RULES_2]
-    return F.array(*rules)
+
+def _verdicts(rules: list[Rule]) -> Column:
+    return F.array(*[r.verdict() for r in rules])
 
 
-def quality_rules(metrics: DataFrame) -> DataFrame:
+def quality_rules(metrics: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """One row per (dt, rule): passed, actual, expected, severity."""
-    return metrics.select("dt", F.inline(_rules_array(metrics)))
+    return metrics.select("dt", F.inline(_verdicts(rules)))
 
 
-def quality_gate(metrics: DataFrame) -> DataFrame:
+def quality_gate(metrics: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """I14 verdict per day: row count, rules checked/passed, `all_passed`.
 
     Evaluated on the rule array of each day's metric row — no extra shuffle."""
-    rules = _rules_array(metrics)
-    passed = F.filter(rules, lambda r: r["passed"])
+    verdicts = _verdicts(rules)
+    passed = F.filter(verdicts, lambda r: r["passed"])
     return metrics.select(
         "dt",
-        F.col("total_count").alias("row_count"),
-        F.size(rules).alias("rules_checked"),
+        "row_count",
+        F.size(verdicts).alias("rules_checked"),
         F.size(passed).alias("rules_passed"),
-        (F.size(passed) == F.size(rules)).alias("all_passed"),
+        (F.size(passed) == F.size(verdicts)).alias("all_passed"),
     )
 
 
@@ -130,12 +127,12 @@ def quality_report(metrics: DataFrame, table: str, checked_at: _dt.datetime | No
     `{table, date, checked_at, row_count, all_passed, rules: [...]}`."""
     when = checked_at or _dt.datetime.now(_dt.timezone.utc)
     checked = F.date_format(F.lit(when.astimezone(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp"), ISO_SECONDS_UTC)
-    rules = _rules_array(metrics)
+    rules = _verdicts(RULES)
     doc = F.struct(
         F.lit(table).alias("table"),
         F.col("dt").alias("date"),
         checked.alias("checked_at"),
-        F.col("total_count").alias("row_count"),
+        "row_count",
         (F.size(F.filter(rules, lambda r: r["passed"])) == F.size(rules)).alias("all_passed"),
         rules.alias("rules"),
     )

@@ -91,6 +91,23 @@ def fct_daily_conversion(spark, sf_dir):
     return marts.fct_daily_conversion(marts.stg_silver_events(_silver(spark, sf_dir)))
 
 
+@register("marts_incremental")
+def marts_incremental(spark, sf_dir):
+    """Marts of all days; then one day's Silver is rewritten and another's emptied, and only these are built anew."""
+    from tessera.operators.marts import MARTS
+    from tessera.plans.mart_build import build_marts
+    from tessera.sources.fixtures import event_number
+
+    silver, ns = _silver(spark, sf_dir), _fresh_namespace(spark)
+    build_marts(spark, silver, ns, [r["dt"] for r in silver.select("dt").distinct().collect()])
+    rerun = silver.where((F.col("dt") == "2024-01-05") & (event_number() % 10 != 0))
+    build_marts(spark, rerun, ns, ["2024-01-05", "2024-01-06"])
+    events, *others = [spark.table(f"{ns}.{m}") for m in MARTS]
+    for other in others:
+        events = events.join(other, "event_date", "full")
+    return events
+
+
 def _gold_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Run the Gold job (one Silver scan, per-day result checkpointed, three
     table writes) into a fresh namespace; the reports then read the tables,
@@ -242,12 +259,10 @@ def unknown_products(spark, sf_dir):
 
 @register("raw_anomaly_profile")
 def raw_anomaly_profile(spark, sf_dir):
-    from tessera.operators.profile import anomaly_profile
-    from tessera.operators.silver import ingest_stats, raw_to_silver as r2s
+    from tessera.operators.profile import raw_anomaly_profile as profile
+    from tessera.sources.raw import parse_raw_lines, read_raw_lines
 
-    root = _landed_raw(spark, sf_dir)
-    silver = r2s(spark, root, glob=RAW_GLOB)
-    return anomaly_profile(silver, ingest_stats(spark, root, glob=RAW_GLOB))
+    return profile(parse_raw_lines(read_raw_lines(spark, _landed_raw(spark, sf_dir), glob=RAW_GLOB)))
 
 
 @register("schema_version_mix")
@@ -353,11 +368,35 @@ def snapshot_log(spark, sf_dir):
     return snapshots(spark, _versions(spark, sf_dir))
 
 
+def _branched(spark: SparkSession, sf_dir: str) -> str:
+    """FX-VERSIONS, then two commits that leave its last snapshot out: a rollback to snapshot 2 with a part of 2024-01-07, and 2024-01-08 emptied."""
+    import datetime as _dt
+
+    from tessera.sources.fixtures import event_number
+    from tessera.sources.versioned import commit
+
+    root, silver = _versions(spark, sf_dir), _silver(spark, sf_dir)
+    day = silver.where((F.col("dt") == "2024-01-07") & (event_number() % 3 != 0))
+    commit(day, root, "overwrite", _dt.datetime(2024, 2, 4, tzinfo=_dt.timezone.utc), ["2024-01-07"], onto=2)
+    commit(silver.where("false"), root, "delete", _dt.datetime(2024, 2, 5, tzinfo=_dt.timezone.utc), ["2024-01-08"])
+    return root
+
+
 @register("snapshot_history")
 def snapshot_history(spark, sf_dir):
-    from tessera.sources.versioned import history
+    """The history of a table that was rolled back once, with the rows that each snapshot holds."""
+    from tessera.sources.versioned import history, snapshots
+
+    root = _branched(spark, sf_dir)
+    return history(spark, root).join(snapshots(spark, root).select("snapshot_id", "deleted_records", "total_records"), "snapshot_id")
+
+
+@register("time_travel_branch")
+def time_travel_branch(spark, sf_dir):
+    """The content after the rollback: nothing of the snapshot that it left out."""
+    from tessera.sources.versioned import read_as_of
 
-    return history(spark, _versions(spark, sf_dir))
+    return read_as_of(spark, _branched(spark, sf_dir))
 
 
 @register("time_travel_as_of")
@@ -379,19 +418,20 @@ def time_travel_compare(spark, sf_dir):
 
 @register("silver_stream_available_now")
 def silver_stream_available_now(spark, sf_dir):
-    """M1: drain FX-RAW through the streaming Silver job, read the sink back.
-    `ingest_time` is left out: copies of one event differ only there, and the
-    stream does not define which copy survives."""
+    """M1: FX-RAW's batches land and are drained one after the other; the resends of the second are found in the sink."""
     from tessera.session import scratch_path
+    from tessera.sources.fixtures import write_fx_raw
     from tessera.streaming.silver_stream import start_silver_stream
 
-    raw = _landed_raw(spark, sf_dir)
-    sink, ckpt = scratch_path(spark, "silver-stream"), scratch_path(spark, "silver-stream-ckpt")
-    q = start_silver_stream(spark, raw, sink, ckpt, glob=RAW_GLOB)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink).drop("ingest_time")
+    ensure_conf(spark)
+    raw, sink, ckpt = (scratch_path(spark, n) for n in ("fx-raw", "silver-stream", "silver-stream-ckpt"))
+    for batch in (0, 1):
+        write_fx_raw(load_table(spark, sf_dir, "events"), raw, [batch])
+        q = start_silver_stream(spark, raw, sink, ckpt, glob=RAW_GLOB)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink)
 
 
 # --- end-to-end -----------------------------------------------------------------

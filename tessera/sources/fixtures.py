@@ -305,10 +305,11 @@ def fx_raw_lines(events: DataFrame) -> DataFrame:
     return first.unionByName(resend).unionByName(junk)
 
 
-def write_fx_raw(events: DataFrame, root: str) -> str:
-    """Land FX-RAW as `root/dt=D/batch=N/part-*.txt` JSON-lines files."""
+def write_fx_raw(events: DataFrame, root: str, batches: list[int] | None = None) -> str:
+    """Land FX-RAW (or the named batches of it) as `root/dt=D/batch=N/part-*.txt` JSON-lines files."""
+    lines = fx_raw_lines(events)
     (
-        fx_raw_lines(events)
+        (lines if batches is None else lines.where(F.col("batch").isin(batches)))
         # Cluster by day directory; AQE splits a day that is too large, so a
         # hot day is written by several tasks (several files) instead of one.
         .hint("rebalance", "dt", "batch")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tessera.functions.json_values import parse_json_line
+from tessera.functions.json_values import both_values, parse_json_line, whole_value
 from tessera.session import path_missing
 
 
@@ -19,23 +19,27 @@ class RawPartitionMissing(FileNotFoundError):
     """A1: no raw file for a requested partition (the reference's exit code 3)."""
 
 
-def landed_days(spark: SparkSession, root: str, dates: list[str] | None = None, glob: str = "*.jsonl") -> list[str]:
-    """The requested days (all when None) that hold a raw file, in order.
+def landed_files(spark: SparkSession, root: str, dates: list[str] | None = None, glob: str = "*.jsonl") -> DataFrame:
+    """`(dt, files)`: raw files of the requested days (all when None).
 
-    The files are listed, not read; what reaches the driver is one row per day.
+    The files are listed by tasks, and none is read.
     """
     root = root.rstrip("/")
     paths = [root] if dates is None else [f"{root}/dt={d}" for d in dict.fromkeys(dates)]
     reader = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", glob)
     try:
         files = reader.load(paths)
-        if "dt" not in files.columns:
-            return []
-        return sorted(r["dt"] for r in files.select(F.col("dt").cast("string").alias("dt")).distinct().collect())
     except AnalysisException as exc:
         if not path_missing(exc):
             raise
         raise RawPartitionMissing(f"no raw partition under {paths}: {exc}") from exc
+    day = F.col("dt").cast("string") if "dt" in files.columns else F.lit(None).cast("string")
+    return files.select(day.alias("dt")).where("dt IS NOT NULL").groupBy("dt").agg(F.count(F.lit(1)).alias("files"))
+
+
+def landed_days(spark: SparkSession, root: str, dates: list[str] | None = None, glob: str = "*.jsonl") -> list[str]:
+    """The requested days (all when None) that hold a raw file, in order; one row per day reaches the driver."""
+    return sorted(r["dt"] for r in landed_files(spark, root, dates, glob).select("dt").collect())
 
 
 def read_raw_lines(
@@ -61,24 +65,32 @@ def read_raw_lines(
         missing = sorted(set(dates) - set(landed_days(spark, root, dates, glob)))
         if missing:
             raise RawPartitionMissing(f"no raw files matching {glob!r} for dt={','.join(missing)} under {root}")
-    path = F.col("_metadata.file_path")
+    return positioned_lines(
+        df.select(F.col("dt").cast("string").alias("dt"), "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+    )
+
+
+def positioned_lines(lines: DataFrame) -> DataFrame:
+    """Scanned lines (`dt`, `value`, `_path`, `_block`) with their physical position and parsed value, as `read_raw_lines` gives them."""
+    path = F.col("_path")
     # The path comes URI-encoded; names sort by their own characters.
     path = F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
-    return df.select(
-        F.col("dt").cast("string").alias("dt"),
+    placed = lines.select(
+        "dt",
         F.col("value").alias("line"),
         # Order among a day's files = order of their paths below `dt=D/` (same
         # prefix), which is a much shorter sort key to carry through the shuffle.
         F.regexp_extract(path, r"/dt=[^/]*/(.*)$", 1).alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
+        "_block",
         # Increasing within a split, in line order; with (_file, _block) it is
         # a total order of the physical input.  Computed at the scan.
         F.monotonically_increasing_id().alias("_pos"),
         # Parsed here, next to the nondeterministic `_pos`: the optimizer cannot
         # push later row filters below this projection, so each line is parsed
         # exactly once instead of once per filter term.
-        parse_json_line(F.col("value")).alias("_v"),
+        both_values(F.col("value")).alias("_both"),
     )
+    return placed.select("dt", "line", "_file", "_block", "_pos", whole_value(F.col("line"), F.col("_both")).alias("_v"))
 
 
 def parse_raw_lines(lines: DataFrame) -> DataFrame:

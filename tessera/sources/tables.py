@@ -46,20 +46,21 @@ def iceberg_available(spark: SparkSession, catalog: str) -> bool:
 
 def write_partitions(
     df: DataFrame, table: str, partition_col: str = "dt", rows_per_file: int | None = None,
-    seen: Observation | None = None,
+    seen: Observation | None = None, sort_by: list[str] | None = None,
 ) -> bool:
     """Create-if-missing, else align and overwrite the partitions present.
 
     Rows are gathered by partition before the write (one that is too large is
     split among tasks), so a day does not get a file from every task.
     `rows_per_file` caps file size (A3's bounded chunks); `seen` is filled with
-    the partitions written (`days`).  Returns True when the table was created by this call.
+    the partitions written (`days`); `sort_by` sorts each file.  Returns True when the table was created by this call.
     """
     spark = df.sparkSession
     ensure_conf(spark)
 
     def gathered(rows: DataFrame) -> DataFrame:
         rows = rows.hint("rebalance", partition_col)
+        rows = rows.sortWithinPartitions(partition_col, *sort_by) if sort_by else rows
         # Observed above the shuffle: an empty shuffle's own plan is dropped, and its metrics with it.
         return rows if seen is None else rows.observe(seen, F.collect_set(partition_col).alias("days"))
 
@@ -82,19 +83,18 @@ def write_partitions(
     return False
 
 
-def clear_partitions(spark: SparkSession, table: str, days: list[str], partition_col: str = "dt") -> None:
-    """Empty the named partitions: dynamic overwrite leaves a day alone for which the input has no rows."""
+def clear_partitions(spark: SparkSession, table: str, days: list, partition_col: str = "dt") -> None:
+    """Empty the named partitions (None is the NULL one) in one statement: dynamic overwrite leaves a day alone for which the input has no rows."""
+    days = list(dict.fromkeys(days))
+    if not days:
+        return
     catalog = table.split(".")[0] if table.count(".") >= 2 else None
-    iceberg = catalog and iceberg_available(spark, catalog)
-    nulls = ", ".join(
-        f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in spark.table(table).schema if f.name != partition_col
-    )
-    for day in dict.fromkeys(days):
-        value = "'" + day.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        if iceberg:  # pragma: no cover - needs the Iceberg runtime
-            spark.sql(f"DELETE FROM {table} WHERE {partition_col} = {value}")
-        else:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col} = {value}) SELECT {nulls} WHERE false")
+    values = ["NULL" if d is None else "'" + str(d).replace("\\", "\\\\").replace("'", "\\'") + "'" for d in days]
+    if catalog and iceberg_available(spark, catalog):  # pragma: no cover - needs the Iceberg runtime
+        among = " OR ".join(f"{partition_col} <=> {v}" for v in values)
+        spark.sql(f"DELETE FROM {table} WHERE {among}")
+    else:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({partition_col} = {v})" for v in values))
 
 
 def read_partition(spark: SparkSession, table: str, dt: str) -> DataFrame:

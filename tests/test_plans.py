@@ -79,7 +79,23 @@ def test_time_travel_prunes_partitions(spark, silver, tmp_path):
     df = versioned.read_as_of(spark, root, 2)
     df.count()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan.lower() or "PartitionFilters: [isnotnull" in plan
+    filters = plan[plan.index("PartitionFilters:") :].split("PushedFilters")[0]
+    assert "attempt#" in filters and "dt#" in filters
+
+
+def test_anomaly_profile_reads_the_raw_lines_once(spark):
+    plan = plan_text(se.queries()["raw_anomaly_profile"](spark, SF_SMALL))
+    assert plan.count("FileScan text") == 1
+    assert "Expand" not in plan and "Join" not in plan
+
+
+def test_ingest_counters_expand_nothing(spark):
+    """One text scan; the distinct ids are counted as rows of the first level, and no path is shuffled."""
+    plan = plan_text(se.queries()["raw_ingest_stats"](spark, SF_SMALL))
+    assert plan.count("FileScan text") == 1
+    assert "Expand" not in plan
+    shuffled = [x for x in plan.splitlines() if "Exchange " in x or "HashAggregate" in x]
+    assert shuffled and not any("_file" in x or "_path" in x for x in shuffled)
 
 
 def test_unknown_products_preaggregates_before_join(spark):

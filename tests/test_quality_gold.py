@@ -50,7 +50,25 @@ def test_null_counts_as_one_distinct(spark):
         df = df.withColumn(c, F.lit(None).cast("string" if c in ("event_type", "order_id", "search_query") else
                                                "timestamp" if "time" in c else "long"))
     m = quality.quality_metrics(df).first()
-    assert m["duplicate_event_id_count"] == 4 - 2
+    assert m["event_id_unique"] == 4 - 2
+
+
+def test_a_rule_is_one_line(spark):
+    """A table of other rules, over another table: measures, verdicts and empty days follow from it."""
+    rules = [
+        quality.Rule("some", "filled"),
+        quality.Rule("k_unique", "unique", "k"),
+        quality.Rule("v_short", "none", "length(v) > 3"),
+        quality.Rule("v_given", "share", "v IS NULL", 0.25),
+    ]
+    df = spark.createDataFrame([("d1", 1, "ab"), ("d1", 1, "long text"), ("d1", None, None), ("d1", None, "x"), ("d2", 5, None)], "dt string, k int, v string")
+    m = quality.quality_metrics(df, ["d1", "d2", "d3"], rules)
+    assert {r["dt"]: tuple(r[c.name] for c in rules) for r in m.collect()} == {"d1": (4, 2, 1, 0.25), "d2": (1, 0, 0, 1.0), "d3": (0, 0, 0, 1.0)}
+    got = {(r["dt"], r["rule"]): (r["passed"], r["expected"]) for r in quality.quality_rules(m, rules).collect()}
+    assert [got["d1", r.name][0] for r in rules] == [True, False, False, True]
+    assert [got["d3", r.name][0] for r in rules] == [False, True, True, False]
+    assert got["d1", "v_given"][1] == "<= 0.25" and got["d1", "some"][1] == "> 0"
+    assert {r["dt"]: r["rules_passed"] for r in quality.quality_gate(m, rules).collect()} == {"d1": 2, "d2": 3, "d3": 2}
 
 
 def test_column_tests(spark, silver):
@@ -120,3 +138,45 @@ def test_column_tests_on_empty_model_report_zero(spark):
     got = {(r["column"], r["test"]): r["failures"] for r in ct.run_tests(
         df, "empty", [("event_id", "not_null"), ("event_id", "unique"), ("event_type", "accepted_values")]).collect()}
     assert got == {("event_id", "not_null"): 0, ("event_id", "unique"): 0, ("event_type", "accepted_values"): 0}
+
+
+def _marts(spark, ns):
+    from tessera.operators.marts import MARTS
+
+    return {m: {tuple(r) for r in spark.table(f"{ns}.{m}").select("event_date", *[c for c in spark.table(f"{ns}.{m}").columns if c != "event_date"]).collect()} for m in MARTS}
+
+
+def _full(silver):
+    stg = marts.stg_silver_events(silver)
+    return {n: {tuple(r) for r in f(stg).collect()} for n, f in
+            (("fct_daily_events", marts.fct_daily_events), ("fct_daily_revenue", marts.fct_daily_revenue), ("fct_daily_conversion", marts.fct_daily_conversion))}
+
+
+def test_incremental_marts_equal_full_ones(spark, silver):
+    """Days built one after the other, rewritten, moved to another event day and emptied; a late event makes two partitions share a day."""
+    from tessera.plans.mart_build import build_marts
+
+    ns = "marts_t"
+    spark.sql(f"DROP NAMESPACE IF EXISTS {ns} CASCADE")
+    days = ["2024-01-03", "2024-01-04", "2024-01-05"]
+    base = silver.where(F.col("dt").isin(days))
+    late = base.where("dt = '2024-01-04'").withColumn("dt", F.lit("2024-01-05"))  # event day before its partition
+    untimed = base.where("dt = '2024-01-03'").limit(3).withColumn("event_time", F.lit(None).cast("timestamp"))
+    now = base.unionByName(late).unionByName(untimed)
+    for day in days:
+        build_marts(spark, now, ns, [day])
+    assert _marts(spark, ns) == _full(now)
+    # 2024-01-05 loses the late events, 2024-01-03 the untimed ones: the NULL day goes.
+    done = build_marts(spark, base, ns, ["2024-01-05", "2024-01-03"])
+    assert [str(d) for d in done] == ["2024-01-03", "2024-01-04", "2024-01-05", "None"]
+    assert _marts(spark, ns) == _full(base)
+    # A partition is emptied; the others stay as they are.
+    rest = base.where("dt <> '2024-01-04'")
+    assert [str(d) for d in build_marts(spark, rest, ns, ["2024-01-04"])] == ["2024-01-04"]
+    assert _marts(spark, ns) == _full(rest)
+
+
+def test_marts_expand_state_rows_only(spark, silver):
+    """Distinct counts run over rows per user and session: no expand below the first aggregate."""
+    plan = marts.fct_daily_events(marts.stg_silver_events(silver))._jdf.queryExecution().sparkPlan().toString()
+    assert "Expand" in plan and "HashAggregate" in plan[plan.index("Expand"):]

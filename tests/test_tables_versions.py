@@ -244,9 +244,9 @@ def test_crashed_commit_leaves_no_visible_rows(spark, silver, tmp_path):
     assert now == keep.count()
 
 
-def _raw_day(root, day, lines):
+def _raw_day(root, day, lines, name="a.jsonl"):
     os.makedirs(f"{root}/dt={day}", exist_ok=True)
-    with open(f"{root}/dt={day}/a.jsonl", "w") as f:
+    with open(f"{root}/dt={day}/{name}", "w") as f:
         f.write("".join(x + "\n" for x in lines))
 
 
@@ -335,3 +335,123 @@ def test_stream_keeps_rows_of_files_with_an_old_time(spark, tmp_path):
     _raw_day(raw, "2024-03-03", [_event("c", "2024-03-03")])
     drain()
     assert sorted(r["event_id"] for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
+
+
+def _drain(spark, raw, sink, ckpt, **more):
+    from tessera.streaming.silver_stream import start_silver_stream
+
+    q = start_silver_stream(spark, raw, sink, ckpt, **more)
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def test_stream_drops_duplicates_of_any_age(spark, tmp_path):
+    """A copy in a later run, 72 hours or a month after the first, is dropped; ids of other days stay apart."""
+    raw, sink, ckpt = (str(tmp_path / n) for n in ("raw", "sink", "ckpt"))
+    _raw_day(raw, "2024-03-01", [_event("a", "2024-03-01", user_id="first"), _event("b", "2024-03-01")])
+    _drain(spark, raw, sink, ckpt)
+    _raw_day(raw, "2024-03-01", [_event("a", "2024-03-04", user_id="late"), _event("c", "2024-03-04"), _event("c", "2024-03-31", user_id="later")], name="b.jsonl")
+    _raw_day(raw, "2024-03-04", [_event("a", "2024-03-04", user_id="other day")])
+    _drain(spark, raw, sink, ckpt)
+    _drain(spark, raw, sink, ckpt)  # nothing new: nothing happens
+    got = sorted((r["dt"], r["event_id"], r["user_id"]) for r in spark.read.parquet(sink).collect())
+    assert got == [("2024-03-01", "a", "first"), ("2024-03-01", "b", None), ("2024-03-01", "c", None), ("2024-03-04", "a", "other day")]
+
+
+def test_stream_replayed_batch_changes_nothing(spark, tmp_path):
+    """A micro-batch whose rows were written, in whole or in part, before its commit was logged."""
+    import pathlib
+
+    import pyarrow.parquet as pq
+
+    raw, sink, ckpt = (str(tmp_path / n) for n in ("raw", "sink", "ckpt"))
+    _raw_day(raw, "2024-03-01", [_event(f"e{i}", "2024-03-01", user_id=str(i)) for i in range(20)] + [_event("e3", "2024-03-02")])
+    _raw_day(raw, "2024-03-02", [_event(f"f{i}", "2024-03-02") for i in range(5)])
+
+    def crash(batch_id):
+        raise RuntimeError(f"lost after batch {batch_id} was written")
+
+    from tessera.streaming.silver_stream import start_silver_stream
+
+    q = start_silver_stream(spark, raw, sink, ckpt, after=crash)
+    with pytest.raises(Exception, match="lost after batch 0"):
+        q.awaitTermination()
+    rows = sorted(spark.read.parquet(sink).collect())
+    assert len(rows) == 25
+    _drain(spark, raw, sink, ckpt)  # the same batch once more
+    assert sorted(spark.read.parquet(sink).collect()) == rows
+    # An attempt that wrote some of its rows only: one day, and half of the other.
+    part, ckpt2 = str(tmp_path / "part"), str(tmp_path / "ckpt2")
+    half = spark.read.parquet(sink).where("dt = '2024-03-01' AND user_id < 5")
+    half.write.partitionBy("dt").parquet(part)
+    _drain(spark, raw, part, ckpt2)
+    assert sorted(spark.read.parquet(part).select(*spark.read.parquet(sink).columns).collect()) == rows
+    assert sum(pq.read_metadata(f).num_rows for f in pathlib.Path(part).rglob("*.parquet")) == 25
+
+
+def test_stream_first_seen_copy_as_in_batch(spark, events, tmp_path):
+    """Originals, then resends, drained in runs of their own: all columns equal the batch path's, `ingest_time` too."""
+    from tessera.operators.silver import raw_to_silver
+    from tessera.sources.fixtures import write_fx_raw
+
+    raw, sink, ckpt = (str(tmp_path / n) for n in ("raw", "sink", "ckpt"))
+    for batch in (0, 1):
+        write_fx_raw(events, raw, [batch])
+        _drain(spark, raw, sink, ckpt, glob="*.txt")
+    streamed, batch = spark.read.parquet(sink), raw_to_silver(spark, raw, glob="*.txt")
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_stream_reads_only_the_days_of_the_batch(spark, tmp_path):
+    from tessera.streaming.silver_stream import seen_keys
+
+    sink = str(tmp_path / "sink")
+    spark.createDataFrame([("a", 1, "2024-03-01"), ("b", 2, "2024-03-02"), ("c", 3, "2024-03-03")], "event_id string, x int, dt string").write.partitionBy("dt").parquet(sink)
+    seen = seen_keys(spark, sink, ["2024-03-02", "2024-04-01"])
+    assert [tuple(r) for r in seen.collect()] == [("2024-03-02", "b")]
+    assert all("dt=2024-03-02" in f for f in seen.inputFiles())
+    assert seen_keys(spark, sink, ["2024-05-01"]) is None
+
+
+def test_history_after_rollbacks(spark, tmp_path):
+    """The log branches twice; each snapshot is read along its own chain, and the comparison equals the data."""
+    root = str(tmp_path / "v")
+
+    def commit(n, rows, onto=None, dates=None):
+        df = spark.createDataFrame(rows, "x int, dt string")
+        return versioned.commit(df, root, "overwrite", dt.datetime(2024, 2, n, tzinfo=dt.timezone.utc), dates, onto)
+
+    a, b = "2024-01-01", "2024-01-02"
+    commit(1, [(1, a), (2, a), (3, b)])
+    commit(2, [(4, a)])
+    commit(3, [(5, b), (6, b)])
+    commit(4, [(7, b)], onto=2)  # 3 is left out
+    commit(5, [(8, a), (9, a), (10, a)])
+    commit(6, [], onto=1, dates=[b])  # 2, 4 and 5 are left out
+    commit(7, [(11, None)])
+    want = {1: {1, 2, 3}, 2: {4, 3}, 3: {4, 5, 6}, 4: {4, 7}, 5: {8, 9, 10, 7}, 6: {1, 2}, 7: {1, 2, 11}}
+    for sid, xs in want.items():
+        assert {r["x"] for r in versioned.read_as_of(spark, root, sid).collect()} == xs
+    hist = {r["snapshot_id"]: (r["parent_id"], r["is_current_ancestor"]) for r in versioned.history(spark, root).collect()}
+    assert hist == {1: (None, True), 2: (1, False), 3: (2, False), 4: (2, False), 5: (4, False), 6: (1, True), 7: (6, True)}
+    told = {r["snapshot_id"]: (r["deleted_records"], r["total_records"]) for r in versioned.snapshots(spark, root).collect()}
+    assert {k: t for k, (_, t) in told.items()} == {k: len(v) for k, v in want.items()}
+    assert {k: d for k, (d, _) in told.items()} == {1: 0, 2: 2, 3: 1, 4: 1, 5: 1, 6: 1, 7: 0}
+    from_log = versioned.compare_with_previous(spark, root)
+    assert sorted(map(str, from_log.collect())) == sorted(map(str, versioned.compare_with_previous(spark, root, check=True).collect()))
+    assert "data/" not in from_log._jdf.queryExecution().executedPlan().toString()
+    assert not any("/data/" in f for f in from_log.inputFiles())
+
+
+def test_days_are_cleared_at_once(spark, silver):
+    from tessera.sources.tables import clear_partitions
+
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS t_clear")
+    spark.sql("DROP TABLE IF EXISTS t_clear.t")
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "it's \\ a day"), (3, "2024-01-03"), (4, None)], "x int, dt string")
+    write_partitions(rows, "t_clear.t")
+    clear_partitions(spark, "t_clear.t", ["2024-01-01", "it's \\ a day", "2030-01-01", None])
+    assert [r["x"] for r in spark.table("t_clear.t").collect()] == [3]
+    write_partitions(rows.where("x = 1"), "t_clear.t")
+    assert sorted(r["x"] for r in spark.table("t_clear.t").collect()) == [1, 3]
