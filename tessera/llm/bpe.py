@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import rows, slices, texts
+from .common import rows, slices, texts, with_row
 
 #: Characters of a leaf of the split, bytes of a leaf of one piece, and pieces kept in the cache.
 LEAF, PIECE_LEAF, CACHE = 1 << 14, 256, 1 << 18
@@ -230,16 +230,19 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def encoded_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``docs`` with ``text`` replaced by its tokens: ``row`` columns but the text, then ``n_tokens, token_ids, ids_sha256, decoded_sha256``."""
+    """``docs`` with ``text`` replaced by its tokens: ``row`` columns but the text, then ``n_tokens, token_ids, ids_sha256, decoded_sha256``.
+
+    A column of ``docs`` that has one of these names gives way to the new one.
+    """
     path = path or public(BYTE_BPE)
     held = rows(docs)
-    rest = [c for c in docs.columns if c.lower() != "text"]
-    row = F.struct(*[F.col(f"row.`{c}`") for c in rest]).alias("row")
+    new = {"n_tokens": "n_tokens", "token_ids": "ids", "ids_sha256": "ids_sha256", "decoded_sha256": "decoded_sha256"}
+    rest = [c for c in docs.columns if c.lower() != "text" and c.lower() not in new]
+    # A struct has one field at least, if it is one that is left out again.
+    row = F.struct(*[F.col(f"row.`{c}`") for c in rest or docs.columns[:1]]).alias("row")
     held = held.select(row, F.col("text"))
-    out = held.mapInArrow(_encode(path, False), f"row {held.schema['row'].dataType.simpleString()}, ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-    taken = {c.lower() for c in rest}
-    new = [F.col(c).alias(name) for c, name in (("n_tokens", "n_tokens"), ("ids", "token_ids"), ("ids_sha256", "ids_sha256"), ("decoded_sha256", "decoded_sha256")) if name not in taken]
-    return out.select(*[F.col(f"row.`{c}`") for c in rest], *new)
+    out = held.mapInArrow(_encode(path, False), with_row(held, "ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string"))
+    return out.select(*[F.col(f"row.`{c}`") for c in rest], *[F.col(c).alias(name) for name, c in new.items()])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.session import scratch_path
 
@@ -35,6 +37,11 @@ def rows(docs: DataFrame) -> DataFrame:
     return docs.select(row, F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def with_row(held: DataFrame, columns: str) -> StructType:
+    """The schema of ``held``'s column ``row`` and of more ``columns``; names of any characters are kept, as they are not written out."""
+    return StructType([held.schema["row"], *StructType.fromDDL(columns)])
+
+
 def with_text(docs: DataFrame, text) -> list:
     """The columns of ``docs`` out of ``row``, with ``text`` in its place."""
     return [(text if c.lower() == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
@@ -150,7 +157,20 @@ def lower_hashes(data: np.ndarray) -> Substrings:
     return Substrings(_LOWER[data])
 
 
+#: Longer words are hashed by themselves: strings made for it collide in a polynomial modulo 2**64, the more so the longer they are.
+_PLAIN_WORD = 32
+
+
+def hashed_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of the given spans (A-Z lower-cased)."""
+    out = lower_hashes(data)(start, end)
+    for i in np.flatnonzero(end - start > _PLAIN_WORD).tolist():
+        word = _LOWER[data[start[i] : end[i]]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return out
+
+
 def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word (A-Z lower-cased), and the n + 1 offsets of the documents in them."""
     start, end, at = word_spans(data, off)
-    return lower_hashes(data)(start, end), at
+    return hashed_words(data, start, end), at

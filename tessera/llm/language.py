@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import buffers, rows, slices, stored, texts
+from .common import buffers, rows, slices, stored, texts, with_row
 
 SAMPLE, ALPHABET, CONTEXTS, HELD_OUT = 1500, 96, 6000, 2
 #: Parts of a language whose smallest hashes are found apart from each other.
@@ -238,7 +238,7 @@ def known_language(docs: DataFrame, **options) -> DataFrame:
     held = rows(docs).select("row")
     place = [c.lower() for c in docs.columns].index("text")
     # The row goes through Arrow once; only the prediction is put beside it.
-    out = held.mapInArrow(_predict(raw, place), f"row {held.schema['row'].dataType.simpleString()}, lang_pred string, score double, bits_per_byte double")
+    out = held.mapInArrow(_predict(raw, place), with_row(held, "lang_pred string, score double, bits_per_byte double"))
     fill = F.coalesce(*[F.col(f"row.`{c}`").cast("string") for c in docs.columns if c.lower() == "lang"], F.col("lang_pred"))
     return out.where("lang_pred <> 'und'").select(*[(fill if c.lower() == "lang" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 

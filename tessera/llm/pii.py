@@ -18,11 +18,12 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows, slices, texts
+from .common import rows, slices, texts, with_row
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
@@ -115,19 +116,23 @@ class Traced:
     """A text whose every character knows the span of the source that it stands for."""
 
     def __init__(self, text: str):
-        self.text, self.at = text, [(i, i + 1) for i in range(len(text))]
+        self.text = text
+        # Two arrays of places, 16 bytes a character.
+        self.start = np.arange(len(text))
+        self.end = self.start + 1
 
     def rewrite(self, changes: list[tuple[int, int, str]]) -> None:
         """Replace [start, end) by a string, for all changes in order; each new character stands for all of the old ones."""
         if not changes:
             return
-        out, at, last = [], [], 0
+        out, starts, ends, last = [], [], [], 0
         for start, end, new in changes:
             out += self.text[last:start], new
-            at += self.at[last:start]
-            at += [(self.at[start][0], self.at[end - 1][1])] * len(new)
+            starts += self.start[last:start], np.repeat(self.start[start], len(new))
+            ends += self.end[last:start], np.repeat(self.end[end - 1], len(new))
             last = end
-        self.text, self.at = "".join([*out, self.text[last:]]), at + self.at[last:]
+        self.text = "".join([*out, self.text[last:]])
+        self.start, self.end = np.concatenate([*starts, self.start[last:]]), np.concatenate([*ends, self.end[last:]])
 
 
 def _glyphs(t: Traced) -> None:
@@ -184,7 +189,7 @@ def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     if t is not None:
         for kind, spans in detect(t.text).items():
             for a, b in spans:
-                start, end = t.at[a][0], t.at[b - 1][1]
+                start, end = int(t.start[a]), int(t.end[b - 1])
                 if not any(x <= start and end <= y for x, y in every[kind]):
                     every[kind].append((start, end))
             every[kind].sort()
@@ -216,27 +221,24 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(_run, "doc_id bigint, found array<struct<kind: string, start: bigint, end: bigint>>, base string")
 
 
-def _mask(place: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text in batch.column("text").to_pylist():
-                spans = sorted((a, b, k) for k, v in find(text)[1].items() for a, b in v) if text else []
-                parts, last = [], 0
-                for a, b, k in spans:
-                    if b > last:
-                        parts += text[last : max(a, last)], f"<{k}>" if a >= last else ""
-                        last = b
-                out.append(text if text is None else "".join([*parts, text[last:]]))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
-
-    return run
+def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for text in batch.column("text").to_pylist():
+            spans = sorted((a, b, k) for k, v in find(text)[1].items() for a, b in v) if text else []
+            parts, last = [], 0
+            for a, b, k in spans:
+                if b > last:
+                    parts += text[last : max(a, last)], f"<{k}>" if a >= last else ""
+                    last = b
+            out.append(text if text is None else "".join([*parts, text[last:]]))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
 
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with each span of personal data replaced by its kind in angle brackets; all else stays."""
     held = rows(docs).select("row", "text")
-    out = held.mapInArrow(_mask(0), held.schema.simpleString().removeprefix("struct<")[:-1].replace("row:", "row ", 1).replace(",text:", ", text "))
+    out = held.mapInArrow(_mask, with_row(held, "text string"))
     return out.select(*[(F.col("text") if c.lower() == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 

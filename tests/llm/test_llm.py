@@ -311,3 +311,34 @@ def test_pipeline(spark):
     rows = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert out and {r.doc_id for r in out} <= set(rows) and len({r.doc_id for r in out}) == len(out)
     assert all(len(r.token_ids) == r.n_tokens for r in out)
+
+
+def test_columns_of_any_name(spark):
+    """Names that are no identifiers, and those that an operator gives its own columns."""
+    names = ["doc_id", "text", "lang", "a-b", "a b", "n_tokens", "TOKEN_IDS", "lang_pred", "score", "row"]
+    docs = spark.createDataFrame([(1, "write to jo@example.com", None, 1, 2, 3, 4, 5, 6, 7)], "doc_id long, text string, lang string, " + ", ".join(f"`{n}` int" for n in names[3:]))
+    (red,) = pii.redacted(docs).collect()
+    assert red.text == "write to <email>" and list(red.asDict()) == names and tuple(red)[3:] == (1, 2, 3, 4, 5, 6, 7)
+    learnt = docs.unionByName(docs.selectExpr("2L AS doc_id", "text", "'en' AS lang", *[f"`{n}`" for n in names[3:]]))
+    assert {r.lang for r in language.known_language(learnt).collect()} == {"en"}
+    (enc,) = bpe.encoded_documents(docs).collect()
+    assert list(enc.asDict()) == ["doc_id", "lang", "a-b", "a b", "lang_pred", "score", "row", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256"]
+    assert enc.n_tokens == len(enc.token_ids) > 3
+    assert bpe.encoded_documents(spark.createDataFrame([("x",)], "text string").selectExpr("1 AS doc_id", "text").drop("doc_id").selectExpr("text", "1L AS doc_id")).count() == 1
+
+
+def test_long_text_keeps_offsets_in_arrays():
+    long = "lorem ipsum dolor " * 200_000 + "mail jane [at] example [dot] com now"
+    _, every = pii.find(long)
+    start = long.index("jane")
+    assert every["email"] == [(start, len(long) - 4)]
+
+
+def test_words_made_to_collide_stay_apart(spark):
+    """A sequence that doubles by its complement, and its complement, collide in any polynomial modulo 2**64."""
+    a, b = "a", "b"
+    for _ in range(12):
+        a, b = a + b, b + a
+    rows = [(1, a), (2, b), (3, f"{a} x y z"), (4, f"{b} x y z"), (5, a.upper())]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
