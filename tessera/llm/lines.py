@@ -123,16 +123,21 @@ def repeated_lines(docs: DataFrame, key=F.xxhash64) -> DataFrame:
     count = F.size("lines")
     at = F.filter(F.sequence(F.lit(0), count - 1), lambda i: (i + 1 < F.size("lines")) & (solid(i) | solid(i + 1)))
     pair = lambda i: F.struct(i.alias("at"), F.get("keys", i).alias("a"), F.get("keys", i + 1).alias("b"))
-    spots = _keyed(docs, key).select("doc_id", "version", "lines", "keys", at.alias("starts"))
+    spots = _keyed(docs, key).select("doc_id", "version", "keys", at.alias("starts"))
+    # Keys and places only; the first count is of plain numbers, so that it is hashed, not sorted.
     spots = spots.select("doc_id", "version", F.inline(F.transform("starts", pair)))
+    often = spots.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
+    twice = stored(spots.join(often, ["a", "b"]), "pairs")
     where = F.struct("doc_id", "at", "version")
-    firsts = spots.groupBy("a", "b").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").select("a", "b", "first")
-    twice = stored(spots.join(firsts, ["a", "b"]).select("doc_id", "version", "at", (where > F.col("first")).alias("later")), "lines")
+    firsts = twice.groupBy("a", "b").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first <> last").select("a", "b", "first")
+    twice = stored(twice.join(firsts, ["a", "b"]).select("doc_id", "version", "at", (where > F.col("first")).alias("later")), "lines")
     if key is not _itself:
         asked = twice.groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts")).select("doc_id", "version", _both("starts").alias("asked"))
-        line = lambda i: F.struct(F.get("keys", i).alias("key"), F.get("lines", i).alias("line"))
-        texts = _keyed(docs, key).join(asked, ["doc_id", "version"]).select(F.inline(F.transform("asked", line))).distinct()
-        if texts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").count():
+        line = lambda i: F.struct(key(F.get("lines", i)).alias("key"), F.get("lines", i).alias("line"))
+        # Texts move once, and are split after that.
+        told = docs.select("doc_id", F.xxhash64("text").alias("version"), "text").join(asked, ["doc_id", "version"])
+        texts = computed(told.select("asked", "text"), lines=F.split("text", "\n")).select(F.inline(F.transform("asked", line))).distinct()
+        if not texts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
             return repeated_lines(docs, _itself)
     return twice.where("later").groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts")).select("doc_id", "version", _both("starts").alias("gone"))
 
@@ -149,12 +154,15 @@ def without_repeated_runs(docs: DataFrame, key=F.xxhash64) -> DataFrame:
     are one document.  Other columns stay.
     """
     gone = repeated_lines(rows(docs), key).select(F.col("doc_id").alias("gone_id"), F.col("version").alias("gone_version"), "gone")
-    held = computed(rows(docs), version=F.xxhash64("text"))
-    joined = held.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("version") == F.col("gone_version")), "left")
-    lines = computed(joined.select("row", "text", "gone"), lines=F.when(F.col("gone").isNotNull(), F.split("text", "\n")))
+    # The row holds its text already.
+    held = rows(docs).select("row", "doc_id", F.xxhash64("text").alias("version"))
+    joined = held.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("version") == F.col("gone_version")), "left").select("row", "gone")
+    (name,) = [c for c in docs.columns if c.lower() == "text"]
+    text = F.col(f"row.`{name}`").cast("string")
+    lines = computed(joined, lines=F.when(F.col("gone").isNotNull(), F.split(text, "\n")))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
     new = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
-    out = computed(lines, new=F.when(F.col("gone").isNull(), F.col("text")).otherwise(new))
+    out = computed(lines, new=F.when(F.col("gone").isNull(), text).otherwise(new))
     return out.where("gone IS NULL OR new <> ''").select(*with_text(docs, F.col("new")))
 
 
