@@ -38,7 +38,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("bpe", tokens)]
 
-#: Languages, minhashes and token ids are beyond SQL; tests/llm holds run() against a plain version.
+#: Languages, minhashes and token ids are beyond SQL; tests/llm holds each stage's operator against a plain version,
+#: and of run() checks ids, columns and token counts.
 ORACLE_SQL = None
 
 
