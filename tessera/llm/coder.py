@@ -1,204 +1,226 @@
-"""A context-mixing range coder for token ids, many blocks in step (for operator 7).
+"""A context-mixing range coder for token ids, many lanes in step (for operator 7).
 
 An id's probability is a mixture: the id last seen after the two ids before it
 (order 2), the one last seen after the id before it (order 1), each weighted by
 how often such a prediction of its confidence came true, and what is left by
-adaptive frequencies of ids (order 0).  A 64-bit range coder codes the id in
-that distribution.  Every block starts from the same fresh state, so blocks
-are independent; numpy steps through up to ``LANES`` of them at once, an
-id of each.  All arithmetic is on integers, so decoding repeats it exactly.
+the frequencies of ids in the block (order 0).  A 64-bit range coder codes the id
+in that distribution.
+
+A block is coded on its own, from its own fresh state: its ids are numbered
+densely, with their frequencies in the block's head, and cut into up to ``LANES``
+lanes of neighbouring ids.  Numpy steps through the lanes, an id of each, and all
+lanes share one model, which learns from a step's ids after the step.  So the
+state is small and each call is wide.  All arithmetic is on integers, so decoding
+repeats it exactly.
+
+A block's bytes: little-endian unsigned 32-bit number of distinct ids and size of the head; the head, deflated: the
+distinct ids as differences, their frequencies; 16-bit words of each lane; lanes' 32-bit words, end to end.
 """
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import numpy as np
 
-#: Probabilities are out of TOTAL; order 0 keeps a fiftieth of it at least, enough for each id to have a place.
-TOTAL, FLOOR = 1 << 24, (1 << 24) // 50
-ONE, TWO, CONFIDENCE, RATE, STEP = 1 << 12, 1 << 14, 8, 5, 8
-BLOCK, LEAST_BLOCK, LANES = 1 << 14, 1 << 10, 384
-#: More than the order-0 frequencies of a block add up to: the sums of lane i start at i times this, so that all lanes are one sorted array.
-_LANE = 1 << 19
-#: After so many ids of a block its order-0 frequencies are brought up to date.
-_REFRESH = frozenset([128, 256, 512, 1024, 2048, 4096, 8192, 12288])
-_HALF, _ALL = np.uint64(32), np.uint64(0xFFFFFFFF)
+#: Ids of a block at most, lanes of a block at most, and ids of a lane at least (but in a block of fewer).
+BLOCK, LANES, LEAST_LANE = 1 << 20, 1 << 12, 1 << 8
+#: Frequencies add up to 2**FINE at least, probabilities to 2**SPARE times that; order 0 keeps one part of these 2**SPARE, enough for each id to have a place.
+FINE, SPARE = 18, 6
+#: Contexts of order 2, confidences of a prediction (the first is: none), and after so many tries of one the older count half.
+TWO, CONFIDENCE, MEMORY = 18, 9, 1 << 14
+_HALF, _ALL, _WORD = np.uint64(32), np.uint64(0xFFFFFFFF), np.uint64(1 << 32)
+_HEAD = struct.Struct("<II")
+#: What is added to a confidence 0 to 7: a false prediction halves it, a true one adds 1.
+_MOVE = np.r_[np.arange(8) // 2 - np.arange(8), np.ones(7, int), 0]
 
 
 class _State:
-    def __init__(self, lanes: int, vocab: int):
-        self.vocab, n = vocab, lanes
-        first = 1 + 12_000 // (np.arange(vocab) + 40)
-        self.counts = np.tile(first.astype(np.int32), (n, 1))
-        self.sums = np.zeros((n, vocab + 1), np.int32)
-        self.last = np.zeros((2, n), np.int64)
-        self.guess = [np.full(n * size, -1, np.int32) for size in (ONE, TWO)]
-        self.sure = [np.zeros(n * size, np.int8) for size in (ONE, TWO)]
-        self.hits = [np.tile((np.arange(CONFIDENCE) * 7000 + 4000).astype(np.int64), (n, 1)).ravel() for _ in range(2)]
-        self.seen: list[np.ndarray] = []
-        self.flat = self.sums.reshape(-1)
-        self.refresh(n)
-
-    def refresh(self, n: int) -> None:
-        """Order-0 frequencies of the first n lanes, with the ids since the last time."""
-        for ids in self.seen:
-            m = min(n, len(ids))
-            self.counts[np.arange(m), ids[:m]] += STEP
-        self.seen = []
-        start = np.arange(n, dtype=np.int32)[:, None] * _LANE
-        np.cumsum(self.counts[:n], axis=1, out=self.sums[:n, 1:])
-        self.sums[:n, :1] = 0
-        self.sums[:n] += start
-        self.total = self.sums[:, -1].astype(np.int64) - np.arange(len(self.sums)) * _LANE
-        self.ready = self.flat[: n * (self.vocab + 1)]
+    def __init__(self, lanes: int, freq: np.ndarray):
+        self.fine = int(freq.sum()).bit_length() - 1
+        self.bits = self.fine + SPARE
+        self.edges = np.r_[0, np.cumsum(freq)].astype(np.int64)
+        self.none = len(freq)
+        # A prediction is 8 times its id and its confidence; none is an id that isn't there, which begins and ends where all ends.
+        self.edges = np.r_[self.edges, self.edges[-1]]
+        self.after = self.edges[1:]
+        self.tables = [np.full(size, 8 * self.none, np.int64) for size in (self.none, 1 << TWO)]
+        self.tries = [np.full(CONFIDENCE, 16, np.int64) for _ in range(2)]
+        self.right = [self.tries[0] * (4000 + 7000 * np.arange(CONFIDENCE)) >> 16 for _ in range(2)]
+        self.last = np.zeros((2, lanes), np.int64)
 
     def predict(self, n: int) -> None:
         """For the first n lanes: predictions, their weights, and what is left."""
         a, b = self.last[0, :n], self.last[1, :n]
-        lane = np.arange(n)
-        self.row, self.base = lane * (self.vocab + 1), lane * _LANE
-        mixed = ((a * 0x9E3779B1) & 0xFFFFFFFF) >> 20, (((a * 0x9E3779B1 + b * 0x85EBCA77) & 0xFFFFFFFF) * 0x27D4EB2F & 0xFFFFFFFF) >> 18
-        self.at = [lane * size + m for size, m in zip((ONE, TWO), mixed, strict=True)]
-        self.ids, self.level = [], []
-        for k in (0, 1):
-            g = self.guess[k][self.at[k]].astype(np.int64)
-            self.ids.append(g)
-            self.level.append(lane * CONFIDENCE + self.sure[k][self.at[k]])
-        two = np.where(self.ids[1] >= 0, (TOTAL - FLOOR) * self.hits[1][self.level[1]] >> 16, 0)
-        one = np.where(self.ids[0] >= 0, (TOTAL - FLOOR - two) * self.hits[0][self.level[0]] >> 16, 0)
-        self.weight = [one, two]
-        self.rest = TOTAL - one - two
-
-    def edge(self, n: int, ids: np.ndarray) -> np.ndarray:
-        """Where the order-0 share of an id begins."""
-        # Below 2**53, so a float's division, cut off, is the exact one.
-        return ((self.flat[self.row + ids] - self.base) * self.rest / self.total[:n]).astype(np.int64)
-
-    def place(self, n: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the ids' part of TOTAL."""
-        start, end = self.edge(n, np.stack([ids, ids + 1]))
-        size = end - start
-        for g, w in zip(self.ids, self.weight, strict=True):
+        self.at = [a, ((a * 0x9E3779B1 ^ b * 0x85EBCA77) * 0x27D4EB2F & 0xFFFFFFFF) >> (32 - TWO)]
+        self.held = [table.take(at) for table, at in zip(self.tables, self.at, strict=True)]
+        self.ids = [held >> 3 for held in self.held]
+        self.sure = [held & 7 for held in self.held]
+        one_level, two_level = (sure + (g < self.none) for sure, g in zip(self.sure, self.ids, strict=True))
+        self.level = two_level * CONFIDENCE + one_level
+        most = (1 << self.bits) - (1 << self.fine)
+        two = most * self.right[1] // self.tries[1]
+        two[0] = 0
+        one = (most - two)[:, None] * self.right[0] // self.tries[0]
+        one[:, 0] = 0
+        left = (1 << self.bits) - two[:, None] - one
+        self.weight = [one.ravel().take(self.level), two.take(two_level)]
+        self.rest = left.ravel().take(self.level)
+
+    def place(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the ids' part of all."""
+        start = self.edges.take(ids) * self.rest >> self.fine
+        size = (self.after.take(ids) * self.rest >> self.fine) - start
+        self.same = [ids == g for g in self.ids]
+        for g, w, same in zip(self.ids, self.weight, self.same, strict=True):
             start += w * (ids > g)
-            size += w * (ids == g)
+            size += w * same
         return start, size
 
-    def find(self, n: int, value: np.ndarray) -> np.ndarray:
+    def look(self) -> None:
+        """For decoding: the id of each unit of frequency."""
+        self.of = np.repeat(np.arange(self.none), np.diff(self.edges[:-1]))
+
+    def find(self, value: np.ndarray) -> np.ndarray:
         """The ids whose part holds the values."""
-        low, high = np.maximum(np.minimum(*self.ids), 0), np.maximum(np.maximum(*self.ids), 0)
-        swap = self.ids[0] > self.ids[1]
-        wl, wh = np.where(swap, self.weight[1], self.weight[0]), np.where(swap, self.weight[0], self.weight[1])
-        low_edge, low_end, high_edge, high_end = self.edge(n, np.stack([low, low + 1, high, high + 1]))
-        past_low, past_high = value >= low_end + wl, value >= high_end + wl + wh
-        in_low = (value >= low_edge) & ~past_low & (wl > 0)
-        same = low == high
-        wl, wh = np.where(same, wl + wh, wl), np.where(same, 0, wh)
-        past_low, past_high = np.where(same, past_high, past_low), past_high & ~same
-        in_low = np.where(same, (value >= low_edge) & ~past_low & (wl > 0), in_low)
-        in_high = ~same & past_low & (value >= high_edge + wl) & ~past_high & (wh > 0)
-        left = np.minimum(value - wl * past_low - wh * past_high, self.rest - 1)
-        target = (((left + 1) * self.total[:n] - 1) / self.rest).astype(np.int64)
-        got = np.searchsorted(self.ready, (target + self.base).astype(np.int32), "right") - 1 - self.row
+        one, two = self.ids
+        swap = one > two
+        low, high = np.minimum(one, two), np.maximum(one, two)
+        wl = np.where(swap, self.weight[1], self.weight[0])
+        low_at, low_end = self.edges.take(low) * self.rest >> self.fine, (self.after.take(low) * self.rest >> self.fine) + wl
+        # Of one id that both predict the parts are counted one after the other; each way it is found.
+        high_at, high_end = (self.edges.take(high) * self.rest >> self.fine) + wl, (self.after.take(high) * self.rest >> self.fine) + self.weight[0] + self.weight[1]
+        past_low, past_high = value >= low_end, value >= high_end
+        left = value - wl * past_low - (self.weight[0] + self.weight[1] - wl) * past_high
+        # Below 2**53, so a float's division, cut off, is the exact one.
+        target = (((left + 1 << self.fine) - 1) / self.rest).astype(np.int64)
+        got = self.of.take(target, mode="clip")
+        in_low, in_high = (value >= low_at) & ~past_low, (value >= high_at) & ~past_high
         return np.where(in_low, low, np.where(in_high, high, got))
 
-    def update(self, n: int, ids: np.ndarray, t: int) -> None:
-        for k in (0, 1):
-            right = ids == self.ids[k]
-            known = self.ids[k] >= 0
-            hit, at, level = self.hits[k], self.at[k], self.level[k]
-            p = hit[level]
-            hit[level] = np.where(known, np.clip(p + ((right.astype(np.int64) << 16) - p >> RATE), 64, 65000), p)
-            sure = self.sure[k][at]
-            self.guess[k][at] = np.where(~right & (sure == 0), ids, self.ids[k])
-            self.sure[k][at] = np.where(right, np.minimum(sure + 1, CONFIDENCE - 1), sure >> 1)
+    def update(self, n: int, ids: np.ndarray) -> None:
+        """The model learns the ids that ``place`` had last."""
+        # Tries by both confidences, and by whether each prediction came true.
+        seen = np.bincount(self.level * 4 + self.same[1] * 2 + self.same[0], minlength=4 * CONFIDENCE**2).reshape(CONFIDENCE, CONFIDENCE, 2, 2)
+        for k, (count, right) in enumerate([(seen.sum((0, 2, 3)), seen[..., 1].sum((0, 2))), (seen.sum((1, 2, 3)), seen[:, :, 1].sum((1, 2)))]):
+            self.tries[k] += count
+            old = self.tries[k] > MEMORY
+            self.right[k] = self.right[k] + right >> old
+            self.tries[k] >>= old
+            # At least one try is held to have failed, so that no other id is left without room.
+            self.right[k] = np.minimum(self.right[k], self.tries[k] - 1)
+            # Of lanes in one context the last one tells.
+            case = self.same[k] * 8 + self.sure[k]
+            self.tables[k][self.at[k]] = np.where(case == 0, ids << 3, self.held[k] + _MOVE.take(case))
         self.last[1, :n] = self.last[0, :n]
         self.last[0, :n] = ids
-        self.seen.append(ids)
-        if t + 1 in _REFRESH:
-            self.refresh(n)
 
 
-def _normal(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which lanes give out a word of 32 bits now; a span that would get too short is cut at the next word."""
-    settled = (low ^ (low + (span - np.uint64(1)))) >> _HALF == 0
-    short = ~settled & (span <= _ALL)
-    span = np.where(short, (_ALL - (low & _ALL)) + np.uint64(1), span)
-    return settled | short, span
+def _narrowed(state: _State, low: np.ndarray, span: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lanes' intervals with one more id each: low and span, the lanes that give out a word of 32 bits, and these words."""
+    start, size = state.place(ids)
+    unit = span >> np.uint64(state.bits)
+    low = low + unit * start.astype(np.uint64)
+    span = unit * size.astype(np.uint64)
+    g = np.flatnonzero(span <= _WORD)
+    # A span that reaches over the end of a word is cut there.
+    least = low[g]
+    short = np.minimum(span[g], _WORD - (least & _ALL))
+    low[g] = least << _HALF
+    span[g] = np.minimum(short, _ALL) << _HALF
+    return low, span, g, least >> _HALF
+
+
+def _lens(size: int) -> np.ndarray:
+    """Ids of each lane of a block: all alike, but the last."""
+    steps = max(LEAST_LANE, -(-size // LANES))
+    lens = np.full(-(-size // steps), steps)
+    if size:
+        lens[-1] = size - steps * (len(lens) - 1)
+    return lens
+
+
+def _grid(lens: np.ndarray) -> tuple[int, int, int]:
+    """Steps, lanes, and the step at which the last lane has ended."""
+    return (int(lens[0]), len(lens), int(lens[-1])) if len(lens) else (0, 0, 0)
 
 
 def encode_blocks(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     """Each block's ids (0 to vocab - 1) as bytes, independently of the others."""
-    return _in_lanes([len(b) for b in blocks], lambda part: _encode([blocks[i] for i in part], vocab))
+    return [_encode(np.asarray(b), vocab) for b in blocks]
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int], vocab: int) -> list[np.ndarray]:
     """The ids of each block, from its bytes and its number of ids."""
-    return _in_lanes(sizes, lambda part: _decode([payloads[i] for i in part], [sizes[i] for i in part], vocab))
-
-
-def _in_lanes(sizes: list[int], run) -> list:
-    """Blocks in lanes, longest first, ``LANES`` at a time."""
-    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-    out: list = [None] * len(sizes)
-    for k in range(0, len(order), LANES):
-        part = order[k : k + LANES]
-        for i, x in zip(part, run(part), strict=True):
-            out[i] = x
-    return out
-
-
-def _encode(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
-    lens = np.array([len(b) for b in blocks])
-    ids = np.zeros((int(lens[0]), len(blocks)), np.int64)
-    for i, b in enumerate(blocks):
-        ids[: len(b), i] = b
-    state = _State(len(blocks), vocab)
-    low, span = np.zeros(len(blocks), np.uint64), np.full(len(blocks), 2**64 - 1, np.uint64)
-    out, used = np.zeros((len(blocks), int(lens[0]) + 4), np.uint32), np.zeros(len(blocks), np.int64)
-    for t in range(int(lens[0])):
-        n = int(np.searchsorted(-lens, -t, "left"))
+    return [_decode(p, n, vocab) for p, n in zip(payloads, sizes, strict=True)]
+
+
+def _encode(ids: np.ndarray, vocab: int) -> bytes:
+    if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < vocab:
+        raise ValueError("an id is not in the vocabulary")
+    counts = np.bincount(ids, minlength=1)
+    distinct = np.flatnonzero(counts)
+    counts = counts[distinct]
+    whole = 1 << max(FINE, len(distinct).bit_length() + 1)
+    freq = 1 + counts * (whole - len(distinct)) // max(1, len(ids))
+    if len(ids):
+        freq[np.argmax(freq)] += whole - freq.sum()
+    head = zlib.compress(np.r_[np.diff(distinct, prepend=0), freq].astype("<u4").tobytes())
+    lens = _lens(len(ids))
+    steps, lanes, last = _grid(lens)
+    dense = np.zeros(steps * lanes, np.int64)
+    number = np.zeros(len(counts) and int(distinct[-1]) + 1, np.int64)
+    number[distinct] = np.arange(len(distinct))
+    dense[: len(ids)] = number[ids]
+    dense = np.ascontiguousarray(dense.reshape(lanes, steps).T)
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    out, used = np.zeros((lanes, steps + 1), np.uint32), np.zeros(lanes, np.int64)
+    state = _State(lanes, freq) if lanes else None
+    for t in range(steps):
+        n = lanes if t < last else lanes - 1
         state.predict(n)
-        start, size = state.place(n, ids[t, :n])
-        unit = span[:n] >> np.uint64(24)
-        lo = low[:n] + unit * start.astype(np.uint64)
-        sp = unit * size.astype(np.uint64)
-        gives, sp = _normal(lo, sp)
-        g = np.flatnonzero(gives)
-        out[g, used[g]] = lo[g] >> _HALF
+        low[:n], span[:n], g, words = _narrowed(state, low[:n], span[:n], dense[t, :n])
+        out[g, used[g]] = words
         used[g] += 1
-        sp = np.minimum(sp, np.where(gives, _ALL, sp))
-        low[:n], span[:n] = np.where(gives, lo << _HALF, lo), np.where(gives, sp << _HALF, sp)
-        state.update(n, ids[t, :n], t)
-    result = []
-    for i in range(len(blocks)):
-        result.append(out[i, : used[i]].astype("<u4").tobytes() + int(low[i]).to_bytes(8, "big")[3::-1] + int(low[i]).to_bytes(8, "big")[:3:-1])
-    return result
-
-
-def _decode(payloads: list[bytes], sizes: list[int], vocab: int) -> list[np.ndarray]:
-    lens = np.array(sizes)
-    most = max(map(len, payloads)) // 4 + 2
-    words = np.zeros((len(payloads), most), np.uint64)
-    for i, p in enumerate(payloads):
-        words[i, : len(p) // 4] = np.frombuffer(p, "<u4")
-    ids = np.zeros((int(lens[0]), len(payloads)), np.int64)
-    state = _State(len(payloads), vocab)
-    low, span = np.zeros(len(payloads), np.uint64), np.full(len(payloads), 2**64 - 1, np.uint64)
-    code, used = words[:, 0] << _HALF | words[:, 1], np.full(len(payloads), 2)
-    for t in range(int(lens[0])):
-        n = int(np.searchsorted(-lens, -t, "left"))
+        state.update(n, dense[t, :n])
+    # A span is 2**32 at least, so one word more names a value in it.
+    out[np.arange(lanes), used] = (low + _ALL) >> _HALF
+    used += 1
+    words = out[np.arange(steps + 1) < used[:, None]]
+    return b"".join([_HEAD.pack(len(distinct), len(head)), head, used.astype("<u2").tobytes(), words.astype("<u4").tobytes()])
+
+
+def _decode(payload: bytes, size: int, vocab: int) -> np.ndarray:
+    n_distinct, n_head = _HEAD.unpack_from(payload)
+    at = _HEAD.size + n_head
+    head = np.frombuffer(zlib.decompress(payload[_HEAD.size : at]), "<u4").astype(np.int64)
+    distinct, freq = np.cumsum(head[:n_distinct]), head[n_distinct:]
+    if len(distinct) and distinct[-1] >= vocab:
+        raise ValueError("an id is not in the vocabulary")
+    lens = _lens(size)
+    steps, lanes, last = _grid(lens)
+    if not lanes:
+        return np.zeros(0, np.uint32)
+    used = np.frombuffer(payload, "<u2", lanes, at).astype(np.int64)
+    words = np.r_[np.frombuffer(payload, "<u4", offset=at + 2 * lanes), 0, 0].astype(np.uint64)
+    # A lane reads zeros after its last word.
+    begin = np.cumsum(used) - used
+    ends, zero = begin + used, len(words) - 1
+    word = lambda i, end: words[np.where(i < end, i, zero)]
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    code, spot = word(begin, ends) << _HALF | word(begin + 1, ends), begin + 2
+    ids = np.zeros((steps, lanes), np.int64)
+    state = _State(lanes, freq)
+    state.look()
+    top = np.uint64((1 << state.bits) - 1)
+    for t in range(steps):
+        n = lanes if t < last else lanes - 1
         state.predict(n)
-        unit = span[:n] >> np.uint64(24)
-        value = np.minimum((code[:n] - low[:n]) // unit, np.uint64(TOTAL - 1)).astype(np.int64)
-        got = state.find(n, value)
-        start, size = state.place(n, got)
-        lo = low[:n] + unit * start.astype(np.uint64)
-        sp = unit * size.astype(np.uint64)
-        gives, sp = _normal(lo, sp)
-        g = np.flatnonzero(gives)
-        code[g] = code[g] << _HALF | words[g, np.minimum(used[g], most - 1)]
-        used[g] += 1
-        sp = np.minimum(sp, np.where(gives, _ALL, sp))
-        low[:n], span[:n] = np.where(gives, lo << _HALF, lo), np.where(gives, sp << _HALF, sp)
-        ids[t, :n] = got
-        state.update(n, got, t)
-    return [ids[: lens[i], i].astype(np.uint32) for i in range(len(payloads))]
+        value = np.minimum((code[:n] - low[:n]) // (span[:n] >> np.uint64(state.bits)), top).astype(np.int64)
+        ids[t, :n] = got = state.find(value)
+        low[:n], span[:n], g, _ = _narrowed(state, low[:n], span[:n], got)
+        code[g] = code[g] << _HALF | word(spot[g], ends[g])
+        spot[g] += 1
+        state.update(n, got)
+    return distinct[np.ascontiguousarray(ids.T).ravel()[:size]].astype(np.uint32)

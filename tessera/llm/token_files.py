@@ -30,13 +30,14 @@ from .bpe import encoder, public
 from .common import load, slices, stored, texts
 
 WORD_BPE, END, FILE_TOKENS = "word_bpe_49k.json", 2, 1 << 22
+#: Bytes of text that are tokenized at once: the more, the fewer words are looked up again.
+TEXT_BYTES = 1 << 22
 _HEAD = struct.Struct("<4sIIIII")
 
 
 def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, vocab: int) -> bytes:
     """A file of documents with ``counts`` ids each."""
-    size = min(coder.BLOCK, max(coder.LEAST_BLOCK, -(-len(ids) // coder.LANES)))
-    blocks = [ids[i : i + size] for i in range(0, len(ids), size)]
+    blocks = [ids[i : i + coder.BLOCK] for i in range(0, len(ids), coder.BLOCK)]
     payloads = coder.encode_blocks([b.astype(np.int64) for b in blocks], vocab)
     index = b"".join(
         [
@@ -45,7 +46,7 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, vocab:
             np.array([zlib.crc32(p, zlib.crc32(b.astype("<u4").tobytes())) for b, p in zip(blocks, payloads, strict=True)], "<u4").tobytes(),
         ]
     )
-    return b"".join([_HEAD.pack(b"TIDB", 1, vocab, len(doc_ids), len(blocks), zlib.crc32(index)), index, *payloads])
+    return b"".join([_HEAD.pack(b"TIDB", 2, vocab, len(doc_ids), len(blocks), zlib.crc32(index)), index, *payloads])
 
 
 def unpack(file: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
@@ -55,7 +56,7 @@ def unpack(file: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     for kind, k in (("<i8", n), ("u1", n), ("<u8", n), ("<u4", b), ("<u4", b), ("<u4", b)):
         cut.append(np.frombuffer(file, kind, k, at))
         at += cut[-1].nbytes
-    if magic != b"TIDB" or version != 1 or zlib.crc32(file[_HEAD.size : at]) != crc:
+    if magic != b"TIDB" or version != 2 or zlib.crc32(file[_HEAD.size : at]) != crc:
         raise ValueError("not a token file, or its index is damaged")
     ends = at + np.r_[0, np.cumsum(cut[4].astype(np.int64))]
     payloads = [file[x:y] for x, y in itertools.pairwise(ends.tolist())]
@@ -82,8 +83,8 @@ def _write(path: str, end: int):
             columns = [pa.array([part], pa.int32()), pa.array([next(seq)], pa.int32()), pa.array([held], pa.int64()), pa.array([raw], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["part", "seq", "n_tokens", "file"])
 
-        for batch in slices(batches):
-            ids, off = tool.encode(batch.column("text").to_pylist())
+        for batch in slices(batches, limit=TEXT_BYTES):
+            ids, off = tool.encode(batch.column("text"))
             ids = np.insert(ids, off[1:], end)
             docs += batch.column("doc_id").to_pylist()
             counts.append(np.diff(off) + 1)
@@ -144,7 +145,8 @@ def read(files: DataFrame, whole: bool = True) -> DataFrame:
     starts = files.sparkSession.createDataFrame(before, "part int, before bigint")
     within = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     of_file = files.select("part", "seq", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("within")).join(starts, "part").select("part", "seq", (F.col("before") + F.col("within")).alias("first"))
-    out = docs.join(of_file, ["part", "seq"])
+    # A row a file: the documents stay where they are read, and are read once.
+    out = docs.join(F.broadcast(of_file), ["part", "seq"])
     return out.select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] * whole))
 
 
