@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -64,6 +64,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def told(df: DataFrame, name: str, **totals) -> tuple[DataFrame, dict]:
+    """``stored(df, name)``, and aggregates over ``df`` that its write takes along, so that no second query reads it for them."""
+    seen = Observation()
+    # Above all of the plan, as what stands below an empty shuffle is dropped with its metrics.
+    out = stored(df.observe(seen, *[total.alias(k) for k, total in totals.items()]), name)
+    return out, seen.get
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its n + 1 offsets, starting at 0."""
     column = pc.fill_null(column, "")

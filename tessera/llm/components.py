@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import told
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,10 +35,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.select("a", "b").where("a <> b").distinct()
     before = None
     while True:
-        edges = stored(_star(_star(edges, True), False), "components")
-        total = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if (total.n, total.s) == before or not total.n:
+        edges, total = told(_star(_star(edges, True), False), "components", n=F.count("*"), s=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+        now = total["n"], total["s"]
+        if now == before or not now[0]:
             break
-        before = (total.n, total.s)
+        before = now
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -9,8 +9,9 @@ is missed with probability at most ``2 * (1 - s**rows) ** groups`` (1e-4 at
 0.75, 5e-6 at 0.8, with the defaults).
 
 Candidates are confirmed on full sets.  Documents in one table bucket need not
-all be compared in pairs: links within one component add nothing, so a bucket is
-compared to one hub at a time, components are contracted, and pairs across
+all be compared in pairs: links within one component add nothing, so each document
+is linked with a hub first, the tables are dealt again with the components that
+this gives, and a bucket of several is compared to one hub at a time, components are contracted, and pairs across
 components are compared in full only when few are left.  So no link between
 different components is lost, and a group of n copies costs about n comparisons.
 """
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import buffers, mix, rows, slices, stored, texts, word_hashes
+from .common import buffers, mix, rows, slices, stored, texts, told, word_hashes
 from .components import components
 
 WORDS, PERCENT, GROUPS, ROWS = 5, 75, 12, 2
@@ -136,24 +137,29 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right")),
         "minhash",
     )
-    # Two sets with one smallest id (rows that repeat a doc_id): joined by the id itself, so the tables may hold either.
-    tables = (
-        classes.select("doc", F.posexplode("left").alias("i", "l"), "right")
-        .select("doc", "i", "l", F.posexplode("right").alias("j", "r"))
-        .select(F.xxhash64("i", "j", "l", "r").alias("key"), "doc")
+    # Of each document that shares a table bucket with another: the hub (the smallest id) that most of its tables name, if it isn't always that itself.
+    # Two sets with one smallest id (rows that repeat a doc_id) are one document here: the tables may hold either.
+    whole = Window.partitionBy("key")
+    hubs = (
+        _tables(classes).withColumns({"hub": F.min("doc").over(whole), "last": F.max("doc").over(whole)}).where("hub < last")
+        .groupBy("doc", F.when(F.col("hub") < F.col("doc"), F.col("hub")).alias("hub")).agg(F.count("*").alias("times"))
+        .groupBy("doc").agg(F.max_by("hub", F.when(F.col("hub").isNotNull(), F.struct("times", -F.col("hub")))).alias("hub"))
     )
-    order = Window.partitionBy("key").orderBy("doc")
+    members = hubs.join(classes.groupBy("doc").agg(F.max("n").alias("n"), F.min("n").alias("least")), "doc")
+    members = stored(members.select("doc", "hub", "n", "least", F.col("doc").alias("component")), "minhash")
+    sets = stored(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets(words), "doc bigint, items array<bigint>, odd array<bigint>"), "minhash")
+    # First they are linked with their hubs; after that few buckets hold several components, and only these are compared further.
+    links = stored(_confirmed(members.where("hub IS NOT NULL").select(F.col("hub").alias("a"), F.col("doc").alias("b")), sets, percent), "minhash")
+    joined = components(links).toDF("doc", "joined")
+    members = stored(members.join(joined, "doc", "left").select("doc", "n", "least", F.coalesce("joined", "component").alias("component")), "minhash")
     shared = (
-        tables.withColumns({"before": F.lag("doc").over(order), "after": F.lead("doc").over(order)})
-        .where("before IS NOT NULL OR after IS NOT NULL").select("key", "doc")
+        _tables(classes.join(members.select("doc", "component"), "doc"), "component")
+        .withColumns({"lo": F.min("component").over(whole), "hi": F.max("component").over(whole)}).where("lo < hi").select("key", "doc")
     )
     shared = stored(shared, "minhash")
     # Most of the tables group the same documents: one table bucket of each distinct content is enough.
     content = shared.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("doc", F.lit(7)).cast("decimal(38,0)")).alias("t"))
     buckets = stored(shared.join(content.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"), "minhash")
-    members = buckets.select("doc").distinct().join(classes.groupBy("doc").agg(F.max("n").alias("n"), F.min("n").alias("least")), "doc")
-    members = stored(members.select("doc", "n", "least", F.col("doc").alias("component")), "minhash")
-    sets = stored(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets(words), "doc bigint, items array<bigint>, odd array<bigint>"), "minhash")
     members, checked, stuck = _link(buckets, members, sets, percent)
     found = classes.join(members.select("doc", "component"), "doc", "left").select("print", F.coalesce("component", "doc").alias("component_id"))
     # Of rows that repeat a doc_id each class may name another smallest id; the id joins them.
@@ -167,6 +173,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     return named.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def _tables(classes: DataFrame, *more: str) -> DataFrame:
+    """``(key, doc)`` and the named columns: a row for each table that holds a class."""
+    lefts = classes.select("doc", *more, F.posexplode("left").alias("i", "l"), "right")
+    return lefts.select("doc", *more, "i", "l", F.posexplode("right").alias("j", "r")).select(F.xxhash64("i", "j", "l", "r").alias("key"), "doc", *more)
+
+
 def _bounded(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``(doc, most)`` of the documents that can still have a link: how many of its shingles any other of ``open_`` has.
 
@@ -215,23 +227,21 @@ def _cell(percent: int):
 
 
 def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, int, int]:
-    """``members`` with the component that the confirmed links give; the rounds taken, and rounds that joined nothing."""
-    rounds = stuck = 0
+    """``members`` with the component that the confirmed links give; the rounds taken (with the first, to the hubs), and rounds that joined nothing."""
+    rounds, stuck = 1, 0
     members = members.withColumn("most", F.col("n"))
     while True:
         held = buckets.join(members, "doc")
         # Of a bucket: its hub, another one each round, and what is left to compare across components.
-        rank = F.xxhash64("doc", F.lit(rounds)) if rounds else F.col("doc")
-        hub = F.struct(rank.alias("o"), "doc", "component", "n", "least", "most")
+        hub = F.struct(F.xxhash64("doc", F.lit(rounds)).alias("o"), "doc", "component", "n", "least", "most")
         whole = Window.partitionBy("key")
         open_ = (
             held.withColumns({"all": F.count("*").over(whole), "hub": F.min(hub).over(whole), "lo": F.min("component").over(whole), "hi": F.max("component").over(whole)})
             .where("lo < hi").select("key", "doc", "component", "n", "least", "most", "hub", "all")
         )
-        open_ = stored(open_, "minhash")
         # At most so many pairs are left (a bucket of n has n rows that each tell n).
-        work = open_.agg((F.sum("all") / 2).alias("pairs"), F.count("*").alias("rows"), F.approx_count_distinct("doc").alias("docs")).first()
-        if not work.rows:
+        open_, work = told(open_, "minhash", pairs=F.sum("all") / 2, rows=F.count("*"), docs=F.approx_count_distinct("doc"))
+        if not work["rows"]:
             return members, rounds, stuck
         if rounds == 1:
             # Documents that can't have a link with any other left need no comparison; twice, as the first time takes others' partners away.
@@ -240,7 +250,7 @@ def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
             members = stored(members.drop("most").join(able, "doc", "left").select("doc", "n", "least", "component", F.coalesce("most", F.lit(0)).alias("most")), "minhash")
             rounds += 1
             continue
-        last = work.pairs <= 8 * work.rows or stuck > 0
+        last = work["pairs"] <= 8 * work["rows"] or stuck > 0
         if last:
             pairs = _across(open_, sets, percent)
         else:
@@ -250,9 +260,6 @@ def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
             )
             # Sizes and bounds that can't reach the similarity need no sets.
             pairs = pairs.where(f"100 * na >= {percent} * lb AND 100 * nb >= {percent} * la AND {100 + percent} * least(ma, mb) >= {percent} * (la + lb)")
-        if not rounds and not last:
-            # First, of each document the hub that most of its tables name.
-            pairs = pairs.groupBy("b", "a").agg(F.count("*").alias("times")).groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a"))
         links = stored(_confirmed(pairs.select("a", "b").distinct(), sets, percent), "minhash")
         parts = members.select("doc", "component")
         linked = (
@@ -260,10 +267,10 @@ def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
             .join(parts.select(F.col("doc").alias("b"), F.col("component").alias("cb")), "b")
             .select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct()
         )
-        linked = stored(linked, "minhash")
+        linked, total = told(linked, "minhash", n=F.count("*"))
         rounds += 1
-        merged = linked.count()
-        stuck = 0 if 50 * merged > work.docs else stuck + 1
+        merged = total["n"]
+        stuck = 0 if 50 * merged > work["docs"] else stuck + 1
         if merged:
             joined = components(linked).select(F.col("node").alias("component"), "component")
             joined = joined.toDF("component", "joined")
