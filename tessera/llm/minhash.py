@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import buffers, mix, rows, slices, stored, texts, told, word_hashes
-from .components import components
+from .components import components, roots
 
 WORDS, PERCENT, GROUPS, ROWS = 5, 75, 12, 2
 #: Bits of a set's parity sketch: of how many shingles with a bit's hash there are, odd or even.  Where two
@@ -107,14 +107,14 @@ def _sets(words: int):
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
+    """Of the rows of ``pairs``, those whose documents ``a`` and ``b`` have full sets that are similar enough."""
     one = sets.select(F.col("doc").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("doc").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     return (
         pairs.join(two, "b").join(one, "a")
-        .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sum"))
-        .where(f"100 * both >= {percent} * (sum - both)").select("a", "b")
+        .select(*pairs.columns, both.alias("both"), (F.size("x") + F.size("y")).alias("sum"))
+        .where(f"100 * both >= {percent} * (sum - both)").select(*pairs.columns)
     )
 
 
@@ -150,7 +150,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     sets = stored(docs.join(members.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets(words), "doc bigint, items array<bigint>, odd array<bigint>"), "minhash")
     # First they are linked with their hubs; after that few buckets hold several components, and only these are compared further.
     links = stored(_confirmed(members.where("hub IS NOT NULL").select(F.col("hub").alias("a"), F.col("doc").alias("b")), sets, percent), "minhash")
-    joined = components(links).toDF("doc", "joined")
+    joined = roots(links).toDF("doc", "joined")
     members = stored(members.join(joined, "doc", "left").select("doc", "n", "least", F.coalesce("joined", "component").alias("component")), "minhash")
     shared = (
         _tables(classes.join(members.select("doc", "component"), "doc"), "component")
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     named = signed.join(found, "print", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     if not repeated.isEmpty():
         ties = named.where("doc_id IS NOT NULL").join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
-        more = components(ties).select(F.col("node").alias("component_id"), F.col("component").alias("joined"))
+        more = components(stored(ties, "minhash")).select(F.col("node").alias("component_id"), F.col("component").alias("joined"))
         named = named.join(more, "component_id", "left").withColumn("component_id", F.coalesce("joined", "component_id"))
     return named.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
@@ -192,7 +192,7 @@ def _bounded(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of one table bucket and two components that sizes, bounds and sketches allow a link.
+    """Pairs ``(a, b)`` of one table bucket, with their two components ``(ca, cb)``, that sizes, bounds and sketches allow a link.
 
     A bucket is cut into blocks of about ``CELL`` documents by a hash, and each two
     blocks are a cell of their own, so no task holds a large bucket.
@@ -201,7 +201,7 @@ def _across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows_ = open_.join(sets.select("doc", "odd"), "doc").select("key", "doc", "component", "n", "least", "most", "odd", cuts.alias("cuts"), F.pmod(F.xxhash64("doc", F.lit(3)), cuts).cast("int").alias("block"))
     rows_ = rows_.select("*", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other"))
     cell = (F.least("block", "other") * F.col("cuts") + F.greatest("block", "other")).alias("cell")
-    return rows_.select("key", cell, "block", "doc", "component", "n", "least", "most", "odd").groupBy("key", "cell").applyInArrow(_cell(percent), "a bigint, b bigint").distinct()
+    return rows_.select("key", cell, "block", "doc", "component", "n", "least", "most", "odd").groupBy("key", "cell").applyInArrow(_cell(percent), "a bigint, b bigint, ca bigint, cb bigint").distinct()
 
 
 def _cell(percent: int):
@@ -210,7 +210,7 @@ def _cell(percent: int):
         block, doc, part, n, least, most = (table.column(c).to_numpy() for c in ("block", "doc", "component", "n", "least", "most"))
         odd = table.column("odd").combine_chunks().values.to_numpy().reshape(len(doc), -1).view(np.uint64)
         one = block.min() == block.max()
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]  # by place
         for i in range(len(doc) - 1):
             j = np.arange(i + 1, len(doc))
             j = j[(part[j] != part[i]) & (one | (block[j] != block[i])) & (doc[j] != doc[i])]
@@ -219,9 +219,10 @@ def _cell(percent: int):
             if len(j):
                 apart = np.bitwise_count(odd[j] ^ odd[i]).sum(1, dtype=np.int64)
                 j = j[(100 + percent) * apart <= (100 - percent) * (n[j] + n[i])]
-                a.append(np.full(len(j), doc[i]))
-                b.append(doc[j])
-        return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
+                a.append(np.full(len(j), i))
+                b.append(j)
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in {"a": doc[a], "b": doc[b], "ca": part[a], "cb": part[b]}.items()})
 
     return run
 
@@ -256,17 +257,14 @@ def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
         else:
             pairs = open_.where("component <> hub.component AND doc <> hub.doc").select(
                 F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b"),
+                F.least("component", "hub.component").alias("ca"), F.greatest("component", "hub.component").alias("cb"),
                 F.col("n").alias("na"), F.col("hub.n").alias("nb"), F.col("least").alias("la"), F.col("hub.least").alias("lb"), F.col("most").alias("ma"), F.col("hub.most").alias("mb"),
             )
             # Sizes and bounds that can't reach the similarity need no sets.
             pairs = pairs.where(f"100 * na >= {percent} * lb AND 100 * nb >= {percent} * la AND {100 + percent} * least(ma, mb) >= {percent} * (la + lb)")
-        links = stored(_confirmed(pairs.select("a", "b").distinct(), sets, percent), "minhash")
-        parts = members.select("doc", "component")
-        linked = (
-            links.join(parts.select(F.col("doc").alias("a"), F.col("component").alias("ca")), "a")
-            .join(parts.select(F.col("doc").alias("b"), F.col("component").alias("cb")), "b")
-            .select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b").distinct()
-        )
+        # The pairs carry their components, so what is confirmed is at once the edges between these.
+        linked = _confirmed(pairs.select("a", "b", "ca", "cb").distinct(), sets, percent)
+        linked = linked.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
         linked, total = told(linked, "minhash", n=F.count("*"))
         rounds += 1
         merged = total["n"]
