@@ -235,11 +235,19 @@ def _fx_columns(b: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(events: DataFrame) -> DataFrame:
+    """The events spread over more tasks than cores.
+
+    An event is a few bytes in Parquet and much work as a line, so the scan's splits
+    (whole row groups) would be too few tasks for it.  A given number, as AQE would make one of small rows.
+    """
+    return events.repartition(4 * events.sparkSession.sparkContext.defaultParallelism)
+
+
 def fx_raw_lines(events: DataFrame) -> DataFrame:
     """FX-RAW as rows `(dt, batch, line)`: batch 0 is the first landing file of
     a day, batch 1 the later-sorting resend file (`event_id % 200 = 0`)."""
-    b = _silver_base(events)
-    rows = _fx_columns(b)
+    rows = _fx_columns(_silver_base(_dealt(events)))
     eid = F.col("_id")
     r = _raw_residue()
 
@@ -299,7 +307,7 @@ def fx_raw_lines(events: DataFrame) -> DataFrame:
     )
     junk_lines = [*[F.lit(x) for x in RAW_JUNK_LINES], F.unhex(F.lit(RAW_JUNK_BYTES.hex())).cast("string")]
     junk = (
-        rows.select("dt").distinct()
+        _silver_base(events).select("dt").distinct()
         .select("dt", F.lit(0).alias("batch"), F.explode(F.array(*junk_lines)).alias("line"))
     )
     return first.unionByName(resend).unionByName(junk)
