@@ -25,13 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import buffers, rows, slices, stored, texts, with_row
+from .common import buffers, rows, slices, texts, told, with_row
 
 SAMPLE, ALPHABET, CONTEXTS, HELD_OUT = 1500, 96, 6000, 2
 #: Parts of a language whose smallest hashes are found apart from each other.
 PARTS = 16
 #: Chosen ids are sent to every task if they are so many at most (they are SAMPLE a language).
 BROADCAST = 100_000
+#: Trees come to the driver as rows of so many bytes, dealt out over so many tasks, as it holds a task's result in one array.
+ROW_BYTES, ROW_TASKS = 1 << 17, 64
 #: Bits of a text beyond which it is no surer of its language: the score's evidence is scaled to so many bytes.
 SCORE_BYTES = 200
 _LETTER = re.compile(r"[^\W\d_]")
@@ -165,13 +167,14 @@ def learn(docs: DataFrame, sample: int = SAMPLE, alphabet: int = ALPHABET, conte
         order = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
         chosen = chosen.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).drop("nth")
     chosen = chosen.select("doc_id", "lang")
-    chosen = stored(chosen.distinct(), "language")
-    if chosen.count() <= BROADCAST:
+    chosen, total = told(chosen.distinct(), "language", n=F.count("*"))
+    if total["n"] <= BROADCAST:
         chosen = F.broadcast(chosen)
     sampled = labelled.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text")
     # At most sample documents of each language meet in one task, which counts the trees; the driver sees only these.
-    fitted = sampled.repartition(1).mapInArrow(_fit(alphabet, contexts), "trees binary").collect()
-    return bytes(fitted[0].trees) if fitted else Trees({}, alphabet, 0).dump()
+    fitted = sampled.repartition(1).mapInArrow(_fit(alphabet, contexts), "nth int, trees binary")
+    fitted = sorted(fitted.repartition(ROW_TASKS, "nth").collect())
+    return b"".join(r.trees for r in fitted) if fitted else Trees({}, alphabet, 0).dump()
 
 
 def _fit(alphabet: int, contexts: int):
@@ -182,7 +185,9 @@ def _fit(alphabet: int, contexts: int):
                 got.setdefault(lang.as_py(), []).append((i.as_py(), text.as_buffer().to_pybytes()))
         trees = Trees({x: b"\n\n\n" + b"\n\n\n".join(t for _, t in sorted(v)) for x, v in got.items()}, alphabet, contexts)
         if got:
-            yield pa.RecordBatch.from_arrays([pa.array([trees.dump()], pa.binary())], names=["trees"])
+            raw = trees.dump()
+            for nth, at in enumerate(range(0, len(raw), ROW_BYTES)):
+                yield pa.RecordBatch.from_arrays([pa.array([nth], pa.int32()), pa.array([raw[at : at + ROW_BYTES]], pa.binary())], names=["nth", "trees"])
 
     return run
 
