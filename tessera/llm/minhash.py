@@ -35,6 +35,8 @@ WORDS, PERCENT, GROUPS, ROWS = 5, 75, 12, 2
 SKETCH = 2048
 #: Documents in a block of a bucket whose pairs are looked through together.
 CELL = 512
+#: Documents in a bucket up to which equal buckets are looked for.
+SMALL = 64
 _MIXERS = mix(np.arange(1, 12, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -152,14 +154,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     links = stored(_confirmed(members.where("hub IS NOT NULL").select(F.col("hub").alias("a"), F.col("doc").alias("b")), sets, percent), "minhash")
     joined = roots(links).toDF("doc", "joined")
     members = stored(members.join(joined, "doc", "left").select("doc", "n", "least", F.coalesce("joined", "component").alias("component")), "minhash")
-    shared = (
-        _tables(classes.join(members.select("doc", "component"), "doc"), "component")
-        .withColumns({"lo": F.min("component").over(whole), "hi": F.max("component").over(whole)}).where("lo < hi").select("key", "doc")
-    )
-    shared = stored(shared, "minhash")
-    # Most of the tables group the same documents: one table bucket of each distinct content is enough.
-    content = shared.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("doc", F.lit(7)).cast("decimal(38,0)")).alias("t"))
-    buckets = stored(shared.join(content.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key"), "key", "left_semi"), "minhash")
+    apart = lambda held: held.withColumns({"lo": F.min("component").over(whole), "hi": F.max("component").over(whole)}).where("lo < hi")
+    shared = stored(apart(_tables(classes.join(members.select("doc", "component"), "doc"), "component")).select("key", "doc", "component"), "minhash")
+    # Documents that can't have a link with any other left need no comparison; twice, as the first time takes others' partners away.
+    able = stored(_bounded(stored(_bounded(shared, sets, percent), "minhash"), sets, percent), "minhash")
+    shared = stored(apart(shared.join(able.select("doc"), "doc", "left_semi")).select("key", "doc", F.count("*").over(whole).alias("all")), "minhash")
+    members = stored(members.join(able, "doc", "left").select("doc", "n", "least", "component", F.coalesce("most", F.lit(0)).alias("most")), "minhash")
+    # Most of the tables group the same few documents: of small buckets one of each distinct content is enough.  Large ones are hardly ever equal, and all stay.
+    small = shared.where(F.col("all") <= SMALL).select("key", "doc")
+    content = small.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("doc", F.lit(7)).cast("decimal(38,0)")).alias("t"))
+    one = small.join(content.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+    buckets = stored(one.unionByName(shared.where(F.col("all") > SMALL).select("key", "doc")), "minhash")
     members, checked, stuck = _link(buckets, members, sets, percent)
     found = classes.join(members.select("doc", "component"), "doc", "left").select("print", F.coalesce("component", "doc").alias("component_id"))
     # Of rows that repeat a doc_id each class may name another smallest id; the id joins them.
@@ -230,7 +235,6 @@ def _cell(percent: int):
 def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, int, int]:
     """``members`` with the component that the confirmed links give; the rounds taken (with the first, to the hubs), and rounds that joined nothing."""
     rounds, stuck = 1, 0
-    members = members.withColumn("most", F.col("n"))
     while True:
         held = buckets.join(members, "doc")
         # Of a bucket: its hub, another one each round, and what is left to compare across components.
@@ -244,13 +248,6 @@ def _link(buckets: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
         open_, work = told(open_, "minhash", pairs=F.sum("all") / 2, rows=F.count("*"), docs=F.approx_count_distinct("doc"))
         if not work["rows"]:
             return members, rounds, stuck
-        if rounds == 1:
-            # Documents that can't have a link with any other left need no comparison; twice, as the first time takes others' partners away.
-            able = stored(_bounded(stored(_bounded(open_, sets, percent), "minhash"), sets, percent), "minhash")
-            buckets = stored(buckets.join(open_.select("key").distinct(), "key", "left_semi").join(able.select("doc"), "doc", "left_semi"), "minhash")
-            members = stored(members.drop("most").join(able, "doc", "left").select("doc", "n", "least", "component", F.coalesce("most", F.lit(0)).alias("most")), "minhash")
-            rounds += 1
-            continue
         last = work["pairs"] <= 8 * work["rows"] or stuck > 0
         if last:
             pairs = _across(open_, sets, percent)

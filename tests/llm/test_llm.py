@@ -202,6 +202,27 @@ def test_language(spark):
     assert np.mean([r.lang_pred == rows[r.doc_id].lang for r in held]) > 0.95
 
 
+def test_near_duplicates_with_small_and_large_buckets(spark, monkeypatch):
+    # Chains of texts of which neighbours are alike and others are not, so that buckets hold several components after the hubs' round.
+    rnd = random.Random(2)
+    words, docs = [f"w{rnd.randrange(400)}" for _ in range(60)], []
+    for i in range(160):
+        words = [f"w{rnd.randrange(400)}" if rnd.random() < 0.03 else w for w in words] if i % 40 else [f"w{rnd.randrange(400)}" for _ in range(60)]
+        docs.append((i, " ".join(words)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(56)} for i, t in docs}
+    first = {i: i for i, _ in docs}
+    for a in range(160):
+        for b in range(a + 1, 160):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                lo, hi = sorted((first[a], first[b]))
+                first = {i: lo if c == hi else c for i, c in first.items()}
+    assert 4 < len(set(first.values())) < 156
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for small in (1, 3, 1000):  # equal buckets are looked for in none, in some, in all
+        monkeypatch.setattr(minhash, "SMALL", small)
+        assert {r.doc_id: r.component_id for r in minhash.near_duplicates(table).collect()} == first
+
+
 def test_language_trees_come_in_small_rows(spark):
     # One large row is held several times over by the driver's JVM; here no row and no task's result is large.
     rnd = random.Random(1)
